@@ -47,37 +47,37 @@ def rating_corr(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame:
     """Rows per equal-width bin (from 1) between each column's minimum and maximum."""
+    pairs = []
+    for c in columns:
+        pairs.append(
+            F.struct(F.lit(c).alias("name"), bin_of(c, bins).alias("bin"))
+        )
+    binned = with_span(df, columns).select(F.inline(F.array(*pairs))).filter(F.col("bin").isNotNull())
+    return binned.groupBy("name", "bin").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def with_span(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Add ``_span``, the minimum and maximum of each column: one struct for all rows."""
     span = df.agg(
         F.struct(
             *[F.min(F.col(c).cast("double")).alias(f"{c}_lo") for c in columns],
             *[F.max(F.col(c).cast("double")).alias(f"{c}_hi") for c in columns],
         )
     ).scalar()
-    pairs = []
-    for c in columns:
-        pairs.append(
-            F.struct(F.lit(c).alias("name"), bin_of(c, span, bins).alias("bin"))
-        )
-    binned = df.select(F.inline(F.array(*pairs))).filter(F.col("bin").isNotNull())
-    return binned.groupBy("name", "bin").agg(F.count(F.lit(1)).alias("rows"))
+    return df.withColumn("_span", span)
 
 
-def bin_of(column: str, span, bins: int):
+def bin_of(column: str, bins: int):
     """Bin of a value; the maximum belongs to the last bin, a constant column to the first."""
-    low, high, v = span[f"{column}_lo"], span[f"{column}_hi"], F.col(column).cast("double")
+    low, high = F.col(f"_span.{column}_lo"), F.col(f"_span.{column}_hi")
+    v = F.col(column).cast("double")
     inside = F.least(F.width_bucket(v, low, high, F.lit(bins)), F.lit(bins))
     return F.when(v.isNotNull() & (low == high), F.lit(1)).otherwise(inside).cast("int")
 
 
 def pair_density(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame:
     """Rows per two-dimensional bin for every pair of columns."""
-    span = df.agg(
-        F.struct(
-            *[F.min(F.col(c).cast("double")).alias(f"{c}_lo") for c in columns],
-            *[F.max(F.col(c).cast("double")).alias(f"{c}_hi") for c in columns],
-        )
-    ).scalar()
-    placed = df.select(*[bin_of(c, span, bins).alias(c) for c in columns])
+    placed = with_span(df, columns).select(*[bin_of(c, bins).alias(c) for c in columns])
     pairs = [
         F.struct(
             F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),

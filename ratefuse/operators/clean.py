@@ -71,12 +71,15 @@ def keep_clean(
     shadows later valid ones.  ``claim='after'``: only valid rows take keys.
     """
     columns = columns or CANONICAL
-    carried = [c for c in columns if c not in KEY]
+    carried = [c for c in columns if c not in KEY and c != "row_id"]
     if claim == "after":
-        valid = parsed.filter(F.col("reason").isNull())
-        return first_per_key(valid, KEY, F.col("row_id"), carried).select(*columns)
-    first = first_per_key(parsed, KEY, F.col("row_id"), [*carried, "reason"])
-    return first.filter(F.col("reason").isNull()).select(*columns)
+        # An invalid row has no rank, so it cannot be the first of its key.
+        rank = F.when(F.col("reason").isNull(), F.col("row_id"))
+    else:
+        rank = F.col("row_id")
+    first = first_per_key(parsed, KEY, rank, [*carried, "reason", "row_id"])
+    valid = F.col("row_id").isNotNull() & F.col("reason").isNull()
+    return first.filter(valid).select(*columns)
 
 
 def route(parsed: DataFrame, claim: str = "before") -> DataFrame:
@@ -87,8 +90,8 @@ def route(parsed: DataFrame, claim: str = "before") -> DataFrame:
     have no key.
     """
     no_key = F.col("reason").eqNullSafe(MISSING_YEAR)
-    candidates = parsed.filter(~no_key if claim == "before" else F.col("reason").isNull())
-    owners = first_ids(candidates, KEY, "row_id").select(
+    eligible = ~no_key if claim == "before" else F.col("reason").isNull()
+    owners = first_ids(parsed, KEY, "row_id", eligible).select(
         "source", "row_id", F.lit(True).alias("owner")
     )
     marked = parsed.join(owners, ["source", "row_id"], "left")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A key is split when it holds more than 1/HOT_SHARE of all rows (and HOT_ROWS at
-# least), so there are never more than HOT_SHARE such keys to broadcast.
-HOT_SHARE = 1000
+# Only the HOT_KEYS largest keys are split, and only from HOT_ROWS rows on.  Every other
+# key holds less than 1/HOT_KEYS of all rows, so this many keys to broadcast are enough.
+HOT_KEYS = 1000
 HOT_ROWS = 100_000
 
 
@@ -22,16 +22,17 @@ def first_per_key(
     return df.groupBy(*keys).agg(first).select(*keys, "_first.*")
 
 
-def first_ids(df: DataFrame, keys: list[str], row_id: str) -> DataFrame:
-    """Row id of the first row of each key."""
-    return df.groupBy(*keys).agg(F.min(row_id).alias(row_id))
-
+def first_ids(
+    df: DataFrame, keys: list[str], row_id: str, eligible: Column | None = None
+) -> DataFrame:
+    """Row id of the first row of each key, among the eligible rows.
 
-def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
+    Rows are ruled out inside the aggregate: a filter before it would make Spark compute
+    the columns it reads twice.
+    """
+    ids = F.col(row_id) if eligible is None else F.when(eligible, F.col(row_id))
+    first = df.groupBy(*keys).agg(F.min(ids).alias(row_id))
+    return first.filter(F.col(row_id).isNotNull())
 
 
 def lookup_by_key(
@@ -45,12 +46,12 @@ def lookup_by_key(
 ) -> DataFrame:
     """Join rows to a table with one row per key (null keys match null keys).
 
-    Rows of a heavy key are spread by their row id over ``splits`` parts and the one
-    lookup row is copied to each part; light keys join as usual.
+    Rows of the largest keys are spread by their row id over ``splits`` parts and the
+    one lookup row is copied to each part; all other keys join as usual.
     """
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    limit = F.greatest(sizes.agg(F.sum("_rows") / HOT_SHARE).scalar(), F.lit(float(hot_rows)))
-    hot = sizes.filter(F.col("_rows") > limit).select(
+    largest = sizes.filter(F.col("_rows") >= hot_rows).orderBy(F.col("_rows").desc())
+    hot = largest.limit(HOT_KEYS).select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")
     )
 

@@ -37,14 +37,14 @@ def rescale_inferred(wide: DataFrame) -> DataFrame:
     top = wide.agg(F.struct(*[F.max(c).alias(c) for c in ratings])).scalar()
     out = {}
     for c in ratings:
-        highest = top[c]
+        highest = F.col(f"_top.{c}")
         scaled = (
             F.when(highest <= 5.5, F.col(c) * 2)
             .when(highest > 10, F.col(c) / 10)
             .otherwise(F.col(c))
         )
         out[c.removeprefix("rating_") + "_norm"] = scaled
-    return wide.withColumns(out)
+    return wide.withColumn("_top", top).withColumns(out).drop("_top")
 
 
 def treat_outliers(
@@ -67,10 +67,10 @@ def treat_outliers(
     if method == "none" or (by_percentile and not 0 <= lower < upper <= 1):
         return df
     probs = [lower, upper] if by_percentile else [0.25, 0.75]
-    q = quantile_struct(df, columns, probs, **quantile_options).scalar()
+    bounds = quantile_struct(df, columns, probs, **quantile_options).scalar()
     out = {}
     for c in columns:
-        low, high = q[f"{c}_0"], q[f"{c}_1"]
+        low, high = F.col(f"_q.{c}_0"), F.col(f"_q.{c}_1")
         if not by_percentile:
             spread = high - low
             low, high = low - spread * iqr_factor, high + spread * iqr_factor
@@ -80,7 +80,7 @@ def treat_outliers(
         bound = F.when(F.col(c) < low, low).otherwise(high)
         new = F.lit(None).cast("double") if method == "nan" else bound
         out[c] = F.when(outside, new).otherwise(F.col(c))
-    return df.withColumns(out)
+    return df.withColumn("_q", bounds).withColumns(out).drop("_q")
 
 
 def superscores(df: DataFrame, columns: list[str], min_ratings: int = 2, rounded: bool = False,

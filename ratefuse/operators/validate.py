@@ -217,10 +217,8 @@ def check_schema(
     else:
         rows = rows.withColumn("_title", F.coalesce("title", F.lit("")))
     checked = rows.withColumn("errors", rule_errors(policy, fields))
-    candidates = checked
-    if policy.on_duplicate != "error":
-        candidates = checked.filter(F.size("errors") == 0)
-    owners = first_ids(candidates, ["_title", "release_year"], "ID").select(
+    eligible = None if policy.on_duplicate == "error" else F.size("errors") == 0
+    owners = first_ids(checked, ["_title", "release_year"], "ID", eligible).select(
         "ID", F.lit(True).alias("_owner")
     )
     marked = checked.join(owners, "ID", "left")

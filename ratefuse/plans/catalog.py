@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from ratefuse.plans import queries_fields, queries_fuse  # noqa: F401
+from ratefuse.plans import (  # noqa: F401
+    queries_check, queries_compare, queries_fields, queries_fuse,
+)
 from ratefuse.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

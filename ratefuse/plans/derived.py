@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratefuse.operators import clean, compare, merge, score
 from ratefuse.operators.merge import ADAPTIVE, STATIC, Dialect
+from ratefuse.operators.stored import stored
 from ratefuse.plans.tables import raw_sources
 from ratefuse.sources.specs import ADAPTIVE_SPECS, STATIC_SPECS
 
@@ -35,26 +38,44 @@ def films(spark: SparkSession, sf_dir: str, dialect: Dialect = STATIC) -> DataFr
     return merge.keep_rated(wide(spark, sf_dir, dialect), dialect)
 
 
+def stored_films(spark: SparkSession, sf_dir: str, dialect: Dialect = STATIC) -> DataFrame:
+    """Films as a table, for steps that go over them several times."""
+    return stored(films(spark, sf_dir, dialect), f"films_{dialect.name}")
+
+
 def scored(spark: SparkSession, sf_dir: str, dialect: Dialect = STATIC, **options) -> DataFrame:
-    return score.keep_scored(score.score(films(spark, sf_dir, dialect), dialect, **options))
+    """Scored films; stored before if the score needs whole columns first."""
+    several_passes = dialect.inferred_scale or options.get("outliers", "none") != "none"
+    source = stored_films if several_passes else films
+    return score.keep_scored(score.score(source(spark, sf_dir, dialect), dialect, **options))
+
 
+@dataclass(frozen=True)
+class Side:
+    """The stages of one dialect, written once, with keys."""
 
-def keyed_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Adaptive and static films with their keys."""
-    return (
-        compare.with_keys(films(spark, sf_dir, ADAPTIVE)),
-        compare.with_keys(films(spark, sf_dir, STATIC)),
+    clean: DataFrame
+    wide: DataFrame
+    final: DataFrame
+
+
+def side(spark: SparkSession, sf_dir: str, dialect: Dialect) -> Side:
+    clean_rows = stored(
+        cleaned(spark, sf_dir, dialect, clean.MERGED), f"clean_{dialect.name}"
     )
+    whole = merge.merge_long(merge.with_group_title(clean_rows, dialect), SOURCES, dialect)
+    whole = stored(whole, f"wide_{dialect.name}")
+    final = merge.keep_rated(whole, dialect)
+    return Side(clean_rows, compare.with_keys(whole), compare.with_keys(final))
+
+
+def both_sides(spark: SparkSession, sf_dir: str) -> tuple[Side, Side]:
+    """Adaptive and static."""
+    return side(spark, sf_dir, ADAPTIVE), side(spark, sf_dir, STATIC)
 
 
-def four_stages(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Unfiltered and final tables of both dialects, with keys."""
-    out = {}
-    for side, dialect in (("ad", ADAPTIVE), ("st", STATIC)):
-        whole = wide(spark, sf_dir, dialect)
-        out[f"{side}_wide"] = compare.with_keys(whole)
-        out[f"{side}_final"] = compare.with_keys(merge.keep_rated(whole, dialect))
-    return out
+def four_stages(ad: Side, st: Side) -> dict[str, DataFrame]:
+    return {"ad_wide": ad.wide, "st_wide": st.wide, "ad_final": ad.final, "st_final": st.final}
 
 
 def flat(df: DataFrame, places: int = 6) -> DataFrame:

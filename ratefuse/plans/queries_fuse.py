@@ -8,6 +8,7 @@ from ratefuse.functions.parse import count_present, half_even, row_mean, row_med
 from ratefuse.functions.text import film_signature, normalize_title
 from ratefuse.operators import clean, cluster, keyed, merge, score
 from ratefuse.operators.merge import ADAPTIVE, STATIC
+from ratefuse.operators.stored import stored
 from ratefuse.plans import derived, sql, tables
 from ratefuse.plans.derived import SOURCES, flat
 from ratefuse.plans.registry import query
@@ -103,7 +104,7 @@ def dedup_keep_first(spark, d):
 )
 def dup_flag_all(spark, d):
     rows = derived.parsed(spark, d).select("source", "title", "year", "row_id")
-    return keyed.flag_duplicates(rows, clean.KEY, ["source", "row_id"])
+    return keyed.flag_duplicates(stored(rows, "parsed"), clean.KEY, ["source", "row_id"])
 
 
 @query(
@@ -233,7 +234,7 @@ def group_meta(spark, d):
     FROM st_long l JOIN st_wide w USING (norm_title, year_cluster)""",
 )
 def group_provenance(spark, d):
-    return merge.group_provenance(derived.long(spark, d))
+    return merge.group_provenance(stored(derived.long(spark, d), "long"))
 
 
 _SIGNED = """lng AS (SELECT o_orderkey AS row_id, 'ID_PART=' || o_custkey AS film_sig,
@@ -261,7 +262,7 @@ def unify_by_signature(spark, d):
         .otherwise(F.concat_ws(" ", "p_name", F.lower("p_type"))).alias("norm_title"),
     )
     signed = rows.select("row_id", film_signature(["ID_PART"]).alias("film_sig"), "year", "norm_title")
-    return cluster.unify_by_signature(signed, "film_sig", ["row_id"])
+    return cluster.unify_by_signature(stored(signed, "signed"), "film_sig", ["row_id"])
 
 
 _FILMS = (
@@ -290,7 +291,7 @@ def ambiguous_films(spark, d):
     rated = merge.keep_rated(
         derived.wide(spark, d, ADAPTIVE), replace(ADAPTIVE, drop_ambiguous=False)
     )
-    return flat(merge.ambiguous_films(rated))
+    return flat(merge.ambiguous_films(stored(rated, "rated")))
 
 
 @query(
@@ -333,7 +334,7 @@ _NORMS_AD = sql.r6(", ".join(sql.NORMS_ADAPTIVE))
 
 @query("rescale_inferred", f"WITH {sql.ADAPTIVE_SCORED} SELECT {sql.IDS}, {_NORMS_AD} FROM ad_norm")
 def rescale_inferred(spark, d):
-    scaled = score.rescale_inferred(derived.films(spark, d, ADAPTIVE))
+    scaled = score.rescale_inferred(derived.stored_films(spark, d, ADAPTIVE))
     return flat(scaled.select(*sql.SOURCES.values(), *sql.NORMS_ADAPTIVE))
 
 
