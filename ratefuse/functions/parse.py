@@ -33,7 +33,8 @@ PIVOT = 25
 
 def split_genres(c: Column, separator: str = "pipe_or_comma", stop_values: tuple = ()) -> Column:
     """Trimmed, non-blank parts; a null text gives an empty list."""
-    parts = F.transform(F.split(c, GENRE_PATTERNS[separator]), F.trim)
+    # A lambda: a bare F.trim would take the element index for its second argument.
+    parts = F.transform(F.split(c, GENRE_PATTERNS[separator]), lambda g: F.trim(g))
     parts = F.filter(parts, lambda g: (g != "") & ~g.isin("", *stop_values))
     return F.coalesce(parts, F.array().cast("array<string>"))
 

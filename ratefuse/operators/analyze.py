@@ -72,7 +72,7 @@ def bin_of(column: str, bins: int):
     low, high = F.col(f"_span.{column}_lo"), F.col(f"_span.{column}_hi")
     v = F.col(column).cast("double")
     inside = F.least(F.width_bucket(v, low, high, F.lit(bins)), F.lit(bins))
-    return F.when(v.isNotNull() & (low == high), F.lit(1)).otherwise(inside).cast("int")
+    return F.when(v.isNotNull(), F.when(low == high, F.lit(1)).otherwise(inside)).cast("int")
 
 
 def pair_density(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame:

@@ -33,7 +33,10 @@ def read_csv(
     or fails the job if ``strict``.
     """
     columns = columns or csv_header(spark, path)
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    # Without all columns parsed, a row with too many values would go unnoticed.
+    reader = spark.read.options(
+        header=True, escape='"', multiLine=multi_line, columnPruning=False
+    )
     if strict:
         return reader.schema(_strings(columns)).option("mode", "FAILFAST").csv(path)
     schema = _strings(columns + [_CORRUPT])
