@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ratefuse.functions.parse import count_present, half_even, number
 from ratefuse.functions.text import canonical_id, joined_key
-from ratefuse.operators.keyed import first_per_key
+from ratefuse.operators.keyed import first_per_key, lookup_by_key
 from ratefuse.operators.merge import ensure_columns
 
 # Id columns in key order, compared fields, cause texts.
@@ -36,14 +36,22 @@ def with_keys(df: DataFrame, canonical: bool = True) -> DataFrame:
     )
 
 
+def _with_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left rows with a flag: does the right table have the key?  Copies of a key on the
+    left are spread by their whole row."""
+    have = right.select(key).distinct().withColumn("_matched", F.lit(True))
+    plain = [c for c, t in left.dtypes if not t.startswith("map")]
+    return lookup_by_key(left, have, [key], plain)
+
+
 def only_in(left: DataFrame, right: DataFrame, key: str = "entity_key") -> DataFrame:
     """Rows of the left table whose key the right one does not have."""
-    return left.join(right.select(key).distinct(), key, "left_anti")
+    return _with_match(left, right, key).filter(F.col("_matched").isNull()).drop("_matched")
 
 
 def in_both(left: DataFrame, right: DataFrame, key: str = "entity_key") -> DataFrame:
     """Rows of the left table whose key the right one has, too."""
-    return left.join(right.select(key).distinct(), key, "left_semi")
+    return _with_match(left, right, key).filter(F.col("_matched")).drop("_matched")
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -142,7 +150,9 @@ def root_cause(missed: DataFrame, other_wide: DataFrame, other_ids: DataFrame,
     ratings it had, and a remark if the first id differs).  Else the sources that lack
     its ids; else the merge failed.
     """
-    with_other = missed.join(_first_per_triple(other_wide), "triple_key", "left")
+    with_other = lookup_by_key(
+        missed, _first_per_triple(other_wide), ["triple_key"], ["entity_key"]
+    )
     known = with_other.join(_present_ids(missed, other_ids), "entity_key", "left")
     filtered = F.concat(
         F.lit(f"{other}_filtered_or_postmerge_change(count_ratings="),
@@ -164,7 +174,9 @@ def root_cause(missed: DataFrame, other_wide: DataFrame, other_ids: DataFrame,
 
 def id_conflicts(missed: DataFrame, other_wide: DataFrame) -> DataFrame:
     """Missed films whose triple the other side has under a different first id."""
-    joined = missed.join(_first_per_triple(other_wide), "triple_key")
+    joined = lookup_by_key(
+        missed, _first_per_triple(other_wide), ["triple_key"], ["entity_key"], "inner"
+    )
     return joined.filter(F.col("ID_IMDB") != F.col("other_imdb")).select(
         "triple_key", "title", "other_title", "ID_IMDB", "other_imdb"
     )

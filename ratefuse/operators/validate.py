@@ -209,7 +209,7 @@ def check_schema(
 
     ``spec`` is the list of ``{field, type, rule}`` of a rule file; it says which fields
     are checked.  Duplicates of (title, release_year) are found by the smallest ID of
-    each key, matched back on the ID.
+    each key, matched back on the ID; a row without an ID has no rank among them.
     """
     fields = {s["field"] for s in spec} if spec else set(rows.columns)
     if policy.on_dirty_title == "rewrite":
@@ -219,10 +219,14 @@ def check_schema(
     checked = rows.withColumn("errors", rule_errors(policy, fields))
     eligible = None if policy.on_duplicate == "error" else F.size("errors") == 0
     owners = first_ids(checked, ["_title", "release_year"], "ID", eligible).select(
-        "ID", F.lit(True).alias("_owner")
+        F.col("ID").alias("_owner")
     )
-    marked = checked.join(owners, "ID", "left")
-    repeated = F.col("_owner").isNull()
+    # Rows without an ID match nothing; the hash keeps them from meeting in one task.
+    place = F.coalesce("ID", F.xxhash64("_title", "release_year", "rating"))
+    placed = checked.withColumn("_place", place)
+    same = (placed["_place"] == owners["_owner"]) & placed["ID"].isNotNull()
+    marked = placed.join(owners, same, "left").drop("_place")
+    repeated = F.col("_owner").isNull() & F.col("ID").isNotNull()
     if policy.on_duplicate == "error":
         more = F.when(repeated, F.array(F.lit(ERR_DUPLICATE))).otherwise(
             F.array().cast("array<string>")

@@ -86,10 +86,12 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, str]:
     dialect = ADAPTIVE if config.dialect == "adaptive" else STATIC
     paths = {
         s: config.path(s)
-        for s in ("routed", "cleaned", "rejects", "findings", "wide", "merged", "ambiguous",
+        for s in ("parsed", "routed", "cleaned", "rejects", "findings", "wide", "merged", "ambiguous",
                   "invalid", "final", "summary")
     }
     parsed, names = parse_configured(spark, config)
+    writers.write_table(parsed, paths["parsed"])
+    parsed = spark.read.schema(parsed.schema).parquet(paths["parsed"])
     routed = clean.route(parsed, dialect.claim)
     writers.write_table(routed, paths["routed"], partition_by=["source", "kind"])
     routed = spark.read.schema(routed.schema).parquet(paths["routed"])

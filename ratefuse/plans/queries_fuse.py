@@ -38,7 +38,7 @@ def classify_rows(spark, d):
     f" SELECT {_CANONICAL}, kind, why AS reason FROM st_routed",
 )
 def route_rows(spark, d):
-    return flat(clean.route(derived.parsed(spark, d)))
+    return flat(clean.route(stored(derived.parsed(spark, d), "parsed")))
 
 
 @query(
@@ -50,7 +50,7 @@ def route_rows(spark, d):
     FROM ad_parsed LEFT JOIN v USING (source, row_id)""",
 )
 def route_rows_adaptive(spark, d):
-    return flat(clean.route(derived.parsed(spark, d, ADAPTIVE), "after"))
+    return flat(clean.route(stored(derived.parsed(spark, d, ADAPTIVE), "parsed"), "after"))
 
 
 @query(
@@ -115,7 +115,7 @@ def dup_flag_all(spark, d):
       count(*) FILTER (kind = 'duplicate') AS rows_duplicate FROM st_routed GROUP BY source""",
 )
 def stage_counts(spark, d):
-    return clean.stage_counts(clean.route(derived.parsed(spark, d)))
+    return clean.stage_counts(clean.route(stored(derived.parsed(spark, d), "parsed")))
 
 
 @query(
