@@ -15,8 +15,8 @@ from ratefuse.sources import readers
 
 @query(
     "title_normalize",
-    f"WITH t AS (SELECT doc_id, {sql.before_dedupe('text')} AS t FROM documents)"
-    f" SELECT doc_id, {sql.dedupe('t')} AS title FROM t",
+    f"WITH t AS (SELECT doc_id, {sql.before_dedupe('text')} AS title FROM documents),"
+    f" {sql.dedupe_long('d', 't', 'doc_id', 'title')} SELECT doc_id, title FROM d",
 )
 def title_normalize(spark, d):
     docs = tables.table(spark, d, "documents")
@@ -43,11 +43,15 @@ _KEPT = sql.before_dedupe("text", the=" the$")
 
 @query(
     "title_variants",
-    f"""WITH t AS (SELECT doc_id, {_TRANSLIT} AS a, {_LISTED} AS b, {_KEPT} AS c,
-      trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g'))
-        AS stripped, coalesce(nullif(lang, ''), nullif(source, '')) AS fallback FROM documents)
-    SELECT doc_id, {sql.dedupe('a')} AS translit, {sql.dedupe('b')} AS listed_punctuation,
-      {sql.dedupe('c')} AS kept_the, stripped, fallback FROM t""",
+    f"""WITH t AS (SELECT doc_id, {_TRANSLIT} AS translit, {_LISTED} AS listed_punctuation,
+      {_KEPT} AS kept_the, trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9\\s]', '', 'g'),
+        '\\s+', ' ', 'g')) AS stripped,
+      coalesce(nullif(lang, ''), nullif(source, '')) AS fallback FROM documents),
+    {sql.dedupe_long('a', 't', 'doc_id', 'translit')},
+    {sql.dedupe_long('b', 't', 'doc_id', 'listed_punctuation')},
+    {sql.dedupe_long('c', 't', 'doc_id', 'kept_the')}
+    SELECT doc_id, a.translit, b.listed_punctuation, c.kept_the, stripped, fallback
+    FROM t JOIN a USING (doc_id) JOIN b USING (doc_id) JOIN c USING (doc_id)""",
 )
 def title_variants(spark, d):
     c = F.col("text")

@@ -26,11 +26,21 @@ def before_dedupe(x: str, punct: str = r"[^\w\s]", the: str = r"\bthe\s*$",
 def dedupe(x: str) -> str:
     parts = f"string_split({x}, ' ')"
     return (
-        f"array_to_string(list_filter({parts}, lambda t, i: list_position({parts}, t) = i"
-        f" AND t <> ''), ' ')"
+        f"array_to_string(list_filter({parts}, lambda token, i:"
+        f" list_position({parts}, token) = i AND token <> ''), ' ')"
     )
 
 
+def dedupe_long(name: str, table: str, key: str, column: str) -> str:
+    """CTEs that dedupe the tokens of long texts (by grouping, not by list search)."""
+    return f"""{name}_u AS (SELECT {key}, unnest(string_split({column}, ' ')) AS token,
+    unnest(range(len(string_split({column}, ' ')))) AS pos FROM {table}
+), {name}_f AS (SELECT {key}, token, min(pos) AS pos FROM {name}_u WHERE token <> ''
+  GROUP BY {key}, token
+), {name} AS (SELECT {key}, coalesce(string_agg(token, ' ' ORDER BY pos), '') AS {column}
+  FROM {table} LEFT JOIN {name}_f USING ({key}) GROUP BY {key})"""
+
+
 def title(x: str, **options) -> str:
     return dedupe(before_dedupe(x, **options))
 
