@@ -50,7 +50,8 @@ def lookup_by_key(
     one lookup row is copied to each part; all other keys join as usual.
     """
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.filter(F.col("_rows") >= hot_rows).orderBy(F.col("_rows").desc())
+    # The keys settle ties, so that both sides of the join agree on the largest ones.
+    largest = sizes.filter(F.col("_rows") >= hot_rows).orderBy(F.col("_rows").desc(), *keys)
     hot = largest.limit(HOT_KEYS).select(
         *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -116,10 +117,14 @@ def dataset_tag(name: Column) -> Column:
     return F.coalesce(*known, F.lit("DATA"))
 
 
+def read_rules(spark: SparkSession, path: str) -> list[dict]:
+    """Row schema rules, a JSON array of ``{field, type, rule}`` (one entry per field)."""
+    rules = spark.read.schema("field string, type string, rule string").json(path, multiLine=True)
+    return [r.asDict() for r in rules.collect()]
+
+
 def load_stages(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """Stage outputs by name; one that does not exist is left out."""
-    from pyspark.errors import AnalysisException
-
     found = {}
     for name, path in paths.items():
         try:

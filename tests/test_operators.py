@@ -96,6 +96,16 @@ def test_lookup_splits_hot_keys_and_matches_nulls(spark, hot_rows):
         assert Counter(tuple(r) for r in got.select("id", "k", "v").collect()) == want
 
 
+def test_lookup_with_more_hot_keys_than_are_split(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "HOT_KEYS", 3)
+    left = spark.createDataFrame([(i, i % 10) for i in range(500)], "id long, k int")
+    right = spark.createDataFrame([(k, str(k)) for k in range(9)], "k int, v string")
+    got = keyed.lookup_by_key(left, right, ["k"], ["id"], "inner", splits=4, hot_rows=10)
+    assert sorted((r.id, r.v) for r in got.collect()) == [
+        (i, str(i % 10)) for i in range(500) if i % 10 < 9
+    ]
+
+
 def test_flag_duplicates(spark):
     rows = [(i, f"k{i % 5 if i < 50 else i}") for i in range(60)]
     got = keyed.flag_duplicates(spark.createDataFrame(rows, "id long, k string"), ["k"], ["id"])

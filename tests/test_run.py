@@ -6,7 +6,8 @@ import json
 
 import pytest
 
-from ratefuse.plans import fuse
+from ratefuse.operators import validate
+from ratefuse.plans import fuse, reports
 from ratefuse.sources import readers, specs, writers
 
 
@@ -140,3 +141,45 @@ def test_nothing_left_fails(spark, tmp_path):
     config = fuse.RunConfig(str(tmp_path / "o"), {"movielens": {"file_path": path}}, "r", 2026)
     with pytest.raises(ValueError):
         fuse.run(spark, config)
+
+
+def test_reports_of_two_runs(spark, tmp_path):
+    """One film of the first source comes without, then with a rating: only the static
+    run keeps the first row, so the film has one rating there and is filtered."""
+    files = sources(tmp_path)
+    with open(files["imdb"]["file_path"], encoding="utf-8") as f:
+        lines = list(csv.reader(f))
+    unrated = list(lines[4])
+    unrated[lines[0].index("averageRating")] = ""
+    write_csv(files["imdb"]["file_path"], lines[0], [*lines[1:4], unrated, lines[4]])
+    results = {}
+    for dialect in ("static", "adaptive"):
+        config = fuse.RunConfig(str(tmp_path / dialect), files, "r", 2026, dialect)
+        paths = fuse.run(spark, config)
+        stages = readers.load_stages(spark, {s: paths[s] for s in ("cleaned", "wide", "final")})
+        results[dialect] = reports.Result(*stages.values())
+    tables = reports.compare_results(results["adaptive"], results["static"])
+    overall = tables["summary"].filter("scope = 'entity_key_overall'").first()
+    assert (overall.tp, overall.fp, overall.fn) == (1, 1, 0)
+    assert {k: t.count() for k, t in tables.items()} == {
+        "summary": 5, "false_negatives": 0, "false_positives": 1, "id_conflicts": 0, "pairs": 1,
+        "field_mismatch": 8, "triples": 2, "stage_loss": 1,
+    }
+    assert tables["false_positives"].first().root_cause == (
+        "static_filtered_or_postmerge_change(count_ratings=1);imdb_conflict_adaptive_vs_static"
+    )
+    analysis = reports.analyze_result(results["static"].clean, results["static"].final)
+    assert all(t.count() > 0 for t in analysis.values())
+    assert {r.source: r.found for r in analysis["coverage"].collect()}["movielens"] == 1
+
+
+def test_rule_file(spark, tmp_path):
+    path = tmp_path / "rules.json"
+    path.write_text(json.dumps([{"field": "rating", "type": "float", "rule": "never NaN"}], indent=1))
+    rules = readers.read_rules(spark, str(path))
+    assert rules == [{"field": "rating", "type": "float", "rule": "never NaN"}]
+    rows = spark.createDataFrame(
+        [(1, "", 2000, [], float("nan"))],
+        "ID long, title string, release_year int, genres array<string>, rating double",
+    )
+    assert validate.check_schema(rows, spec=rules).first().errors == [validate.ERR_RATING]
