@@ -453,7 +453,8 @@ _LINE_TABLE = """t AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
 
 
 def _outlier_query(name, method, low, high):
-    shown = ", ".join(f"round({_treated(c, method)}, 4) AS {c}" for c in _VALUES)
+    # Seven places: the squared prices have seven, so no value lies on a rounding tie.
+    shown = ", ".join(f"round({_treated(c, method)}, 7) AS {c}" for c in _VALUES)
 
     @query(
         name,
@@ -468,7 +469,7 @@ def _outlier_query(name, method, low, high):
             F.when(F.col("l_returnflag") != "R", 1 / (F.lit(0.02) + tax + F.col("l_discount")))
             .alias("tax_share"),
         )
-        return flat(score.treat_outliers(rows, _VALUES, method), 4)
+        return flat(score.treat_outliers(rows, _VALUES, method), 7)
 
 
 _outlier_query("outlier_cap", "cap", 0.25, 0.75)
