@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratefuse.llm import html_text, language, secrets, toxicity
+from ratefuse.llm import (
+    html_text, jaccard, language, minhash, mixing, packing, secret_scan, topk, toxicity,
+)
 from ratefuse.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_secrets")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.report(read(spark, sf_dir, "documents"))
+    return secret_scan.report(read(spark, sf_dir, "documents"))
 
 
 @query("op2_language")
@@ -42,3 +44,46 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_html_text")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+@query("op3_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents"))
+
+
+@query("op7_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+_TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+    AS rank
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query("op8_topk", _TOPK_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"))
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query("op10_minhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprint_edits(read(spark, sf_dir, "documents"))
