@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SPACES = b" \t\n\x0b\x0c\r"
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one vectorised step works on.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

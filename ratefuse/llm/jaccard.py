@@ -13,7 +13,8 @@ skipping:
   set form a group whose answers come from one another: block by block as bit matrices over
   the group's shingles, without making candidate pairs.
 
-What is left meets pair by pair. No pair of different components goes unexamined.
+What is left meets pair by pair. No pair of different components goes unexamined. Before two
+sets are compared, the counts of their shingles by hash bucket bound what they can share.
 
 Defined results: documents without words or text have an empty set and are linked with
 nothing. Rows of one id with different texts are one document with several sets. A null id
@@ -43,6 +44,9 @@ SMALL_SIDE = 1_000_000
 #: Shingles of one side of a block of a group.
 BLOCK_SHINGLES = 250_000
 
+#: Buckets of the counts that bound an overlap; counts stop at 255, which keeps the bound.
+BUCKETS = 128
+
 Ratio = tuple[int, int]
 
 
@@ -60,15 +64,19 @@ def _each_set(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
 def _summaries(width: int, ratio: Ratio):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two, prefix = [], [], [], []
+            n, one, two, prefix, counts = [], [], [], [], []
             for s in _each_set(batch.column("text"), width):
                 n.append(len(s))
                 one.append(int(mixed(s).sum(dtype=np.uint64).astype(np.int64)))
                 two.append(int(mixed(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).astype(np.int64)))
                 prefix.append(s[: prefix_length(len(s), ratio)].astype(np.int64) if len(s) else [])
+                bucket = (s & np.uint64(BUCKETS - 1)).astype(np.int64)
+                count = np.bincount(bucket, minlength=BUCKETS)
+                counts.append(np.minimum(count, 255).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()),
+                    "counts": pa.array(counts, pa.binary()),
                     "h1": pa.array(one, pa.int64()), "h2": pa.array(two, pa.int64()),
                     "prefix": pa.array(prefix, pa.list_(pa.int64())),
                 }
@@ -104,14 +112,19 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text")
 
 
-def distinct_sets(docs: DataFrame, width: int, ratio: Ratio = (9, 10)) -> DataFrame:
-    """One row a document: doc_id, n, rep (smallest id with an equal set), h1, prefix."""
-    schema = "doc_id long, n long, h1 long, h2 long, prefix array<long>"
-    sets = stored(_texts(docs).mapInArrow(_summaries(width, ratio), schema), "sets")
+def summaries(docs: DataFrame, width: int, ratio: Ratio) -> DataFrame:
+    """One row a document: size and hashes of its set, prefix, counts by bucket."""
+    schema = "doc_id long, n long, counts binary, h1 long, h2 long, prefix array<long>"
+    return stored(_texts(docs).mapInArrow(_summaries(width, ratio), schema), "sets")
+
+
+def distinct_sets(sets: DataFrame) -> DataFrame:
+    """One row a document: doc_id, n, rep (smallest id with an equal set), h1."""
     reps = sets.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("least"))
-    joined = sets.join(reps, ["n", "h1", "h2"], "left")
+    own = sets.select("doc_id", "n", "h1", "h2")
+    joined = own.join(reps, ["n", "h1", "h2"], "left")
     return stored(
-        joined.select("doc_id", "n", F.coalesce("least", "doc_id").alias("rep"), "h1", "prefix"),
+        joined.select("doc_id", "n", F.coalesce("least", "doc_id").alias("rep"), "h1"),
         "distinct-sets",
     )
 
@@ -166,6 +179,26 @@ def overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
+def possible(pairs: DataFrame, sets: DataFrame, ratio: Ratio) -> DataFrame:
+    """The pairs (a, b) whose counts by bucket do not rule the ratio out."""
+
+    @arrow_udf("boolean")
+    def fits(na: pa.Array, nb: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
+        size = na.to_numpy() + nb.to_numpy()
+        x, y = (
+            np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+            for c in (a, b)
+        )
+        most = (size - np.abs(x - y).sum(axis=1)) // 2  # that both can share
+        return pa.array(most * sum(ratio) >= size * ratio[0])
+
+    side = lambda k: sets.select(
+        F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("counts").alias(f"c{k}")
+    )
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.filter(fits("na", "nb", "ca", "cb")).select("a", "b").distinct()
+
+
 def compared(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """The pairs (a, b) with the sizes of both sets and of what they share."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(
@@ -186,9 +219,11 @@ def _alike(ratio: Ratio) -> Column:
     return (F.col("common") * ratio[1] >= union * ratio[0]) & (F.col("common") > 0)
 
 
-def verified(docs: DataFrame, pairs: DataFrame, width: int, ratio: Ratio) -> DataFrame:
+def verified(
+    docs: DataFrame, pairs: DataFrame, sets: DataFrame, width: int, ratio: Ratio
+) -> DataFrame:
     """The pairs whose exact similarity reaches the ratio."""
-    pairs = stored(pairs, "pairs")
+    pairs = stored(possible(pairs, sets, ratio), "pairs")
     return stored(compared(docs, pairs, width), "compared").filter(_alike(ratio)).select("a", "b")
 
 
@@ -270,32 +305,41 @@ def _group_links(
     return cells.groupBy("host", "i", "j").applyInArrow(_cell(ratio), "a long, b long")
 
 
-def links(docs: DataFrame, sets: DataFrame, width: int, ratio: Ratio) -> DataFrame:
+def links(
+    docs: DataFrame, summed: DataFrame, sets: DataFrame, width: int, ratio: Ratio
+) -> DataFrame:
     """Pairs (a, b) of representatives that are linked and connect all components."""
-    frequent = Shared(docs.sparkSession, _frequent(sets))
+    frequent = Shared(docs.sparkSession, _frequent(summed))
     reps = sets.filter("n > 0 AND doc_id = rep").select("doc_id", "n", "h1").distinct()
     prefixes = _texts(docs).mapInArrow(
         _prefixes(width, ratio, frequent), "doc_id long, n long, h1 long, prefix array<long>"
     )
-    index = stored(
-        prefixes.join(reps, ["doc_id", "n", "h1"], "left_semi")
-        .select(F.col("doc_id").alias("id"), "n", F.posexplode("prefix").alias("k", "s")),
-        "index",
+    prefixes = stored(
+        prefixes.join(reps, ["doc_id", "n", "h1"], "left_semi").select(
+            F.col("doc_id").alias("id"), "n", "prefix"
+        ),
+        "prefixes",
+    )
+    index = prefixes.select(
+        "id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("k", "s")
     )
-    first = index.groupBy("s").agg(
-        F.count("*").alias("entries"), F.min("id").alias("lead"),
-        F.min_by("n", "id").alias("lead_n"), F.min_by("k", "id").alias("lead_k"),
-    ).filter("entries > 1")
+    # only lists of two entries or more matter, a small part of all
+    first = index.groupBy("s").agg(F.count("*").alias("entries"), F.min("id").alias("lead"))
+    first = first.filter("entries > 1").select("s", "lead")
     lists = stored(index.join(first, "s"), "lists")
+    heads = lists.filter("id = lead").groupBy("s").agg(
+        F.min("n").alias("lead_n"), F.min("k").alias("lead_k")
+    )
     n, k = F.col("n"), F.col("k")
-    star = lists.filter(
-        (F.col("id") != F.col("lead")) & _size_fits(n, F.col("lead_n"), ratio)
-        & _place_fits(n, k, F.col("lead_n"), F.col("lead_k"), ratio)
+    near = (ratio[0] * 8, ratio[1] * 10)  # similar enough to share a group
+    star = lists.filter("id <> lead").join(heads, "s").filter(
+        _size_fits(n, F.col("lead_n"), near)
     ).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    star = stored(compared(docs, stored(star, "pairs"), width), "compared")
+    star = stored(possible(star, summed, near), "pairs")
+    star = stored(compared(docs, star, width), "compared")
     found = [star.filter(_alike(ratio)).select("a", "b")]
     known = components(found[0])
-    hosts = star.filter(_alike((6, 10))).groupBy(F.col("b").alias("id")).agg(
+    hosts = star.filter(_alike(near)).groupBy(F.col("b").alias("id")).agg(
         F.min("a").alias("host"), F.min("nb").alias("n")
     )
     own = F.coalesce("component", "id").alias("component")
@@ -322,7 +366,7 @@ def links(docs: DataFrame, sets: DataFrame, width: int, ratio: Ratio) -> DataFra
         _size_fits(F.col("x.n"), F.col("y.n"), ratio)
         & _place_fits(F.col("x.n"), F.col("x.k"), F.col("y.n"), F.col("y.k"), ratio)
     ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    found.append(verified(docs, left, width, ratio))
+    found.append(verified(docs, left, summed, width, ratio))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -337,8 +381,9 @@ def with_components(sets: DataFrame, linked: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, width: int = 3, ratio: Ratio = (9, 10)) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id."""
-    sets = distinct_sets(docs, width, ratio)
-    return with_components(sets, links(docs, sets, width, ratio))
+    summed = summaries(docs, width, ratio)
+    sets = distinct_sets(summed)
+    return with_components(sets, links(docs, summed, sets, width, ratio))
 
 
 def keep_first(docs: DataFrame, width: int = 5, ratio: Ratio = (4, 5)) -> DataFrame:

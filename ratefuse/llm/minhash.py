@@ -182,7 +182,8 @@ def near_copies(
             keys = keys * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k] + np.uint64(1)
         return pa.array(list(keys.astype(np.int64)), pa.list_(pa.int64()))
 
-    sets = jaccard.distinct_sets(docs, WORDS)
+    summed = jaccard.summaries(docs, WORDS, similarity)
+    sets = jaccard.distinct_sets(summed)
     banded = (
         docs.join(sets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
         .select("doc_id", F.posexplode(cut(F.coalesce("text", F.lit("")))).alias("band", "key"))
@@ -192,5 +193,5 @@ def near_copies(
         banded.join(lead, ["band", "key"]).filter("doc_id <> lead")
         .select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
     )
-    links = jaccard.verified(docs, pairs, WORDS, similarity)
+    links = jaccard.verified(docs, pairs, summed, WORDS, similarity)
     return jaccard.with_components(sets, links)
