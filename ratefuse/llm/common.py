@@ -40,6 +40,14 @@ class Shared:
         return self._value
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a stored table that no later step reads."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def held_out() -> Column:
     """True for the rows that no label may be learnt from; a null id is not held out."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4

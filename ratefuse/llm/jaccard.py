@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ratefuse.llm.common import Shared, mixed, shingles, steps
+from ratefuse.llm.common import Shared, discard, mixed, shingles, steps
 from ratefuse.llm.components import components
 from ratefuse.operators.stored import stored
 
@@ -44,8 +44,8 @@ SMALL_SIDE = 1_000_000
 #: Shingles of one side of a block of a group.
 BLOCK_SHINGLES = 250_000
 
-#: Buckets of the counts that bound an overlap; counts stop at 255, which keeps the bound.
-BUCKETS = 128
+#: Shingles of a set for each bucket of the counts that bound an overlap, about.
+PER_BUCKET = 4
 
 Ratio = tuple[int, int]
 
@@ -61,6 +61,23 @@ def _each_set(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
             yield np.unique(hashes[begin[k] : begin[k + 1]])
 
 
+def _bucket_counts(s: np.ndarray) -> bytes:
+    """Counts of the shingles by their last bits, a byte each; empty if a byte is too small."""
+    buckets = 1 << max(5, (len(s) // PER_BUCKET).bit_length())
+    count = np.bincount((s & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return count.astype(np.uint8).tobytes() if len(s) and count.max() < 256 else b""
+
+
+def _most_common(a: bytes, b: bytes, size: int) -> int:
+    """Upper bound of the shingles that two sets of together ``size`` can share."""
+    if not a or not b:
+        return size
+    x, y = (np.frombuffer(c, np.uint8).astype(np.int32) for c in (a, b))
+    buckets = min(len(x), len(y))
+    apart = x.reshape(-1, buckets).sum(axis=0) - y.reshape(-1, buckets).sum(axis=0)
+    return (size - int(np.abs(apart).sum())) // 2
+
+
 def _summaries(width: int, ratio: Ratio):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,9 +87,7 @@ def _summaries(width: int, ratio: Ratio):
                 one.append(int(mixed(s).sum(dtype=np.uint64).astype(np.int64)))
                 two.append(int(mixed(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).astype(np.int64)))
                 prefix.append(s[: prefix_length(len(s), ratio)].astype(np.int64) if len(s) else [])
-                bucket = (s & np.uint64(BUCKETS - 1)).astype(np.int64)
-                count = np.bincount(bucket, minlength=BUCKETS)
-                counts.append(np.minimum(count, 255).astype(np.uint8).tobytes())
+                counts.append(_bucket_counts(s))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()),
@@ -185,12 +200,8 @@ def possible(pairs: DataFrame, sets: DataFrame, ratio: Ratio) -> DataFrame:
     @arrow_udf("boolean")
     def fits(na: pa.Array, nb: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
         size = na.to_numpy() + nb.to_numpy()
-        x, y = (
-            np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
-            for c in (a, b)
-        )
-        most = (size - np.abs(x - y).sum(axis=1)) // 2  # that both can share
-        return pa.array(most * sum(ratio) >= size * ratio[0])
+        most = [_most_common(*c) for c in zip(a.to_pylist(), b.to_pylist(), size.tolist())]
+        return pa.array(np.array(most, np.int64) * sum(ratio) >= size * ratio[0])
 
     side = lambda k: sets.select(
         F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("counts").alias(f"c{k}")
@@ -199,8 +210,8 @@ def possible(pairs: DataFrame, sets: DataFrame, ratio: Ratio) -> DataFrame:
     return joined.filter(fits("na", "nb", "ca", "cb")).select("a", "b").distinct()
 
 
-def compared(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) with the sizes of both sets and of what they share."""
+def _compared(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """The stored pairs (a, b) with the sizes of both sets and of what they share."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(
         pairs.select(F.col("b").alias("doc_id"))
     )
@@ -208,10 +219,15 @@ def compared(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     one = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
     joined = pairs.join(one, "a").join(two, "b")
-    return joined.select(
-        "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
-        overlap("sa", "sb").alias("common"),
+    out = stored(
+        joined.select(
+            "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"),
+            overlap("sa", "sb").alias("common"),
+        ),
+        "compared",
     )
+    discard(sets)
+    return out
 
 
 def _alike(ratio: Ratio) -> Column:
@@ -224,7 +240,7 @@ def verified(
 ) -> DataFrame:
     """The pairs whose exact similarity reaches the ratio."""
     pairs = stored(possible(pairs, sets, ratio), "pairs")
-    return stored(compared(docs, pairs, width), "compared").filter(_alike(ratio)).select("a", "b")
+    return _compared(docs, pairs, width).filter(_alike(ratio)).select("a", "b")
 
 
 def _cell(ratio: Ratio):
@@ -323,20 +339,13 @@ def links(
     index = prefixes.select(
         "id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("k", "s")
     )
-    # only lists of two entries or more matter, a small part of all
-    first = index.groupBy("s").agg(F.count("*").alias("entries"), F.min("id").alias("lead"))
-    first = first.filter("entries > 1").select("s", "lead")
-    lists = stored(index.join(first, "s"), "lists")
-    heads = lists.filter("id = lead").groupBy("s").agg(
-        F.min("n").alias("lead_n"), F.min("k").alias("lead_k")
-    )
-    n, k = F.col("n"), F.col("k")
+    first = index.groupBy("s").agg(F.min("id").alias("lead"))
+    lists = stored(index.join(first, "s").filter("id <> lead"), "lists")
+    discard(prefixes)
     near = (ratio[0] * 8, ratio[1] * 10)  # similar enough to share a group
-    star = lists.filter("id <> lead").join(heads, "s").filter(
-        _size_fits(n, F.col("lead_n"), near)
-    ).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    star = lists.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     star = stored(possible(star, summed, near), "pairs")
-    star = stored(compared(docs, star, width), "compared")
+    star = _compared(docs, star, width)
     found = [star.filter(_alike(ratio)).select("a", "b")]
     known = components(found[0])
     hosts = star.filter(_alike(near)).groupBy(F.col("b").alias("id")).agg(
@@ -347,7 +356,7 @@ def links(
     found.append(stored(_group_links(docs, members, width, ratio), "group-links"))
 
     rest = (
-        lists.filter("id <> lead").select("s", "id", "n", "k")
+        lists.select("s", "id", "n", "k")
         .join(members.select("id", "host"), "id", "left").join(known, "id", "left")
         .select("s", "id", "n", "k", "host", own)
     )
@@ -388,8 +397,13 @@ def join(docs: DataFrame, width: int = 3, ratio: Ratio = (9, 10)) -> DataFrame:
 
 def keep_first(docs: DataFrame, width: int = 5, ratio: Ratio = (4, 5)) -> DataFrame:
     """One document of each component, the one with the smallest id; repeated rows go, too."""
-    first = join(docs, width, ratio).filter(
-        "doc_id = component_id OR doc_id IS NULL"
-    ).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    joined = stored(join(docs, width, ratio).select("doc_id", "component_id"), "joined")
+    removed = joined.filter("doc_id <> component_id").select("doc_id")
+    repeated = stored(
+        joined.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
+        .select("doc_id"),
+        "repeated",
+    )
+    kept = docs.join(_few(removed.unionByName(repeated)), "doc_id", "left_anti")
+    once = docs.join(_few(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*docs.columns).unionByName(once.select(*docs.columns))
