@@ -9,8 +9,8 @@ skipping:
   are too small or large are never met, and an entry is passed over if the shingles behind its
   position cannot give the overlap that is needed;
 * by relations between sets: each list's first set meets all others. Sets that are in one
-  component already need no further comparison, and sets that are similar to the same first
-  set form a group whose answers come from one another: block by block as bit matrices over
+  component already need no further comparison, and sets that are similar to a first set, or to
+  one that is, form a group whose answers come from one another: block by block as bit matrices over
   the group's shingles, without making candidate pairs.
 
 What is left meets pair by pair. No pair of different components goes unexamined. Before two
@@ -43,6 +43,10 @@ MOST_FREQUENT = 1_000_000
 SMALL_SIDE = 1_000_000
 #: Shingles of one side of a block of a group.
 BLOCK_SHINGLES = 250_000
+#: Index lists of more entries are worked through block by block, shorter ones by a join.
+LONG_LIST = 64
+#: Entries of one side of a block of a long list.
+BLOCK_ENTRIES = 1024
 
 #: Shingles of a set for each bucket of the counts that bound an overlap, about.
 PER_BUCKET = 4
@@ -296,10 +300,72 @@ def _cell(ratio: Ratio):
     return links
 
 
+def _folded(counts: list[bytes], buckets: int) -> np.ndarray:
+    parts = [np.frombuffer(c, np.uint8).reshape(-1, buckets).sum(axis=0) for c in counts]
+    return np.array(parts, np.int16).reshape(-1, buckets)
+
+
+def _list_cell(ratio: Ratio):
+    def pairs(key: tuple, rows: pa.Table) -> pa.Table:
+        """Pairs of a block of a long list that neither place nor counts rule out."""
+        ids, n, k, comp, host, chunk = (
+            rows[c].to_numpy() for c in ("id", "n", "k", "component", "host", "chunk")
+        )
+        counts = [c or b"" for c in rows["counts"].to_pylist()]
+        width = np.array([len(c) for c in counts])
+        one = np.flatnonzero(chunk == chunk.min())
+        two = np.flatnonzero(chunk == chunk.max())
+        out = ([], [])
+        for p in np.unique(width[one]):
+            for q in np.unique(width[two]):
+                x, y = one[width[one] == p], two[width[two] == q]
+                least = min(p, q)
+                a, b = (
+                    _folded([counts[i] for i in side], least) if least else None for side in (x, y)
+                )
+                for lo in range(0, len(x), 64):
+                    i = x[lo : lo + 64, None]
+                    total = n[i] + n[y]
+                    good = (
+                        (ids[i] < ids[y]) | ((chunk[i] != chunk[y]) & (ids[i] != ids[y]))
+                    ) & (comp[i] != comp[y]) & ((host[i] != host[y]) | (host[i] < 0))
+                    left = np.minimum(n[i] - k[i], n[y] - k[y])
+                    good &= left * sum(ratio) >= total * ratio[0]
+                    r, c = np.nonzero(good)
+                    for at in range(0, len(r), 16_384):
+                        u, v = r[at : at + 16_384], c[at : at + 16_384]
+                        most = total[u, v]
+                        if least:
+                            apart = np.abs(a[lo + u] - b[v]).sum(axis=1, dtype=np.int64)
+                            most = (most - apart) // 2
+                        keep = most * sum(ratio) >= total[u, v] * ratio[0]
+                        out[0].append(ids[x[lo + u[keep]]])
+                        out[1].append(ids[y[v[keep]]])
+        whole = [np.concatenate(o) if o else np.zeros(0, np.int64) for o in out]
+        return pa.table({"a": pa.array(whole[0], pa.int64()), "b": pa.array(whole[1], pa.int64())})
+
+    return pairs
+
+
+def _long_lists(rest: DataFrame, summed: DataFrame, ratio: Ratio) -> DataFrame:
+    """Pairs that long lists leave possible; a list is cut into blocks that meet each other."""
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    counts = summed.select(F.col("doc_id").alias("id"), "counts").dropDuplicates(["id"])
+    cells = (
+        rest.withColumn("chunks", F.ceil(F.col("entries") / BLOCK_ENTRIES).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+        .withColumn("other", other)
+        .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other"))
+        .withColumn("host", F.coalesce("host", F.lit(-1)))
+        .join(counts, "id")
+    )
+    return cells.groupBy("s", "i", "j").applyInArrow(_list_cell(ratio), "a long, b long")
+
+
 def _group_links(
     docs: DataFrame, members: DataFrame, width: int, ratio: Ratio
 ) -> DataFrame:
-    """Links within groups (id, n, host, component) whose sets are similar to the host's."""
+    """Links within groups (id, n, host, component) of similar sets; the host names the group."""
     groups = members.groupBy("host").agg(
         F.sum("n").alias("weight"), F.min("component").alias("lo"), F.max("component").alias("hi")
     ).filter("lo <> hi")
@@ -348,9 +414,14 @@ def links(
     star = _compared(docs, star, width)
     found = [star.filter(_alike(ratio)).select("a", "b")]
     known = components(found[0])
-    hosts = star.filter(_alike(near)).groupBy(F.col("b").alias("id")).agg(
-        F.min("a").alias("host"), F.min("nb").alias("n")
+    groups = components(star.filter(_alike(near)).select("a", "b")).select(
+        "id", F.col("component").alias("host")
     )
+    sizes = star.select(F.inline(F.array(
+        F.struct(F.col("a").alias("id"), F.col("na").alias("n")),
+        F.struct(F.col("b").alias("id"), F.col("nb").alias("n")),
+    ))).groupBy("id").agg(F.min("n").alias("n"))
+    hosts = groups.join(sizes, "id")
     own = F.coalesce("component", "id").alias("component")
     members = stored(hosts.join(known, "id", "left").select("id", "host", "n", own), "members")
     found.append(stored(_group_links(docs, members, width, ratio), "group-links"))
@@ -361,9 +432,12 @@ def links(
         .select("s", "id", "n", "k", "host", own)
     )
     mixed_lists = rest.groupBy("s").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).filter("lo <> hi").select("s")
-    rest = stored(rest.join(mixed_lists, "s", "left_semi"), "rest")
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.count("*").alias("entries"),
+    ).filter("lo <> hi").select("s", "entries")
+    rest = stored(rest.join(mixed_lists, "s"), "rest")
+    by_block = _long_lists(rest.filter(F.col("entries") > LONG_LIST), summed, ratio)
+    rest = rest.filter(F.col("entries") <= LONG_LIST)
     block = F.floor(F.log("n") / F.log(F.lit(ratio[1] / ratio[0])))  # sets of similar size
     small = rest.withColumn("block", F.explode(F.array(block - 1, block, block + 1)))
     large = rest.withColumn("block", block)
@@ -374,7 +448,8 @@ def links(
     ).filter(
         _size_fits(F.col("x.n"), F.col("y.n"), ratio)
         & _place_fits(F.col("x.n"), F.col("x.k"), F.col("y.n"), F.col("y.k"), ratio)
-    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    ).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    left = stored(left.unionByName(by_block).distinct(), "left-pairs")
     found.append(verified(docs, left, summed, width, ratio))
     return reduce(DataFrame.unionByName, found)
 
