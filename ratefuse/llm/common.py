@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import re
 from collections.abc import Iterator
@@ -48,6 +49,15 @@ def discard(table: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; workers live on for later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its memory
+        return
+
+
 def held_out() -> Column:
     """True for the rows that no label may be learnt from; a null id is not held out."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4

@@ -20,6 +20,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 from ratefuse.llm.common import strings
 
@@ -201,7 +202,7 @@ def main_text(page: str) -> str:
     return " ".join("".join(out).split())
 
 
-@arrow_udf("string")
+@arrow_udf(StringType())
 def main_text_of(pages: pa.Array) -> pa.Array:
     return pa.array([main_text(p) for p in strings(pages)], pa.string())
 

@@ -30,8 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType
 
-from ratefuse.llm.common import Shared, discard, mixed, shingles, steps
+from ratefuse.llm.common import Shared, discard, give_back, mixed, shingles, steps
 from ratefuse.llm.components import components
 from ratefuse.operators.stored import stored
 
@@ -100,6 +101,8 @@ def _summaries(width: int, ratio: Ratio):
                     "prefix": pa.array(prefix, pa.list_(pa.int64())),
                 }
             )
+            del n, one, prefix
+            give_back()
 
     return work
 
@@ -123,6 +126,8 @@ def _prefixes(width: int, ratio: Ratio, frequent: Shared):
                     "prefix": pa.array(prefix, pa.list_(pa.int64())),
                 }
             )
+            del n, one, prefix
+            give_back()
 
     return work
 
@@ -185,7 +190,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return chosen.select("doc_id", shingled(F.col("text")).alias("s"))
 
 
-@arrow_udf("long")
+@arrow_udf(LongType())
 def overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     """Common elements of two sorted arrays without repeats."""
     out = np.zeros(len(a), np.int64)

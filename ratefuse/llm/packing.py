@@ -13,6 +13,7 @@ Defined results: a null or empty text has the end token only. Repeated rows are
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -21,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ratefuse.llm.common import give_back
+
 LENGTH = 1024
 END = 0
 
@@ -45,17 +48,14 @@ class Encoder:
     def __init__(self, path: str) -> None:
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        letters = byte_letters()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.special = tuple(t.content for t in added.values())
+
+        with open(path, encoding="utf8") as file:
+            parts = json.load(file)
+        self.path, self.tokenizer, letters = path, None, byte_letters()
+        self.special = tuple(t["content"] for t in parts["added_tokens"])
         ranks = {
             bytes(letters[c] for c in token): k
-            for token, k in vocabulary.items() if token not in self.special
+            for token, k in parts["model"]["vocab"].items() if token not in self.special
         }
         self.fast = tiktoken.Encoding(
             "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
@@ -63,6 +63,11 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         if any(s in text for s in self.special):
+            if self.tokenizer is None:
+                from tokenizers import Tokenizer
+
+                os.environ["TOKENIZERS_PARALLELISM"] = "false"
+                self.tokenizer = Tokenizer.from_file(self.path)
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode_ordinary(text)
@@ -136,6 +141,7 @@ def _packing(path: str, length: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        give_back()
         encoder, packer = Encoder(path), Packer(length)
         sequence = TaskContext.get().partitionId() << 36
         end = np.array([END], "<u4").tobytes()
@@ -158,9 +164,8 @@ def _packing(path: str, length: int):
             return pa.RecordBatch.from_arrays(out, names)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for doc_id, text in zip(ids, texts):
-                tokens = encoder.encode(text or "") + end
+            for doc_id, text in zip(batch.column(0), batch.column(1)):
+                doc_id, tokens = doc_id.as_py(), encoder.encode(text.as_py() or "") + end
                 n, step = len(tokens) // 4, 4 * length
                 for at in range(0, len(tokens), step):
                     piece = (doc_id, at // 4, tokens[at : at + step], n)

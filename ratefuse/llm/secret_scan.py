@@ -303,9 +303,9 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
 
     @arrow_udf("string")
     def cleaned(texts: pa.Array) -> pa.Array:
-        out = texts.to_pylist()
+        out = {}
         for i in np.flatnonzero(interesting(texts)):
-            text, done, parts = out[i] or "", 0, []
+            text, done, parts = texts[int(i)].as_py() or "", 0, []
             for start, end, _ in scan(text, shared.value)[1]:
                 if end <= done:
                     continue
@@ -314,7 +314,9 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
                 done = end
             if parts:
                 out[i] = "".join([*parts, text[done:]])
-        return pa.array(out, pa.string())
+        changed = np.zeros(len(texts), bool)
+        changed[list(out)] = True
+        return pc.replace_with_mask(texts, pa.array(changed), pa.array(list(out.values()), texts.type))
 
     kept = docs.columns
     changed = docs.withColumn("text", cleaned(F.col("text")))
