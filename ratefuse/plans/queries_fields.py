@@ -342,8 +342,3 @@ def stable_row_id(spark, d):
 def seeded_sample(spark, d):
     orders = tables.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     return analyze.seeded_sample(orders, "o_orderkey", 5, 42)
-
-
-@query("file_inventory")
-def file_inventory(spark, d):
-    return readers.file_inventory(spark, f"{d}/*.parquet")
