@@ -2,7 +2,6 @@
 
 import datetime as dt
 import random
-import re
 import sys
 import unicodedata
 
