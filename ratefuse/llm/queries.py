@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ratefuse.llm import (
-    html_text, jaccard, language, minhash, mixing, packing, secret_scan, topk, toxicity,
+    html_text, jaccard, language, minhash, mixing, packing, repeats, secret_scan, topk,
+    toxicity,
 )
 from ratefuse.llm.common import read
 
@@ -51,6 +52,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(read(spark, sf_dir, "documents"))
 
 
+@query("op4_repeats")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(read(spark, sf_dir, "documents"))
+
+
 @query("op7_mixing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
