@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ratefuse.operators.stored import stored
+
 #: White space of the word contracts; anything else is part of a word.
 SPACES = b" \t\n\x0b\x0c\r"
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -49,6 +51,16 @@ def discard(table: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Store a table and let go of the shuffle files behind it.
+
+    Spark deletes them once the driver's JVM has collected the plans that made them.
+    """
+    out = stored(df, name)
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
 def give_back() -> None:
     """Return freed memory to the system; workers live on for later stages."""
     pa.default_memory_pool().release_unused()

@@ -1,6 +1,6 @@
 """Removal of passages that an earlier document has too, by longest-previous-factor arrays.
 
-Every window of 50 bytes has a key, the smallest hash of the 24-byte strings in it, so equal
+Every window of 50 bytes has a key, the smallest hash of the 20-byte strings in it, so equal
 windows share a key. Neighbouring windows of one key form a context, and texts are compared
 in this order:
 
@@ -24,20 +24,23 @@ nor rows of one id repeat each other. Texts under 50 bytes keep everything.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ratefuse.llm.common import discard, prefix_hash, span_hash, steps, utf8
-from ratefuse.operators.stored import stored
+from ratefuse.llm.common import discard, prefix_hash, settle, span_hash, steps, utf8
 
 LENGTH = 50
-GRAM = 24
+GRAM = 20
 #: Bytes of text that one vectorised step works on.
 STEP = 256 << 10
 #: Contexts of one key that one task may sort; more go through their windows.
 CONTEXTS = 4000
+#: Shares of the keys that go through the first step one after another, which keeps its
+#: shuffles small; every share reads all texts.
+SHARES = 2
 #: Windows sorted at once.
 SORTED = 100_000
 
@@ -91,11 +94,12 @@ def _pieces(texts: pa.Array, length: int) -> Iterator[tuple[int, int, np.ndarray
             yield lo, at, part, np.array([0, len(part)])
 
 
-_CONTEXT = "key long, whole long, doc long, part long, lo int, n int"
-_CONTEXT_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+#: A place is the start times 64 plus the number of windows, which is below 64. Columns that
+#: compress well stand together; these rows are most of what is shuffled.
+_CONTEXT = "part long, key long, whole long, doc long, place long"
 
 
-def _contexts(length: int, gram: int):
+def _contexts(length: int, gram: int, share: int):
     names = [c.split()[0] for c in _CONTEXT.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,11 +107,12 @@ def _contexts(length: int, gram: int):
             doc, part = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for row, offset, data, ends in _pieces(batch.column(2), length):
                 text, lo, n, key, whole = contexts(data, ends, length, gram)
-                text = text + row
-                columns = (key.view(np.int64), whole.view(np.int64), doc[text], part[text])
-                columns += (lo + offset, n)
+                own = np.flatnonzero(key % np.uint64(SHARES) == share)
+                text, key, whole = text[own] + row, key[own], whole[own]
+                columns = (part[text], key.view(np.int64), whole.view(np.int64), doc[text])
+                columns += (lo[own] + offset << 6 | n[own],)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, _CONTEXT_TYPES)], names
+                    [pa.array(c, pa.int64()) for c in columns], names
                 )
 
     return work
@@ -207,7 +212,8 @@ def _cut(length: int):
             size = lists.value_lengths().to_numpy(zero_copy_only=False)
             owner = np.repeat(np.arange(len(batch)), size)
             flat = lists.flatten()
-            lo, n, whole = (flat.field(k).to_numpy() for k in ("lo", "n", "whole"))
+            place, whole = (flat.field(k).to_numpy() for k in ("place", "whole"))
+            lo, n = place >> 6, place & 63
             data, ends = utf8(batch.column("text"))
             good = ends[owner] + lo + n + length - 1 <= ends[owner + 1]  # else of a like id
             start = ends[owner] + lo
@@ -220,7 +226,7 @@ def _cut(length: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     flat.field("key"), flat.field("hot"),
-                    batch.column("doc").take(of), flat.field("n"), flat.field("whole"),
+                    batch.column("doc").take(of), pa.array(n[pick]), flat.field("whole"),
                     pa.array([raw[a:b] for a, b in zip(begin, end)], pa.binary()),
                 ],
                 names,
@@ -267,9 +273,10 @@ def _removed(length: int):
             size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             upto = np.concatenate(([0], np.cumsum(size)))
             flat = lists.flatten()
-            lo, n, whole, bits = (
-                flat.field(k).to_numpy(zero_copy_only=False) for k in ("lo", "n", "whole", "bits")
+            place, whole, bits = (
+                flat.field(k).to_numpy(zero_copy_only=False) for k in ("place", "whole", "bits")
             )
+            lo, n = place >> 6, place & 63
             owner = np.repeat(np.arange(len(batch)), size)
             good = ends[owner] + lo + n + length - 1 <= ends[owner + 1]
             start = ends[owner] + lo
@@ -299,7 +306,7 @@ def _windows(hot: DataFrame, length: int) -> DataFrame:
     """The repeated windows of contexts whose key has very many of them."""
     each = hot.select(
         "key", "doc", "whole", "bytes",
-        F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"),
+        F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)).alias("j"),
     ).withColumn("window", F.substring(F.col("bytes"), F.col("j") + 1, F.lit(length)))
     each = each.drop("bytes")
     least = each.groupBy("window").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
@@ -319,44 +326,54 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.lit(0)).alias("part"),
         text.alias("text"),
     )
-    runs = own.select("doc", "part", "text").mapInArrow(_contexts(length, gram), _CONTEXT)
-    keys = (
-        runs.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-        .filter("first < last").select("key")
-    )
-    keys = stored(keys, "repeats-keys")
-    meet = stored(runs.join(keys, "key", "left_semi"), "repeats-contexts")
-    discard(keys)
-
-    place: Column = F.struct("doc", "part", "lo", "n")
-    folded = meet.groupBy("key", "whole").agg(F.min(place).alias("at"))
-    folded = stored(folded.select("key", "whole", "at.*"), "repeats-folded")
+    shares = []
+    for share in range(SHARES):
+        texts = own.select("doc", "part", "text")
+        runs = texts.mapInArrow(_contexts(length, gram, share), _CONTEXT)
+        keys = (
+            runs.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+            .filter("first < last").select("key")
+        )
+        keys = settle(keys, "repeats-keys")
+        shares.append(settle(runs.join(keys, "key", "left_semi"), "repeats-contexts"))
+        discard(keys)
+    meet = reduce(DataFrame.unionByName, shares)
+
+    at = F.struct("doc", "part", "place")
+    folded = meet.groupBy("key", "whole").agg(F.min(at).alias("at"))
+    folded = settle(folded.select("key", "whole", "at.*"), "repeats-folded")
     sizes = folded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     listed = (
         folded.join(sizes, "key").withColumn("hot", F.col("size") > F.lit(CONTEXTS))
         .groupBy("doc", "part")
-        .agg(F.collect_list(F.struct("key", "hot", "lo", "n", "whole")).alias("contexts"))
+        .agg(F.collect_list(F.struct("key", "hot", "place", "whole")).alias("contexts"))
     )
     bytes_ = own.select("doc", "part", "text").join(listed, ["doc", "part"]).mapInArrow(
         _cut(length),
-        "key long, hot boolean, doc long, n int, whole long, bytes binary",
+        "key long, hot boolean, doc long, n long, whole long, bytes binary",
     )
-    bytes_ = stored(bytes_, "repeats-bytes")
+    bytes_ = settle(bytes_, "repeats-bytes")
     in_order = (
         bytes_.filter(~F.col("hot")).drop("hot").repartition("key").sortWithinPartitions("key")
         .mapInArrow(_sorted(length), _FOUND)
     )
     marked = in_order.unionByName(_windows(bytes_.filter("hot"), length))
+    marked = settle(marked, "repeats-marked")
+    discard(bytes_)
     known = folded.select("key", "whole", F.col("doc").alias("first")).join(
         marked.groupBy("key", "whole").agg(F.bit_or("bits").alias("bits")), ["key", "whole"], "left"
     )
-    every = F.expr("shiftleft(1L, n) - 1")
+    every = F.expr("shiftleft(1L, cast(place & 63 as int)) - 1")
     found = (
         meet.join(known, ["key", "whole"]).filter("first < doc or bits is not null")
         .withColumn("bits", F.when(F.col("first") < F.col("doc"), every).otherwise(F.col("bits")))
     )
+    found = settle(found.select("doc", "part", "place", "whole", "bits"), "repeats-found")
+    discard(meet)  # all shares
+    discard(folded)
+    discard(marked)
     by_doc = found.groupBy("doc", "part").agg(
-        F.collect_list(F.struct("lo", "n", "whole", "bits")).alias("found")
+        F.collect_list(F.struct("place", "whole", "bits")).alias("found")
     )
     return own.join(by_doc, ["doc", "part"], "left").select("doc_id", "text", "found").mapInArrow(
         _removed(length),
