@@ -115,7 +115,52 @@ def validate_table(
     return out
 
 
-def _finding(name: str, check: str, column: str, n_bad: Column) -> Column:
+def validate_by_source(
+    rows: DataFrame, name: str, max_year: int,
+    ranges: dict[str, tuple[float, float]] = RATING_RANGES,
+) -> DataFrame:
+    """Findings of long rows (source, title, year, rating), each source by itself.
+
+    A rating is held against the range of its source, and a film is repeated only if one
+    source has it twice.  One aggregate by film, then one by source.
+    """
+    films = rows.groupBy("source", "title", "year").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(bad_year("year", max_year)).alias("year_bad"),
+        F.count_if(_outside_source(ranges)).alias("range_bad"),
+    )
+    repeated = F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))
+    totals = films.groupBy("source").agg(
+        F.sum("year_bad").alias("year_bad"), F.sum("range_bad").alias("range_bad"),
+        repeated.alias("repeated"),
+    )
+    table = F.concat(F.lit(f"{name}/"), F.col("source"))
+    lines = [
+        _finding(table, "year", "year", F.col("year_bad")),
+        _finding(table, "range", "rating", F.col("range_bad")),
+        _finding(table, "duplicate", "title,year", F.col("repeated")),
+    ]
+    return totals.select(F.inline(F.array(*lines))).filter("n_bad > 0")
+
+
+def _outside_source(ranges: dict[str, tuple[float, float]]) -> Column:
+    low, high = (F.lit(float(bound)) for bound in DEFAULT_RANGE)
+    for column, (least, most) in ranges.items():
+        here = F.col("source") == column.removeprefix("rating_")
+        low = F.when(here, float(least)).otherwise(low)
+        high = F.when(here, float(most)).otherwise(high)
+    rating = F.col("rating").cast("double")
+    return F.coalesce(~rating.between(low, high) & ~F.isnan(rating), F.lit(False))
+
+
+def invalid_by_source(
+    rows: DataFrame, max_year: int, ranges: dict[str, tuple[float, float]] = RATING_RANGES
+) -> DataFrame:
+    """Long rows with an invalid year, or a rating outside the range of their source."""
+    return rows.filter(bad_year("year", max_year) | _outside_source(ranges))
+
+
+def _finding(name: str | Column, check: str, column: str, n_bad: Column) -> Column:
     # Wording of the findings.
     wording = {
         "year": f"rows with an invalid year in {column}",
@@ -123,9 +168,10 @@ def _finding(name: str, check: str, column: str, n_bad: Column) -> Column:
         "empty": "table is empty",
         "duplicate": f"rows are duplicates of ({column})",
     }
-    text = F.concat(F.lit(f"{name}: "), n_bad.cast("string"), F.lit(f" {wording[check]}"))
+    name = F.lit(name)
+    text = F.concat(name, F.lit(": "), n_bad.cast("string"), F.lit(f" {wording[check]}"))
     return F.struct(
-        F.lit(name).alias("df_name"), F.lit(check).alias("check"), F.lit(column).alias("column"),
+        name.alias("df_name"), F.lit(check).alias("check"), F.lit(column).alias("column"),
         n_bad.alias("n_bad"), text.alias("message"),
     )
 
@@ -146,9 +192,9 @@ def invalid_rows(df: DataFrame, max_year: int,
     return df.filter(failed)
 
 
-def duplicated_rows(df: DataFrame, row_id: list[str]) -> DataFrame:
-    """All rows whose (title, year) occurs more than once."""
-    return flag_duplicates(df, ["title", year_column(df)], row_id)
+def duplicated_rows(df: DataFrame, row_id: list[str], within: list[str] = ()) -> DataFrame:
+    """All rows whose (title, year) occurs more than once, or more than once ``within`` a group."""
+    return flag_duplicates(df, [*within, "title", year_column(df)], row_id)
 
 
 def validate_or_raise(df: DataFrame, name: str, max_year: int, **options) -> None:
@@ -195,7 +241,9 @@ def rule_errors(policy: RulePolicy, fields: set[str]) -> Column:
         "ID": F.when(F.col("ID").isNull(), ERR_ID),
         "title": wrong_title,
         "release_year": F.when(wrong_year, ERR_YEAR),
-        "genres": F.when(F.exists("genres", lambda g: g.isNull()), ERR_GENRES),
+        "genres": F.when(
+            F.col("genres").isNull() | F.exists("genres", lambda g: g.isNull()), ERR_GENRES
+        ),
         "rating": F.when(F.col("rating").isNull() | F.isnan("rating"), ERR_RATING),
     }
     errors = F.array_compact(F.array(*[r for f, r in rules.items() if f in fields]))

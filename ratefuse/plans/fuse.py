@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -39,6 +39,10 @@ class RunConfig:
     def path(self, stage: str) -> str:
         return f"{self.base_uri.rstrip('/')}/{stage}"
 
+    def run_path(self, stage: str) -> str:
+        """Of a table that keeps the results of several runs; a repeated run replaces its own."""
+        return f"{self.path(stage)}/run_id={self.run_id}"
+
 
 def _spec(name: str, config: RunConfig) -> SourceSpec | None:
     if config.dialect == "adaptive" and name in ADAPTIVE_SPECS:
@@ -86,9 +90,9 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, str]:
     dialect = ADAPTIVE if config.dialect == "adaptive" else STATIC
     paths = {
         s: config.path(s)
-        for s in ("parsed", "routed", "cleaned", "rejects", "findings", "wide", "merged", "ambiguous",
-                  "invalid", "final", "summary")
-    }
+        for s in ("parsed", "routed", "cleaned", "wide", "merged", "ambiguous", "invalid", "duplicates",
+                  "final")
+    } | {s: config.run_path(s) for s in ("rejects", "findings", "summary")}
     parsed, names = parse_configured(spark, config)
     writers.write_table(parsed, paths["parsed"])
     parsed = spark.read.schema(parsed.schema).parquet(paths["parsed"])
@@ -101,7 +105,7 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, str]:
         raise ValueError("no row survived cleaning")
     if config.save_intermediate:
         writers.write_table(cleaned, paths["cleaned"], partition_by=["source"])
-    _report(cleaned, "cleaned", config, paths)
+    _report_sources(cleaned, "cleaned", config, paths)
 
     wide = merge.merge_long(merge.with_group_title(cleaned, dialect), names, dialect)
     writers.write_table(wide, paths["wide"])
@@ -109,7 +113,7 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, str]:
     films = merge.keep_rated(wide, dialect, config.min_ratings)
     writers.write_table(merge.ranked(films), paths["merged"])
     films = spark.read.schema(films.schema).parquet(paths["merged"])
-    rated = merge.keep_rated(wide, STATIC, config.min_ratings)
+    rated = merge.keep_rated(wide, replace(dialect, drop_ambiguous=False), config.min_ratings)
     writers.write_table(merge.ambiguous_films(rated), paths["ambiguous"])
     _report(films, "merged", config, paths)
 
@@ -123,10 +127,25 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, str]:
     return paths
 
 
+def _report_sources(rows: DataFrame, stage: str, config: RunConfig, paths: dict[str, str]) -> None:
+    """Findings of each source of a stage, its invalid rows, and its repeated ones."""
+    found = validate.validate_by_source(rows, stage, config.max_year)
+    _write_findings(found, stage, config, paths)
+    bad = validate.invalid_by_source(rows, config.max_year)
+    writers.write_table(bad, f"{paths['invalid']}/{stage}")
+    repeated = validate.duplicated_rows(rows, ["source", "row_id"], within=["source"])
+    writers.write_table(repeated, f"{paths['duplicates']}/{stage}")
+
+
+def _write_findings(found: DataFrame, stage: str, config: RunConfig, paths: dict[str, str]) -> None:
+    tagged = found.withColumn("run_id", F.lit(config.run_id))
+    writers.write_findings(tagged, f"{paths['findings']}/stage={stage}")
+
+
 def _report(df: DataFrame, stage: str, config: RunConfig, paths: dict[str, str]) -> None:
     """Findings of a stage, and its invalid rows (an empty table if there are none)."""
     found = validate.validate_table(df, stage, config.max_year, allow_empty=config.allow_empty)
-    writers.write_findings(found.withColumn("run_id", F.lit(config.run_id)), paths["findings"])
+    _write_findings(found, stage, config, paths)
     bad = validate.invalid_rows(df, config.max_year)
     writers.write_table(bad, f"{paths['invalid']}/{stage}")
 
@@ -140,4 +159,4 @@ def _summary(routed: DataFrame, films: DataFrame, config: RunConfig, paths: dict
         F.lit(config.min_ratings).alias("min_ratings"), F.lit(config.outliers).alias("outliers"),
         "sources", total.alias("films"), F.lit(paths["final"]).alias("final_path"),
     )
-    record.write.mode("append").json(paths["summary"])
+    record.write.mode("overwrite").json(paths["summary"])

@@ -68,6 +68,40 @@ def validate_report(spark, d):
     return validate.validate_table(stored(_unchecked(spark, d), "raw"), "raw", _MAX_YEAR)
 
 
+_SOURCE_LIMITS = validate.RATING_RANGES | _LIMITS
+_LOW, _HIGH = (
+    "CASE source " + " ".join(
+        f"WHEN '{c.removeprefix('rating_')}' THEN {r[k]}" for c, r in _SOURCE_LIMITS.items()
+    ) + " END"
+    for k in (0, 1)
+)
+
+
+@query(
+    "validate_by_source",
+    f"""WITH {sql.RECORDS}, {sql.PARSED_STATIC}, k AS (
+      SELECT source, count(*) AS n, count(*) FILTER ({_BAD_YEAR}) AS y,
+        count(*) FILTER (rating NOT BETWEEN {_LOW} AND {_HIGH}) AS r
+      FROM st_parsed GROUP BY source, title, year
+    ), s AS (
+      SELECT 'raw/' || source AS df_name, CAST(sum(y) AS BIGINT) AS y, CAST(sum(r) AS BIGINT) AS r,
+        CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) AS d
+      FROM k GROUP BY source
+    ), f AS (
+      SELECT df_name, 'year' AS "check", 'year' AS "column", y AS n_bad,
+        'rows with an invalid year in year' AS said FROM s
+      UNION ALL SELECT df_name, 'range', 'rating', r, 'values out of range in rating' FROM s
+      UNION ALL SELECT df_name, 'duplicate', 'title,year', d,
+        'rows are duplicates of (title,year)' FROM s
+    )
+    SELECT df_name, "check", "column", n_bad, df_name || ': ' || n_bad || ' ' || said AS message
+    FROM f WHERE n_bad > 0""",
+)
+def validate_by_source(spark, d):
+    rows = derived.parsed(spark, d)
+    return validate.validate_by_source(rows, "raw", _MAX_YEAR, _SOURCE_LIMITS)
+
+
 @query(
     "validate_ranges",
     f"WITH {_UNCHECKED}, f AS ({_LIMIT_SQL}) SELECT * FROM f WHERE n_bad > 0",

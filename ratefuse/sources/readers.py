@@ -23,7 +23,7 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     columns: list[str] | None = None,
     strict: bool = False,
     multi_line: bool = False,
@@ -47,10 +47,19 @@ def read_csv(
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(path)
     )
-    too_long = F.col(_CORRUPT).isNotNull() & F.col(columns[-1]).isNotNull()
+    # A row that is not as long as the header and has a last value is longer; without one,
+    # its values are counted.
+    longer = F.col(columns[-1]).isNotNull() | (value_count(F.col(_CORRUPT)) > len(columns))
+    too_long = F.col(_CORRUPT).isNotNull() & longer
     return rows.filter(~too_long).drop(_CORRUPT)
 
 
+def value_count(line: Column) -> Column:
+    """Number of values in a CSV line; separators in quoted values do not count."""
+    quoted = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
+    return F.regexp_count(F.regexp_replace(line, quoted, "$1"), F.lit(",")) + 1
+
+
 def read_source(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     """Scan one source file with the columns its header names, numbered in file order."""
     rows = read_csv(spark, path, None, spec.strict, spec.multi_line)
@@ -78,15 +87,23 @@ def with_file_row_id(rows: DataFrame, name: str = "row_id") -> DataFrame:
     return placed.join(offsets, ["_file", "_start"]).select(row_id.alias(name), *data)
 
 
-def read_directory(spark: SparkSession, pattern: str, columns: list[str]) -> DataFrame:
-    """All CSV files of a glob, tagged with their stem; stage outputs are skipped."""
-    rows = (
-        spark.read.schema(_strings(columns)).option("header", True).option("escape", '"')
-        .csv(pattern)
-    )
-    name = F.col("_metadata.file_name")
-    tagged = rows.select("*", file_stem(name).alias("source"), name.alias("_name"))
-    return tagged.filter(~is_stage_output(F.col("_name"))).drop("_name")
+def read_directory(spark: SparkSession, pattern: str, columns: list[str] = ()) -> DataFrame:
+    """All CSV files of a glob, tagged with their stem; stage outputs are skipped.
+
+    Each file is read by its own header, files of one header in one scan.  Columns meet by
+    name; those that a file lacks are null in its rows, and ``columns`` are there in any case.
+    """
+    name = F.element_at(F.split("path", "/"), -1)
+    files = spark.read.format("binaryFile").load(pattern).filter(~is_stage_output(name))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in sorted(r.path for r in files.select("path").collect()):  # names, no contents
+        by_header.setdefault(tuple(csv_header(spark, path)), []).append(path)
+    rows = spark.createDataFrame([], _strings([*columns, "source"]))
+    for header, paths in by_header.items():
+        part = read_csv(spark, paths, list(header))
+        tagged = part.withColumn("source", file_stem(F.col("_metadata.file_name")))
+        rows = rows.unionByName(tagged, allowMissingColumns=True)
+    return rows
 
 
 def file_stem(name: Column) -> Column:

@@ -28,11 +28,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 
 
 def write_rejects(rejects: DataFrame, path: str, run_id: str) -> None:
-    """Append rejected rows, laid out by source and kind, tagged with the run."""
+    """Write the rejected rows of a run, laid out by source and kind, tagged with the run."""
     tagged = rejects.withColumn("run_id", F.lit(run_id))
-    write_table(tagged, path, mode="append", partition_by=["source", "kind"])
+    write_table(tagged, path, partition_by=["source", "kind"])
 
 
 def write_findings(findings: DataFrame, path: str) -> None:
-    """Append the findings of a validation as JSON lines."""
-    findings.write.mode("append").json(path)
+    """Write the findings of a validation as JSON lines."""
+    findings.write.mode("overwrite").json(path)

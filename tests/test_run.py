@@ -21,12 +21,12 @@ def write_csv(path, header, rows):
 def test_csv_keeps_short_rows_and_skips_long_ones(spark, tmp_path):
     path = str(tmp_path / "a.csv")
     with open(path, "w", encoding="utf-8") as f:
-        f.write('a,b,c\n1,"x ""q"", y",3\n4,5\n6,7,8,9\n10,11,12\n')
+        f.write('a,b,c\n1,"x ""q"", y",3\n4,5\n6,7,8,9\n1,2,,4\n"p,q",5\n10,11,12\n')
     rows = [tuple(r) for r in readers.read_csv(spark, path).collect()]
-    assert rows == [("1", 'x "q", y', "3"), ("4", "5", None), ("10", "11", "12")]
-    assert readers.read_csv(spark, path).select("a").count() == 3
+    assert rows == [("1", 'x "q", y', "3"), ("4", "5", None), ("p,q", "5", None), ("10", "11", "12")]
+    assert readers.read_csv(spark, path).select("a").count() == 4
     numbered = readers.with_file_row_id(readers.read_csv(spark, path)).collect()
-    assert sorted((r.row_id, r.a) for r in numbered) == [(1, "1"), (2, "4"), (3, "10")]
+    assert sorted((r.row_id, r.a) for r in numbered) == [(1, "1"), (2, "4"), (3, "p,q"), (4, "10")]
     with pytest.raises(Exception):
         readers.read_csv(spark, path, strict=True).collect()
 
@@ -47,8 +47,14 @@ def test_row_ids_follow_file_order_over_blocks(spark, tmp_path):
 def test_directory_scan(spark, tmp_path):
     for name in ("imdb_data", "x_duplicates", "all_movies_wide"):
         write_csv(tmp_path / f"{name}.csv", ["ID", "title"], [(1, name)])
-    rows = readers.read_directory(spark, str(tmp_path / "*.csv"), ["ID", "title"]).collect()
-    assert [(r.source, r.title) for r in rows] == [("imdb_data", "imdb_data")]
+    write_csv(tmp_path / "other.csv", ["title", "year", "ID", "extra"], [("x", 2001, 7, "y")])
+    found = readers.read_directory(spark, str(tmp_path / "*.csv"), ["ID", "title", "rating"])
+    rows = {(r.source, r.ID, r.title, r.rating, r.year, r.extra) for r in found.collect()}
+    assert rows == {
+        ("imdb_data", "1", "imdb_data", None, None, None), ("other", "7", "x", None, "2001", "y"),
+    }
+    none = readers.read_directory(spark, str(tmp_path / "*_duplicates.csv"), ["ID"])
+    assert none.columns == ["ID", "source"] and none.isEmpty()
 
 
 def test_inventory(spark, tmp_path):
@@ -115,6 +121,8 @@ def test_run(spark, tmp_path, dialect):
     assert ("imdb", "duplicate", "duplicate title+year") in rejects
     assert ("imdb", "invalid", "invalid year") in rejects
     assert ("movielens", "invalid", "missing year" if dialect == "static" else "invalid year") in rejects
+    assert spark.read.schema(validate.FINDING).json(paths["findings"]).isEmpty()
+    assert spark.read.parquet(paths["duplicates"] + "/cleaned").isEmpty()
     summary = spark.read.json(paths["summary"]).first()
     assert summary.films == 2 and summary.run_id == "r1"
     stages = readers.load_stages(spark, {"final": paths["final"], "none": str(tmp_path / "none")})
@@ -173,6 +181,40 @@ def test_reports_of_two_runs(spark, tmp_path):
     assert {r.source: r.found for r in analysis["coverage"].collect()}["movielens"] == 1
 
 
+def test_sources_are_checked_by_themselves(spark):
+    rows = spark.createDataFrame(
+        [("imdb", 1, "a", 2000, 99.0), ("metacritic", 1, "a", 2000, 99.0), ("imdb", 2, "b", 1700, 5.0),
+         ("imdb", 3, "c", 2001, None), ("imdb", 4, "c", 2001, float("nan")), ("new", 1, "c", 2001, 11.0)],
+        "source string, row_id long, title string, year int, rating double",
+    )
+    found = validate.validate_by_source(rows, "t", 2026).collect()
+    assert {(f.df_name, f.check, f.n_bad) for f in found} == {
+        ("t/imdb", "range", 1), ("t/imdb", "year", 1), ("t/imdb", "duplicate", 2), ("t/new", "range", 1),
+    }
+    bad = {(r.source, r.row_id) for r in validate.invalid_by_source(rows, 2026).collect()}
+    assert bad == {("imdb", 1), ("imdb", 2), ("new", 1)}
+
+
+def test_run_twice_replaces_its_results(spark, tmp_path):
+    path = str(tmp_path / "ml.csv")
+    write_csv(path, specs.MOVIELENS_COLUMNS, [(1, "No year", "x", 3, 1), (2, "A (2000)", "x", 4, 1)])
+    config = fuse.RunConfig(
+        str(tmp_path / "o"), {"movielens": {"file_path": path}}, "2025-09-01", 2026, min_ratings=1
+    )
+    for _ in range(2):
+        paths = fuse.run(spark, config)
+    assert spark.read.parquet(paths["rejects"]).count() == 1
+    assert spark.read.json(paths["summary"]).count() == 1
+
+
+def test_null_genres_break_the_rule(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", 2000, None, 1.0)],
+        "ID long, title string, release_year int, genres array<string>, rating double",
+    )
+    assert validate.check_schema(rows).first().errors == [validate.ERR_GENRES]
+
+
 def test_rule_file(spark, tmp_path):
     path = tmp_path / "rules.json"
     path.write_text(json.dumps([{"field": "rating", "type": "float", "rule": "never NaN"}], indent=1))
