@@ -182,9 +182,12 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(doc_id, s) with the sorted shingles of the chosen documents."""
 
     @arrow_udf("array<long>")
-    def shingled(texts: pa.Array) -> pa.Array:
-        every = [s.astype(np.int64) for s in _each_set(texts, width)]
-        return pa.array(every, pa.list_(pa.int64()))
+    def shingled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            every = [s.astype(np.int64) for s in _each_set(texts, width)]
+            yield pa.array(every, pa.list_(pa.int64()))
+            del every
+            give_back()
 
     chosen = _texts(docs).join(_few(ids), "doc_id", "left_semi")
     return chosen.select("doc_id", shingled(F.col("text")).alias("s"))
@@ -280,11 +283,6 @@ def _cell(ratio: Ratio):
             a[at[r[in_a]], c[in_a] - lo] = 1
             b[bt[r[in_b]], c[in_b] - lo] = 1
             common += a @ b.T
-        total = size[left][:, None] + size[right][None, :]
-        good = (common * sum(ratio) >= total * ratio[0]) & (
-            comp[left][:, None] != comp[right][None, :]
-        )
-        x, y = np.nonzero(good)
         parent = {int(k): int(k) for k in comp}
 
         def top(k: int) -> int:
@@ -294,12 +292,21 @@ def _cell(ratio: Ratio):
             return k
 
         out = ([], [])
-        for i, j in zip(left[x], right[y]):
-            p, q = top(int(comp[i])), top(int(comp[j]))
-            if p != q:  # one link between two components is enough
-                parent[max(p, q)] = min(p, q)
-                out[0].append(int(ids[i]))
-                out[1].append(int(ids[j]))
+        for lo in range(0, len(left), 128):  # a strip of sets at a time
+            strip = left[lo : lo + 128]
+            total = size[strip][:, None] + size[right][None, :]
+            good = (common[lo : lo + 128] * sum(ratio) >= total * ratio[0]) & (
+                comp[strip][:, None] != comp[right][None, :]
+            )
+            x, y = np.nonzero(good)
+            for i, j in zip(strip[x], right[y]):
+                p, q = top(int(comp[i])), top(int(comp[j]))
+                if p != q:  # one link between two components is enough
+                    parent[max(p, q)] = min(p, q)
+                    out[0].append(int(ids[i]))
+                    out[1].append(int(ids[j]))
+        del common, row, column, r, c, keep
+        give_back()
         return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
 
     return links

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ratefuse.llm.common import Shared, steps, utf8
+from ratefuse.llm.common import Shared, give_back, steps, utf8
 
 KINDS = ("assign", "access", "hex", "model")
 # The patterns of the base findings.
@@ -301,22 +301,30 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """The documents with every finding replaced by ``mark``; n_chars follows the text."""
     shared = Shared(docs.sparkSession, learn(docs))
 
+    def without(text: str) -> str | None:
+        done, parts = 0, []
+        for start, end, _ in scan(text, shared.value)[1]:
+            if end <= done:
+                continue
+            if start >= done:
+                parts += [text[done:start], mark]
+            done = end
+        return "".join([*parts, text[done:]]) if parts else None
+
     @arrow_udf("string")
-    def cleaned(texts: pa.Array) -> pa.Array:
-        out = {}
-        for i in np.flatnonzero(interesting(texts)):
-            text, done, parts = texts[int(i)].as_py() or "", 0, []
-            for start, end, _ in scan(text, shared.value)[1]:
-                if end <= done:
-                    continue
-                if start >= done:
-                    parts += [text[done:start], mark]
-                done = end
-            if parts:
-                out[i] = "".join([*parts, text[done:]])
-        changed = np.zeros(len(texts), bool)
-        changed[list(out)] = True
-        return pc.replace_with_mask(texts, pa.array(changed), pa.array(list(out.values()), texts.type))
+    def cleaned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out = {}
+            for i in np.flatnonzero(interesting(texts)):
+                text = without(texts[int(i)].as_py() or "")
+                if text is not None:
+                    out[i] = text
+            changed = np.zeros(len(texts), bool)
+            changed[list(out)] = True
+            yield pc.replace_with_mask(
+                texts, pa.array(changed), pa.array(list(out.values()), texts.type)
+            )
+        give_back()
 
     kept = docs.columns
     changed = docs.withColumn("text", cleaned(F.col("text")))

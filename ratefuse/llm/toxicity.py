@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ratefuse.llm.common import held_out, strings
+from ratefuse.llm.common import give_back, held_out, steps, strings
 from ratefuse.operators.stored import stored
 
 # Letters of other scripts that look like Latin ones.
@@ -227,8 +227,11 @@ def toxicity_score(lexicon: Lexicon) -> Column:
     """The score of the column ``text``, between 0 and 1."""
 
     @arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        return pa.array(lexicon.score(strings(texts)), pa.float64())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [lexicon.score(strings(texts.slice(lo, hi - lo))) for lo, hi in steps(texts)]
+            yield pa.array([x for part in parts for x in part], pa.float64())
+        give_back()
 
     return score(F.col("text"))
 
