@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Only the HOT_KEYS largest keys are split, and only from HOT_ROWS rows on.  Every other
-# key holds less than 1/HOT_KEYS of all rows, so this many keys to broadcast are enough.
-HOT_KEYS = 1000
+# A key of fewer rows is never split.
 HOT_ROWS = 100_000
 
 
@@ -35,26 +33,34 @@ def first_ids(
     return first.filter(F.col(row_id).isNotNull())
 
 
+def heavy_keys(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys to be split (as ``_hot_…``) and the number of their parts."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    even = sizes.agg(F.ceil(F.sum("_rows") / tasks).alias("_even")).scalar()
+    share = F.greatest(F.lit(hot_rows), even)
+    return sizes.select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys],
+        F.ceil(F.col("_rows") / share).cast("int").alias("_parts"),
+    ).filter("_parts > 1")
+
+
 def lookup_by_key(
     rows: DataFrame,
     lookup: DataFrame,
     keys: list[str],
     row_id: list[str],
     how: str = "left",
-    splits: int = 64,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join rows to a table with one row per key (null keys match null keys).
 
-    Rows of the largest keys are spread by their row id over ``splits`` parts and the
-    one lookup row is copied to each part; all other keys join as usual.
+    A key of more rows than an even share of a shuffle partition (and than ``hot_rows``) is
+    spread by row id over as many parts as it has such shares, and its lookup row is copied to
+    each part; all other keys join as usual. So there are fewer keys to broadcast than
+    shuffle partitions, and no part grows beyond the share of a partition.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    # The keys settle ties, so that both sides of the join agree on the largest ones.
-    largest = sizes.filter(F.col("_rows") >= hot_rows).orderBy(F.col("_rows").desc(), *keys)
-    hot = largest.limit(HOT_KEYS).select(
-        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot")
-    )
+    hot = heavy_keys(rows, keys, hot_rows)
 
     def marked(df: DataFrame) -> DataFrame:
         same = F.lit(True)
@@ -63,12 +69,11 @@ def lookup_by_key(
         joined = df.join(F.broadcast(hot), same, "left")
         return joined.drop(*[f"_hot_{k}" for k in keys])
 
-    part = F.when(F.col("_hot"), F.pmod(F.xxhash64(*row_id), F.lit(splits))).otherwise(0)
-    spread = marked(rows).withColumn("_part", part.cast("int")).drop("_hot")
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    copies = marked(lookup).withColumn("_part", F.explode(parts)).drop("_hot")
+    parts = F.coalesce("_parts", F.lit(1))
+    part = F.pmod(F.xxhash64(*row_id), parts).cast("int")
+    spread = marked(rows).withColumn("_part", part).drop("_parts")
+    every = F.sequence(F.lit(0), parts - 1)
+    copies = marked(lookup).withColumn("_part", F.explode(every)).drop("_parts")
     renamed = copies.withColumnsRenamed({k: f"_key_{k}" for k in [*keys, "_part"]})
     same = spread["_part"] == renamed["_key__part"]
     for k in keys:

@@ -90,22 +90,36 @@ def test_lookup_splits_hot_keys_and_matches_nulls(spark, hot_rows):
     left = spark.createDataFrame(rows, "id long, k int")
     right = spark.createDataFrame(table, "k int, v string")
     for how in ("left", "inner"):
-        got = keyed.lookup_by_key(left, right, ["k"], ["id"], how, splits=4, hot_rows=hot_rows)
+        got = keyed.lookup_by_key(left, right, ["k"], ["id"], how, hot_rows=hot_rows)
         values = dict(table)
         want = Counter((i, k, values.get(k)) for i, k in rows if how == "left" or k in values)
         assert Counter(tuple(r) for r in got.select("id", "k", "v").collect()) == want
 
 
-def test_lookup_with_more_hot_keys_than_are_split(spark, monkeypatch):
-    monkeypatch.setattr(keyed, "HOT_KEYS", 3)
+def test_lookup_with_many_hot_keys(spark):
     left = spark.createDataFrame([(i, i % 10) for i in range(500)], "id long, k int")
     right = spark.createDataFrame([(k, str(k)) for k in range(9)], "k int, v string")
-    got = keyed.lookup_by_key(left, right, ["k"], ["id"], "inner", splits=4, hot_rows=10)
+    got = keyed.lookup_by_key(left, right, ["k"], ["id"], "inner", hot_rows=10)
     assert sorted((r.id, r.v) for r in got.collect()) == [
         (i, str(i % 10)) for i in range(500) if i % 10 < 9
     ]
 
 
+def test_parts_follow_the_rows_of_a_key(spark):
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = [(i, None if i < 900 else i) for i in range(1000)]  # one key has 90 % of the rows
+    left = spark.createDataFrame(rows, "id long, k int")
+    even = -(-1000 // tasks)
+    for hot_rows in (1, 10, 400, 2000):
+        got = [tuple(r) for r in keyed.heavy_keys(left, ["k"], hot_rows).collect()]
+        parts = -(-900 // max(even, hot_rows))
+        assert got == ([(None, parts)] if parts > 1 else [])
+    assert keyed.heavy_keys(left.limit(0), ["k"], 1).collect() == []
+    marks = spark.createDataFrame([(None, "most"), (950, "one")], "k int, v string")
+    found = keyed.lookup_by_key(left, marks, ["k"], ["id"], "inner", hot_rows=1)
+    assert {r.id for r in found.collect()} == {*range(900), 950} and found.count() == 901
+
+
 def test_flag_duplicates(spark):
     rows = [(i, f"k{i % 5 if i < 50 else i}") for i in range(60)]
     got = keyed.flag_duplicates(spark.createDataFrame(rows, "id long, k string"), ["k"], ["id"])
