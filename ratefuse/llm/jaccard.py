@@ -420,6 +420,17 @@ def links(
     first = index.groupBy("s").agg(F.min("id").alias("lead"))
     lists = stored(index.join(first, "s").filter("id <> lead"), "lists")
     discard(prefixes)
+    return links_of_lists(docs, lists, summed, width, ratio)
+
+
+def links_of_lists(
+    docs: DataFrame, lists: DataFrame, summed: DataFrame, width: int, ratio: Ratio
+) -> DataFrame:
+    """Links (a, b) that connect the components of all sets that share an index list.
+
+    The lists are rows (s, id, n, k, lead) without the lead's own entry: the set ``id`` of size
+    n has the list's key at its position k; lead is the list's smallest id.
+    """
     near = (ratio[0] * 8, ratio[1] * 10)  # similar enough to share a group
     star = lists.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     star = stored(possible(star, summed, near), "pairs")

@@ -22,6 +22,7 @@ from pyspark.sql.functions import arrow_udf
 
 from ratefuse.llm import jaccard
 from ratefuse.llm.common import shingles, steps
+from ratefuse.operators.stored import stored
 
 WORDS = 5
 PERMUTATIONS = 128
@@ -169,8 +170,9 @@ def near_copies(
     """Verified near copies: doc_id, n_shingles, component_id.
 
     Signatures are cut into bands. Documents that share a band with the band's smallest id are
-    joined with it in Spark; pairs count after their exact Jaccard similarity is checked, and
-    linked documents form a component.
+    joined with it in Spark; what is left of a band's bucket meets in groups and salted blocks,
+    but for documents that are in one component already. Pairs count after their exact Jaccard
+    similarity is checked, and linked documents form a component.
     """
     rows = PERMUTATIONS // bands
 
@@ -188,10 +190,13 @@ def near_copies(
         docs.join(sets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
         .select("doc_id", F.posexplode(cut(F.coalesce("text", F.lit("")))).alias("band", "key"))
     )
-    lead = banded.groupBy("band", "key").agg(F.min("doc_id").alias("lead"))
-    pairs = (
-        banded.join(lead, ["band", "key"]).filter("doc_id <> lead")
-        .select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
+    reps = sets.filter("n > 0 AND doc_id = rep").select(F.col("doc_id").alias("id"), "n").distinct()
+    buckets = banded.select(  # a bucket is an index list whose key has no position
+        F.xxhash64("band", "key").alias("s"), F.col("doc_id").cast("long").alias("id")
+    ).distinct()
+    lead = buckets.groupBy("s").agg(F.min("id").alias("lead"))
+    lists = buckets.join(lead, "s").filter("id <> lead").join(reps, "id").select(
+        "s", "id", F.col("n").cast("int").alias("n"), F.lit(0).alias("k"), "lead"
     )
-    links = jaccard.verified(docs, pairs, summed, WORDS, similarity)
+    links = jaccard.links_of_lists(docs, stored(lists, "lists"), summed, WORDS, similarity)
     return jaccard.with_components(sets, links)

@@ -277,6 +277,22 @@ def test_bands_find_near_copies(spark):
     assert np.mean([w == g for w, g in zip(want, got)]) > 0.9
 
 
+@pytest.mark.parametrize("long_list", [4, 64])
+def test_bands_link_copies_behind_a_less_similar_lead(spark, long_list, monkeypatch):
+    monkeypatch.setattr(jaccard, "LONG_LIST", long_list)
+    base = [f"a{k}" for k in range(200)]
+    texts = []
+    for k in range(40):  # variants of the template, like it and like one another below 0.8
+        at = 4 * k + 10
+        texts.append(" ".join(base[:at] + [f"v{k}x{i}" for i in range(20)] + base[at + 20 :]))
+    for k in range(6):  # near copies with larger ids
+        texts.append(" ".join(base[: 30 * k + 20] + [f"c{k}"] + base[30 * k + 21 :]))
+    want = components(texts, 5, 4, 5)
+    assert want == [*range(40), *[40] * 6]
+    got = minhash.near_copies(docs_of(spark, texts)).orderBy("doc_id").collect()
+    assert [r.component_id for r in got] == want
+
+
 def test_shingles_do_not_cross_texts():
     values, begin = shingles(pa.array(["a b", "c", None, "A  B"]), 3)
     assert begin.tolist() == [0, 1, 2, 2, 3] and values[0] == values[2] != values[1]
