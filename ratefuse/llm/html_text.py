@@ -2,9 +2,11 @@
 
 The page becomes a tree. A node's density is its characters per tag, adjusted by what share
 of characters and tags belongs to links. The densities of the children are summed, and the
-subtree with the largest sum is the article, among nodes at least as dense as the thinnest
-node between the densest one and the body. Menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts and styles are taken out before and count nowhere.
+subtree with the largest sum is the article, or the article or main element around it. Without
+such an element, other subtrees at least as dense as the thinnest node between that one and
+the body belong to it, too. Menus, headers, footers, sidebars, notices, adverts, forms,
+comments, scripts and styles are taken out before and count nowhere; an element that is one
+of these only by a word of its class, id or role stays if it holds the article.
 
 Defined results: a null or empty page, or one without text, gives an empty text. Broken
 markup, unclosed elements and cut character references are read as a browser would, roughly:
@@ -57,20 +59,16 @@ BARRIER = frozenset("article main section div body table ul ol dl html td th blo
 
 class Node:
     __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "sum",
-                 "density", "dropped")
+                 "density", "dropped", "hinted")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool) -> None:
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, hinted: bool = False) -> None:
+        self.tag, self.parent, self.dropped, self.hinted = tag, parent, dropped, hinted
         self.parts: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.sum = self.density = 0.0
 
 
-def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in DROPPED:
-        return not (tag == "header" and inside_article)
-    if tag in ("body", "html", "article", "main") or not attributes:
-        return False
+def _hinted(attributes: str) -> bool:
     for value in _HINT.findall(attributes):
         words = {w.lower() for w in _PIECE.findall(value)}
         if words & HINTS:
@@ -118,7 +116,9 @@ def parse(page: str) -> Node:
                     here = node.parent
                     break
                 node = node.parent
-        child = Node(tag, here, here.dropped or _unwanted(tag, mark[3], articles > 0))
+        unwanted = tag in DROPPED and not (tag == "header" and articles > 0)
+        hinted = tag not in ("body", "html") and bool(mark[3]) and _hinted(mark[3])
+        child = Node(tag, here, here.dropped or unwanted, hinted)
         here.parts.append(child)
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
@@ -139,11 +139,50 @@ def _walk(root: Node) -> list[Node]:
     return out
 
 
+def _own_chars(node: Node) -> int:
+    return sum(len(" ".join(p.split())) for p in node.parts if isinstance(p, str))
+
+
+def _drop_hinted(root: Node) -> None:
+    """Drop what a hint word marks, unless it holds the page's article.
+
+    A hinted element is kept if it holds a main, an article of at least half the characters of
+    the largest one, or most of the characters of the page, links not counted. In the last case
+    no article or main may lie outside it.
+    """
+    nodes = _walk(root)
+    hinted = [n for n in nodes if n.hinted and n.tag not in ("article", "main")]
+    if not hinted:
+        return
+    plain: dict[Node, int] = {}
+    for node in reversed(nodes):
+        below = (plain[p] for p in node.parts if not isinstance(p, str) and not p.dropped)
+        plain[node] = 0 if node.tag == "a" else _own_chars(node) + sum(below)
+    hearts = [n for n in nodes if n.tag in ("article", "main") and plain[n]]
+    largest = max((plain[n] for n in hearts if n.tag == "article"), default=0)
+    kept = set()
+    for node in hearts:
+        if node.tag == "main" or 2 * plain[node] >= largest:
+            while node is not None and node not in kept:
+                kept.add(node)
+                node = node.parent
+    marked = {n for n in hinted if n not in kept}
+    under: dict[Node, tuple[bool, int]] = {}  # below a marked element; articles from the root on
+    for node in nodes:
+        low, above = under[node.parent] if node.parent is not None else (False, 0)
+        free = node.tag in ("article", "main") and bool(plain[node]) and not (low or node.hinted)
+        under[node] = (low or node in marked, above + free)
+    free = sum(
+        n.tag in ("article", "main") and not under[n][0] and not n.hinted for n in hearts
+    )
+    for node in marked:
+        node.dropped = not (2 * plain[node] > plain[root] and free == under[node][1])
+
+
 def _measure(root: Node) -> list[Node]:
     nodes = _walk(root)
     for node in reversed(nodes):
-        own = sum(len(" ".join(p.split())) for p in node.parts if isinstance(p, str))
-        node.chars += own
+        node.chars += _own_chars(node)
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags + 1
         up = node.parent
@@ -166,6 +205,7 @@ def _measure(root: Node) -> list[Node]:
 
 
 def _article(root: Node) -> Node:
+    _drop_hinted(root)
     nodes = _measure(root)
     top = max(nodes, key=lambda n: n.sum)
     path = [top]

@@ -165,6 +165,27 @@ def test_main_text():
     assert html_text.main_text(deep) == "text"
 
 
+_LINE = "A sentence of the article that is long enough to weigh more than a menu does."
+
+
+@pytest.mark.parametrize("wrapper", [
+    'div class="layout has-sidebar"', 'div id="page" class="with-comments"',
+    'section class="search-layout"', 'div class="no-banner"',
+])
+def test_hint_word_of_a_wrapper_keeps_the_article(wrapper):
+    text = " ".join([_LINE] * 3)
+    body = "".join(f"<p>{_LINE}</p>" for _ in range(3))
+    noise = "<div class=comments><article class=comment><p>first!</p></article></div><div class=ad>buy</div>"
+    tag = wrapper.split()[0]
+    for inner in (f"<article>{body}</article>", f"<main>{body}</main>", f"<div>{body}</div>"):
+        page = f"<body><nav>m</nav><{wrapper}>{inner}{noise}</{tag}></body>"
+        assert html_text.main_text(page) == text
+    longer = "<div id=comments>" + "".join(f"<p>reply {k} {_LINE}</p>" for k in range(9)) + "</div>"
+    assert html_text.main_text(f"<body><article>{body}</article>{longer}</body>") == text
+    page = f"<body><{wrapper}><main><article>{body}</article>{longer}</main></{tag}></body>"
+    assert html_text.main_text(page) == text
+
+
 def test_fit_hits_the_budget():
     rng = random.Random(4)
     for _ in range(30):
