@@ -30,6 +30,7 @@ _MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
 _HINT = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_HEADING = re.compile("h[1-6]")
 _PIECE = re.compile(r"[a-z]+|[A-Z][a-z]*")
 # Element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -204,17 +205,59 @@ def _measure(root: Node) -> list[Node]:
     return nodes
 
 
-def _article(root: Node) -> Node:
+def _article(root: Node) -> list[Node | str]:
+    """The parts of the page that are the article, in page order."""
     _drop_hinted(root)
     nodes = _measure(root)
-    top = max(nodes, key=lambda n: n.sum)
-    path = [top]
-    while path[-1].parent is not None:
-        path.append(path[-1].parent)
+    best = max(nodes, key=lambda n: (n.sum, n.chars))
+    path = _up(best)
     least = min((n.density for n in path if n.chars), default=0.0)
-    best = max((n for n in nodes if n.density >= least), key=lambda n: (n.sum, n.chars), default=root)
-    whole = [n for n in _up(best) if n.tag in ("article", "main")]
-    return whole[0] if whole else best
+    whole = [n for n in path if n.tag in ("article", "main")]
+    if whole:
+        return whole[:1]
+    if best.sum == 0.0 and best.parent is not None:
+        return [best.parent]
+    chosen, on_path = set(), set(path)
+    below = {best}
+    for node in nodes:  # parents first
+        if node.parent in below:
+            below.add(node)
+        elif node.chars and node.density >= least and node not in on_path:
+            chosen.add(node)
+    if not chosen:
+        return [best]
+    return _joined(path, chosen)
+
+
+def _joined(path: list[Node], chosen: set[Node]) -> list[Node | str]:
+    """What the common parent of all chosen nodes and of the path's first holds of them.
+
+    That is its children from the first to the last with a chosen node, and headings right
+    before them; children in between whose characters are mostly links are left out.
+    """
+    holds = {path[0]}
+    for node in chosen:
+        while node is not None and node not in holds:
+            holds.add(node)
+            node = node.parent
+    top = len(path) - 1
+    while top and sum(not isinstance(p, str) and p in holds | {path[top - 1]} for p in path[top].parts) < 2:
+        top -= 1
+    if not top:
+        return [path[0]]
+    parts = [p for p in path[top].parts if isinstance(p, str) or not p.dropped]
+    wanted = holds | {path[top - 1]}
+    places = [k for k, p in enumerate(parts) if not isinstance(p, str) and p in wanted]
+    first, last = places[0], places[-1]
+    while first and (
+        not parts[first - 1].strip() if isinstance(parts[first - 1], str)
+        else _HEADING.fullmatch(parts[first - 1].tag)
+    ):
+        first -= 1
+    return [
+        p for p in parts[first : last + 1]
+        if isinstance(p, str) or p in wanted or 2 * p.link_chars <= p.chars
+    ]
 
 
 def _up(node: Node) -> list[Node]:
@@ -227,11 +270,8 @@ def _up(node: Node) -> list[Node]:
 
 def main_text(page: str) -> str:
     """The article of a page, blocks in page order, one space between them."""
-    article = _article(parse(page))
-    if article.sum == 0.0 and article.parent is not None:
-        article = article.parent
     out: list[str] = []
-    stack: list = [article]
+    stack: list = _article(parse(page))[::-1]
     while stack:
         item = stack.pop()
         if isinstance(item, str):

@@ -186,6 +186,19 @@ def test_hint_word_of_a_wrapper_keeps_the_article(wrapper):
     assert html_text.main_text(page) == text
 
 
+def test_article_in_sibling_sections():
+    section = lambda k: f"<div>{''.join(f'<p>{k}{i} {_LINE}</p>' for i in range(3))}</div>"
+    text = lambda k: " ".join(f"{k}{i} {_LINE}" for i in range(3))
+    links = "<ul>" + "<li><a href=x>more of this</a></li>" * 4 + "</ul>"
+    menu = "<div>" + "<a href=x>menu</a> " * 5 + "</div>"
+    want = f"{text('a')} {text('b')}"
+    parts = section("a") + links + section("b")
+    assert html_text.main_text(f"<body>{menu}{parts}{menu}</body>") == want
+    page = f"<body>{menu}<div><h2>Head</h2>{parts}</div>{menu}</body>"
+    assert html_text.main_text(page) == "Head " + want
+    assert html_text.main_text(f"<body>{menu}{section('a')}{menu}</body>") == text("a")
+
+
 def test_fit_hits_the_budget():
     rng = random.Random(4)
     for _ in range(30):
