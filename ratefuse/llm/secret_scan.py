@@ -1,8 +1,9 @@
 """Secrets in texts: patterns, and a character network over every candidate in its context.
 
 The patterns give the base findings. Candidates are these and every long run of token
-characters with a digit and a letter or of unusual shape. A one-dimensional convolutional
-network in numpy reads the candidate with the characters around it. It is trained on a bounded
+characters with a letter. A one-dimensional convolutional network in numpy reads the candidate
+with the characters around it, a long one through windows over all of it, of which the largest
+score counts. It is trained on a bounded
 sample of the findings of the corpus, labelled by the patterns, and on made-up findings of
 known formats; its scores are calibrated on a part kept apart, and the threshold is the
 largest that keeps the wanted recall there. Candidates above it are findings of kind
@@ -41,10 +42,13 @@ ANY = (
     r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"""
 )
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_LETTER = re.compile("[A-Za-z]")
 LEAST = 16
 RESULT = "struct<base: array<string>, spans: array<string>>"
 
 BEFORE, LENGTH = 24, 72
+#: Characters from one window of a long candidate to the next.
+STRIDE = 16
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_.=-:\"' \n"
 _CODE = {c: k + 2 for k, c in enumerate(ALPHABET)}
 SYMBOLS = len(ALPHABET) + 2  # 0: outside the text, 1: any other character
@@ -60,20 +64,20 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def more_candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Token runs with a digit and a letter that touch no base finding."""
+    """Token runs with a letter that touch no base finding."""
     out, k = [], 0
     for m in TOKEN.finditer(text):
         start, end = m.span()
         while k < len(base) and base[k][1] <= start:
             k += 1
         touched = any(lo < end and start < hi for lo, hi, _ in base[k : k + 4])
-        if not touched and re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]):
+        if not touched and _LETTER.search(m[0]):
             out.append((start, end, "model"))
     return out
 
 
 def window(text: str, start: int, end: int) -> np.ndarray:
-    """Codes of the candidate and its context; a long candidate shows its beginning."""
+    """Codes of the candidate's first characters and their context."""
     codes = np.zeros(LENGTH, np.uint8)
     lo = start - BEFORE
     for k, c in enumerate(text[max(lo, 0) : lo + LENGTH], max(-lo, 0)):
@@ -81,6 +85,12 @@ def window(text: str, start: int, end: int) -> np.ndarray:
     return codes
 
 
+def windows(text: str, start: int, end: int) -> list[np.ndarray]:
+    """Windows over the whole candidate; the last one of a long candidate has its context behind."""
+    last = max(end - (LENGTH - 2 * BEFORE), start) if end - start > LENGTH - BEFORE else start
+    return [window(text, at, end) for at in (*range(start, last, STRIDE), last)]
+
+
 @dataclass
 class Network:
     """Convolution over one-hot characters, rectified, maximum over places, one output."""
@@ -150,7 +160,7 @@ def train(codes: np.ndarray, y: np.ndarray, recall: float = 0.98, seed: int = 5)
         net.scale = max(0.05, net.scale - 0.05 * float(np.mean((p - t) * z)))
         net.shift -= 0.5 * float(np.mean(p - t))
     kept = np.sort(net.score(codes[apart])[t == 1])
-    net.threshold = max(0.5, float(kept[int((1 - recall) * len(kept))]))
+    net.threshold = float(kept[int((1 - recall) * len(kept))])
     return net
 
 
@@ -161,22 +171,30 @@ def made_findings(n: int = 400, seed: int = 11) -> tuple[list[tuple[str, int, in
     low, alnum, hexa = string.ascii_lowercase, string.ascii_letters + string.digits, "0123456789abcdef"
     words = lambda: " ".join(pick(low, rng.integers(2, 9)) for _ in range(4))
     cased = lambda: " ".join(pick(low, rng.integers(2, 9)).title() for _ in range(3))
+    part = lambda: "".join(pick("bcdfghklmnprstvw", 1) + pick("aeiou", 1) for _ in range(3))
+    path = lambda: "/".join(part() for _ in range(rng.integers(2, 6)))
+    letters = string.ascii_letters
     secret = (
         lambda: "ghp_" + pick(alnum, 36), lambda: "sk-" + pick(alnum, 40), lambda: pick(alnum + "+/", 40),
         lambda: "eyJ" + pick(alnum, 34), lambda: "xoxb-" + pick(string.digits, 12) + "-" + pick(alnum, 24),
         lambda: "AIza" + pick(alnum + "-_", 35), lambda: pick(hexa, 32), lambda: pick(alnum, 32),
+        lambda: pick(letters, 40), lambda: pick(letters, 24), lambda: pick(low, 40),
     )
     plain = (
         lambda: pick(low, 9) + "-" + pick(low, 6) + "-" + pick("12", 1), lambda: pick(low, 18) + pick("0123456789", 1),
         lambda: "-".join(pick(low, 5) for _ in range(3)) + "-2024", lambda: "item_" + pick(low, 8) + "_" + pick("0123456789", 3),
         lambda: "/".join(pick(low, 6) for _ in range(3)) + "/v2", lambda: pick(string.ascii_uppercase, 14) + "-" + pick("0123456789", 2),
         lambda: "2024-05-" + pick("0123456789", 2) + "T10-20-00Z", lambda: pick("0123456789", 16) + pick("abc", 1),
+        lambda: part() + part() + part(), lambda: "".join(part().title() for _ in range(4)),
+        lambda: path() + "/" + path(), lambda: "/".join(part() + "-" + part() for _ in range(4)),
         lambda: pick(low, 7) + "=" * 8 + pick("0123456789", 2), lambda: cased().replace(" ", "") + pick("0123456789", 2),
     )
     out, y = [], []
     for k in range(n):
         for label, forms in ((1, secret), (0, plain)):
             value, lead = forms[k % len(forms)](), words() + rng.choice([" ", " = ", ': "', ".\n"])
+            if k % 8 == 7:  # as a later window of a long candidate shows it
+                lead += path() + rng.choice(["/", "/key=", "_"])
             out.append((lead + value + rng.choice([" ", '" ', "\n"]) + words(), len(lead), len(lead) + len(value)))
             y.append(label)
     return out, y
@@ -192,11 +210,11 @@ def interesting(texts: pa.Array) -> np.ndarray:
         start, end = edge[::2], edge[1::2]
         long = end - start >= LEAST
         start, end = start[long], end[long]
-        digits = np.concatenate(([0], np.cumsum(_DIGIT_BYTE[data])))
-        mixed = digits[end] > digits[start]
+        letters = np.concatenate(([0], np.cumsum(_LETTER_BYTE[data])))
+        some = letters[end] > letters[start]
         # a run over the end of a text concerns the texts behind it, too
-        first = np.searchsorted(ends, start[mixed], "right") - 1
-        last = np.searchsorted(ends, end[mixed] - 1, "right") - 1
+        first = np.searchsorted(ends, start[some], "right") - 1
+        last = np.searchsorted(ends, end[some] - 1, "right") - 1
         for a, b in zip(first, last):
             out[lo + a : lo + b + 1] = True
     return out
@@ -204,8 +222,8 @@ def interesting(texts: pa.Array) -> np.ndarray:
 
 _TOKEN_BYTE = np.zeros(256, bool)
 _TOKEN_BYTE[[ord(c) for c in string.ascii_letters + string.digits + "+/_=-"]] = True
-_DIGIT_BYTE = np.zeros(256, np.int64)
-_DIGIT_BYTE[48:58] = 1
+_LETTER_BYTE = np.zeros(256, np.int64)
+_LETTER_BYTE[[ord(c) for c in string.ascii_letters]] = 1
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,10 +233,13 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in np.flatnonzero(interesting(texts)):
             text = texts[int(i)].as_py() or ""
             base = base_spans(text)
+            known = {s[:2] for s in base}
             for start, end, _ in base + more_candidates(text, base):
-                codes = window(text, start, end).tobytes()
-                y = int((start, end) in {s[:2] for s in base})
-                rows.append((y, codes, int.from_bytes(hashlib.sha256(codes).digest()[:7], "big")))
+                y = int((start, end) in known)
+                for seen in windows(text, start, end)[: 1 if y else None]:
+                    codes = seen.tobytes()
+                    spread = int.from_bytes(hashlib.sha256(codes).digest()[:7], "big")
+                    rows.append((y, codes, spread))
         rows = list(dict.fromkeys(rows))
         yield pa.RecordBatch.from_pydict(
             {
@@ -255,7 +276,10 @@ def scan(text: str, net: Network) -> tuple[list[str], list[tuple[int, int, str]]
     base = base_spans(text)
     more = more_candidates(text, base)
     if more:
-        good = net.score(np.stack([window(text, s, e) for s, e, _ in more])) >= net.threshold
+        each = [windows(text, s, e) for s, e, _ in more]
+        scores = net.score(np.stack([w for one in each for w in one]))
+        begin = np.cumsum([0] + [len(one) for one in each[:-1]])
+        good = np.maximum.reduceat(scores, begin) >= net.threshold
         more = [s for s, ok in zip(more, good) if ok]
     every = sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2])))
     return [_written(s) for s in base], every

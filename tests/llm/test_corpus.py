@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import string
 import zlib
 
 import numpy as np
@@ -120,6 +121,40 @@ def test_network_finds_known_formats():
     assert np.mean(good == np.array(z, bool)) > 0.9
 
 
+def test_secrets_at_the_end_of_long_runs_and_of_letters_only():
+    rng = random.Random(8)
+    made, y = secret_scan.made_findings()
+    net = secret_scan.train(np.stack([secret_scan.window(*m) for m in made]), np.array(y))
+    key = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    alnum, path = string.ascii_letters + string.digits, "config/prod/eu-west/service/storage/access/region/"
+    found = {"end": [], "letters": [], "word": [], "path": []}
+    for _ in range(100):
+        cases = {
+            "end": path + key(alnum, 40), "letters": key(string.ascii_letters, 40),
+            "word": "".join(key("bdfgklmnrst", 1) + key("aeiou", 1) for _ in range(9)),
+            "path": path + "backup/daily/volume" + key("aeiou", 2),
+        }
+        for kind, value in cases.items():
+            text = f"some words {value} and more words of the text"
+            assert secret_scan.interesting(pa.array([text])).all()
+            spans = secret_scan.scan(text, net)[1]
+            found[kind].append((11, 11 + len(value), "model") in spans)
+    share = {kind: np.mean(hits) for kind, hits in found.items()}
+    assert share["end"] > 0.9 and share["letters"] > 0.9, share
+    assert share["word"] < 0.1 and share["path"] < 0.1, share
+
+
+def test_threshold_keeps_the_recall():
+    made, y = secret_scan.made_findings(200, seed=2)
+    codes, y = np.stack([secret_scan.window(*m) for m in made]), np.array(y)
+    y = np.where(np.random.default_rng(1).random(len(y)) < 0.3, 1 - y, y)  # hard to tell apart
+    net = secret_scan.train(codes, y)
+    apart = np.random.default_rng(5)
+    apart.normal(0, 0.15, net.kernel.shape), apart.normal(0, 0.3, secret_scan.FILTERS + 1)
+    held = apart.random(len(y)) < 0.2
+    assert (net.score(codes[held & (y == 1)]) >= net.threshold).mean() >= 0.98
+
+
 def test_language_on_held_out_rows(spark):
     docs = read(spark, "/root/testdata/sf0.01", "documents")
     found = language.detect(docs, language.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id")
