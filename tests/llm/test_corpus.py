@@ -315,6 +315,26 @@ def test_topk_is_exact(spark):
         assert [(s, i) for _, s, i in mine] == want
 
 
+def test_topk_with_large_components(spark):
+    rng = np.random.default_rng(9)
+    size = 10.0 ** rng.integers(-1, 16, 300)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(rng.normal(0, 1, (300, 6)) * size[:, None])]
+    rows[0] = (0, [4096.0] * 6)
+    rows += [(350, [3e38, -3e38, 0.1, 0.0, 1.0, -1.0]), (351, [3e38] * 6), (400, [float("inf")] * 6)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    whole = {
+        i: [int(np.floor(256 * float(np.float32(x)))) for x in v] for i, v in rows if i < 400
+    }
+    got = topk.search(vectors).collect()
+    assert {r.query_id for r in got} == {i for i in whole if i % 50 == 0}
+    for q in [i for i in whole if i % 50 == 0]:
+        exact = {i: sum(a * b for a, b in zip(whole[q], v)) for i, v in whole.items() if i != q}
+        want = sorted(exact, key=lambda i: (-exact[i], i))[:5]
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [i for _, i, _ in mine] == want
+        assert [s for _, _, s in mine] == [max(min(exact[i], 2**63 - 1), -(2**63)) for i in want]
+
+
 def test_topk_sql(spark, sf_dir):
     df = queries.QUERIES["op8_topk"](spark, sf_dir)
     assert oracle.differences(df, oracle.connect(sf_dir), queries.SQL["op8_topk"]) == []
