@@ -12,6 +12,7 @@ Without labels the seed words alone decide. Repeated rows are scored alike, one
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections import Counter
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 from ratefuse.llm.common import give_back, held_out, steps, strings
 from ratefuse.operators.stored import stored
@@ -124,24 +126,21 @@ def labelled(labels: DataFrame) -> DataFrame:
     return usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
 
 
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many toxic and other texts of a batch hold each word and each beginning of one.
+@arrow_udf(StringType())
+def _words_mark(texts: pa.Array) -> pa.Array:
+    """Digest of the set of folded words of a text; null without words."""
+    sets = [sorted(set(_WORD.findall(fold(t)))) for t in strings(texts)]
+    return pa.array(
+        [hashlib.sha256(" ".join(s).encode()).hexdigest() if s else None for s in sets], pa.string()
+    )
 
-    Near copies count once: texts whose smallest word hash agrees are taken for copies.
-    """
-    import zlib
 
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many toxic and other texts of a batch hold each word and each beginning of one."""
     for batch in batches:
         counts = (Counter(), Counter())
-        seen = set()
         for text, y in zip(strings(batch.column("text")), batch.column("y").to_pylist()):
             words = set(_WORD.findall(fold(text)))
-            if not words:
-                continue
-            mark = (y, min(zlib.crc32(w.encode()) for w in words))
-            if mark in seen:
-                continue
-            seen.add(mark)
             terms = {f"w{w}" for w in words if 3 <= len(w) <= 24}
             terms |= {f"s{w[:k]}" for w in words for k in range(4, 8) if len(w) > k}
             counts[y].update(terms)
@@ -160,7 +159,8 @@ def learn(
 ) -> Lexicon:
     """A lexicon from at most ``per_label`` labelled rows of either kind, by a hash of the id.
 
-    At most ``terms`` terms are kept, those with the strongest evidence first.
+    Texts of one label with the same set of folded words count once for the terms. At most
+    ``terms`` terms are kept, those with the strongest evidence first.
     """
     ids = labelled(labels)
     totals = {r["y"]: r["count"] for r in ids.groupBy("y").count().collect()}
@@ -176,8 +176,15 @@ def learn(
     stems: dict[str, float] = {}
     if not pos or not neg:
         return Lexicon(whole, stems)
+    folded = stored(
+        sample.select("y", "text", _words_mark("text").alias("mark")).filter("mark IS NOT NULL")
+        .dropDuplicates(["y", "mark"]).select("text", "y"),
+        "toxicity-folded",
+    )
+    once = {r["y"]: r["count"] for r in folded.groupBy("y").count().collect()}
+    pos, neg = once.get(1, 0), once.get(0, 0)
     counts = (
-        sample.mapInArrow(_term_counts, "term string, pos long, neg long")
+        folded.mapInArrow(_term_counts, "term string, pos long, neg long")
         .groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
     weight = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))

@@ -187,6 +187,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score_documents(docs.limit(20), nothing).filter("score > 1").count() == 0
 
 
+def test_lexicon_counts_every_distinct_text(spark):
+    rows = [(f"common word{k} " + ("grumblefoo" if k < 8 else "harmless"), k % 40 < 20) for k in range(40)]
+    rows += [(f"common plain{k}", 0) for k in range(60)] + [("common plain0", 0)] * 30
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2][: len(rows)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in zip(ids, rows)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(y)) for i, (_, y) in zip(ids, rows)], "doc_id long, toxic int")
+    one, many = (toxicity.learn(docs.repartition(n), labels) for n in (1, 7))
+    assert (one.whole, one.stems) == (many.whole, many.stems)
+    weight = np.log(8.5 / 21) - np.log(0.5 / 81)  # 20 toxic, 80 other sets of words
+    assert one.whole[toxicity.fold("grumblefoo")] == pytest.approx(weight)
+
+
 def test_main_text():
     page = (
         "<html><head><title>t</title><script>var a='</p>';</script></head><body><nav><a href=x>m</a>"
