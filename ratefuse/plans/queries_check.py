@@ -351,6 +351,23 @@ def lost_examples(spark, d):
     return lost.filter(F.col("source") == "imdb").orderBy("title", "year").limit(10)
 
 
+@query(
+    "lost_examples_all",
+    f"WITH {_SOURCE_KEYS} SELECT source, title, year FROM j WHERE NOT merged QUALIFY row_number()"
+    " OVER (PARTITION BY source ORDER BY title, year) <= 10",
+)
+def lost_examples_all(spark, d):
+    rows = stored(derived.cleaned(spark, d, columns=clean.MERGED), "clean")
+    lost = stored(analyze.lost_keys(rows, merge.merge_sources(rows, derived.SOURCES)), "lost")
+    first, *others = (
+        lost.filter(F.col("source") == s).orderBy("title", "year").limit(10)
+        for s in derived.SOURCES
+    )
+    for part in others:
+        first = first.unionByName(part)
+    return first
+
+
 @query(
     "rating_quantiles",
     "WITH q AS (SELECT unnest([0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]) AS prob) "

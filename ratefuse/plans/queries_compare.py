@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ratefuse.operators import analyze, compare, merge
 from ratefuse.operators.stored import stored
@@ -172,6 +174,48 @@ def delta_histogram(spark, d):
     return analyze.histogram(stored(changed, "deltas"), ["rating_metacritic_delta"], 30)
 
 
+_ALL_EXAMPLES = " UNION ALL ".join(
+    f"(SELECT '{c}' AS field, entity_key, CAST({c}_ad AS VARCHAR) AS ad_text, CAST({c}_st AS VARCHAR)"
+    " AS st_text, CAST(NULL AS DOUBLE) AS ad_number, CAST(NULL AS DOUBLE) AS st_number"
+    f" FROM p WHERE NOT {c}_eq ORDER BY entity_key LIMIT 8)" if c == "title" else
+    f"(SELECT '{c}' AS field, entity_key, NULL AS ad_text, NULL AS st_text,"
+    f" round(CAST({c}_ad AS DOUBLE), 6) AS ad_number, round(CAST({c}_st AS DOUBLE), 6) AS st_number"
+    f" FROM p WHERE NOT {c}_eq ORDER BY entity_key LIMIT 8)"
+    for c in _FIELDS
+)
+
+
+@query("mismatch_examples_all", f"WITH {_PAIRS} {_ALL_EXAMPLES}")
+def mismatch_examples_all(spark, d):
+    pairs = stored(_pairs(spark, d), "pairs")
+    parts = []
+    for c in _FIELDS:
+        text = (lambda x: F.col(x)) if c == "title" else (lambda x: F.lit(None).cast("string"))
+        number = (lambda x: F.lit(None)) if c == "title" else F.col
+        parts.append(compare.mismatch_examples(pairs, c).select(
+            F.lit(c).alias("field"), "entity_key",
+            *[text(f"{c}_{s}").alias(f"{s}_text") for s in ("ad", "st")],
+            *[number(f"{c}_{s}").cast("double").alias(f"{s}_number") for s in ("ad", "st")],
+        ))
+    return flat(reduce(DataFrame.unionByName, parts))
+
+
+def _delta_bins(c):
+    v = f"(CAST({c}_ad AS DOUBLE) - CAST({c}_st AS DOUBLE))"
+    return f"""SELECT '{c}_delta' AS name, bin, count(*) AS rows FROM (SELECT CASE WHEN max(v) OVER ()
+      = min(v) OVER () THEN 1 ELSE least(CAST(floor(30::DOUBLE * (v - min(v) OVER ())
+      / nullif(max(v) OVER () - min(v) OVER (), 0)) AS INTEGER) + 1, 30) END AS bin
+      FROM (SELECT {v} AS v FROM p WHERE {v} <> 0)) GROUP BY bin"""
+
+
+@query("delta_histogram_all", f"WITH {_PAIRS} " + " UNION ALL ".join(map(_delta_bins, _NUMERIC)))
+def delta_histogram_all(spark, d):
+    deltas = compare.field_deltas(_pairs(spark, d), _NUMERIC)
+    names = [f"{c}_delta" for c in _NUMERIC]
+    changed = deltas.select(*[F.when(F.col(c) != 0, F.col(c)).alias(c) for c in names])
+    return analyze.histogram(stored(changed, "deltas"), names, 30)
+
+
 def _causes(missed, truth, other, conflict):
     """SQL of the cause of each film of ``missed`` that the other side lacks."""
     lacking = ", ".join(
