@@ -177,6 +177,31 @@ def canonicalize_columns(spark, d):
     return merge.long_union(frames)
 
 
+_STEMS = {"imdb": "imdb_data", "metacritic": "metacritic_movies",
+          "movielens": "movielens_aggregated", "rt_audience": "rotten_tomatoes_movies"}
+
+
+@query(
+    "canonicalize_columns_all",
+    f"WITH {sql.ADAPTIVE} SELECT CASE source "
+    + " ".join(f"WHEN '{s}' THEN '{stem}'" for s, stem in _STEMS.items())
+    + " END AS source, title, year AS release_year, " + ", ".join(
+        f"CASE WHEN source = '{s}' THEN id END AS {sql.SOURCES[s]},"
+        f" CASE WHEN source = '{s}' THEN rating END AS rating_{s}" for s in _STEMS
+    ) + " FROM ad_clean",
+)
+def canonicalize_columns_all(spark, d):
+    raws = tables.raw_sources(spark, d)
+    frames = {}
+    for name, stem in _STEMS.items():
+        rows = clean.parse_source(raws[name], derived.ADAPTIVE_SPECS[name])
+        rows = clean.keep_clean(rows, "after", clean.MERGED).select(
+            F.col("id").cast("double").cast("string").alias("ID"), "title", "year", "rating"
+        )
+        frames[stem] = merge.canonicalize_columns(rows, stem)
+    return merge.long_union(frames)
+
+
 @query(
     "year_cluster",
     f"""WITH {sql.STATIC_MERGED} SELECT norm_title, year, n_rows, year_cluster FROM st_clusters""",
