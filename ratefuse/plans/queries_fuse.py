@@ -67,6 +67,34 @@ def reject_rows(spark, d):
     return raw.join(rejects.select("row_id", "kind", "reason"), "row_id")
 
 
+_RAW = {"imdb": ("raw_imdb", "originalTitle, originalTitle AS primaryTitle, genres,"
+                 " CAST(averageRating AS VARCHAR) AS averageRating, release_date"),
+        "metacritic": ("raw_meta", "movie_title, genre, metascore, userscore, release_date"),
+        "movielens": ("raw_ml", "title, genres, CAST(average_rating AS VARCHAR) AS average_rating"),
+        "rt_audience": ("raw_rt", "movie_title, genres, original_release_date,"
+                        " streaming_release_date, tomatometer_rating, audience_rating")}
+
+
+@query(
+    "reject_rows_all",
+    f"WITH {sql.RECORDS}, {sql.PARSED_STATIC}, {_ROUTED} " + " UNION ALL BY NAME ".join(
+        f"SELECT r.source, i.*, kind, why AS reason FROM (SELECT row_id, {columns} FROM {table}) i"
+        f" JOIN st_routed r ON r.source = '{source}' AND r.row_id = i.row_id WHERE kind <> 'clean'"
+        for source, (table, columns) in _RAW.items()
+    ),
+)
+def reject_rows_all(spark, d):
+    every = None
+    for source, raw in tables.raw_sources(spark, d).items():
+        _, rejects = clean.split_routed(clean.route(clean.parse_source(raw, STATIC_SPECS[source])))
+        rows = raw.join(rejects.select("row_id", "kind", "reason"), "row_id")
+        if "average_rating" in rows.columns:
+            rows = rows.withColumn("average_rating", F.col("average_rating").cast("string"))
+        rows = rows.withColumn("source", F.lit(source))
+        every = rows if every is None else every.unionByName(rows, allowMissingColumns=True)
+    return every
+
+
 def _clean_query(source):
     @query(
         f"clean_{'rt' if source == 'rt_audience' else source}",

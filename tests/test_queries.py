@@ -33,7 +33,8 @@ def test_query(spark, tables, sf_dir, name):
         assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", ["lost_examples_all", "mismatch_examples_all", "delta_histogram_all", "canonicalize_columns_all"])
+@pytest.mark.parametrize("name", ["lost_examples_all", "mismatch_examples_all", "delta_histogram_all", "canonicalize_columns_all",
+    "reject_rows_all"])
 def test_examples_of_all_sources_and_fields(spark, tables, sf_dir, name):
     df = QUERIES[name](spark, os.environ.get("SF_DIR", sf_dir))
     assert oracle.differences(df, tables, SQL[name]) == []
