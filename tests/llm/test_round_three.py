@@ -1,0 +1,276 @@
+"""Periodic runs, conversation trie and line quality against brute force and odd inputs."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+import oracle
+from ratefuse.llm import line_quality, periodic_runs, prefix_trie, queries
+from ratefuse.llm.common import read
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, length long"
+TURNS = "conv_id long, turn long, role string, text string, path string, shard long"
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame(
+        [(i, t, "en", "a", len(t or ""), 7) for i, t in rows], DOCS
+    )
+
+
+# ------------------------------------------------------------------------ periodic runs
+
+
+def runs_by_force(words):
+    out, n = [], len(words)
+    for q in range(1, n // 3 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            size = j - i + q
+            if size >= max(24, 3 * q) and not any(
+                all(words[x] == words[x + p] for x in range(i, i + size - p)) for p in range(1, q)
+            ):
+                out.append((i, size, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def edited_by_rule(words, doc_id):
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def looping_words(rng):
+    words = []
+    for _ in range(rng.randrange(7)):
+        period = rng.choice([1, 2, 3, 5, 8, 9, 15, 16, 17, 31, 32, 33, 40])
+        block = [f"w{rng.randrange(rng.choice([1, 2, 3, 50]))}" for _ in range(period)]
+        times = rng.choice([1, 2, 2.7, 3, 3.2, 4, 8, 30])
+        words += (block * (int(times) + 1))[: int(period * times)]
+        words += [f"w{rng.randrange(3)}" for _ in range(rng.randrange(12))]
+    return words
+
+
+def test_runs_equal_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(looping_words(rng))) for i in range(250)]
+    rows += [(400, None), (401, ""), (402, " \n\t"), (403, "one"), rows[7], (None, "a " * 30)]
+    got = periodic_runs.report(docs_of(spark, rows), edit=True).collect()
+    want = []
+    for doc_id, text in rows:
+        words = (text or "").split()
+        words = words if doc_id is None else edited_by_rule(words, doc_id)
+        runs = runs_by_force(words)
+        best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+        gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        want.append(
+            (doc_id, len(words), len(runs), *(best or (None,) * 3),
+             1000 * best[1] // best[2] if best else None,
+             hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
+        )
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert sum(r[2] for r in want) > 100
+
+
+def test_seeds_are_extended_once_a_stretch(monkeypatch):
+    done = []
+    extend = periodic_runs.Stretches.extend
+
+    def counted(self, at, lag):
+        found = extend(self, at, lag)
+        done.append(found is not None)
+        return found
+
+    monkeypatch.setattr(periodic_runs.Stretches, "extend", counted)
+    words = np.tile(np.arange(40), 100)
+    assert periodic_runs.find_runs(words, np.array([0, len(words)])) == [(0, 4000, 40)]
+    assert sum(done) == 1 and len(done) > 1000
+
+
+def test_runs_of_an_empty_table(spark):
+    assert periodic_runs.report(docs_of(spark, []), edit=True).collect() == []
+
+
+# ------------------------------------------------------------------------ trie
+
+
+def trie_by_force(rows):
+    own = defaultdict(list)
+    for conv, turn, role, text, *_ in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            key = hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+            own[conv].append((turn is not None, turn or 0, role, key, text))
+    said = {c: [(t[2], t[4]) for t in sorted(turns)] for c, turns in own.items()}
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(said):
+        h = zlib.crc32(str(c).encode()) % 4
+        whole = tuple(said.get(c - c % 20, [])[:h] + said[c][h:])
+        ends[whole].append(c)
+        for d in range(len(whole) + 1):
+            members[whole[:d]].append(c)
+    kids = defaultdict(list)
+    for path in members:
+        if path:
+            kids[path[:-1]].append(path)
+    leaves, saved, out = {}, {}, []
+    for path in sorted(members, key=len, reverse=True):
+        leaves[path] = sum(leaves[k] for k in kids[path]) or 1
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", path[-1][1])) if path else 0
+        saved[path] = sum(saved[k] for k in kids[path]) + (len(members[path]) - 1) * words
+        ids = ",".join(map(str, ends[path]))
+        out.append(
+            (members[path][0], len(path), members[path[:-1]][0] if path else None,
+             len(members[path]), len(kids[path]), leaves[path], saved[path],
+             hashlib.sha256(ids.encode()).hexdigest())
+        )
+    return sorted(out, key=str)
+
+
+def conversations(kind):
+    rng, rows = random.Random(kind), []
+    for c in range(240):
+        if kind == "no heads" and c % 20 == 0:
+            continue
+        for t in range(rng.choice([1, 2, 3, 5, 8])):
+            text = rng.choice(["a b", "a", "", None, "c d e"])
+            if kind == "hot" and c % 3 == 0:
+                text = f"hot turn {t}"
+            turn = rng.choice([t, t, None, 1]) if kind == "ties" else t
+            rows.append((c, turn, rng.choice(["user", None, "system"]), text, "x", 1))
+    rows.append((None, 1, "user", "lost", "x", 1))
+    return rows + rows[:40] if kind == "ties" else rows
+
+
+@pytest.mark.parametrize("kind", ["plain", "no heads", "hot", "ties"])
+@pytest.mark.parametrize("shard_turns", [50_000, 40])
+def test_trie_equals_brute_force(spark, kind, shard_turns):
+    rows = conversations(kind)
+    got = prefix_trie.family_trie(spark.createDataFrame(rows, TURNS), shard_turns).collect()
+    assert sorted(map(tuple, got), key=str) == trie_by_force(rows)
+
+
+def test_one_conversation_repeated_by_many_is_split(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "PIECE", 200)
+    rows = [(20 * c, t, "user", f"turn {t}", "x", 1) for c in range(300) for t in range(3)]
+    cut = prefix_trie.split_points(
+        prefix_trie.rebuilt(prefix_trie.chains(spark.createDataFrame(rows, TURNS))), 6
+    )
+    assert len(cut) == 5 and len({path for path, _ in cut[1:]}) == 1
+    got = prefix_trie.family_trie(spark.createDataFrame(rows, TURNS), 200).collect()
+    assert sorted(map(tuple, got), key=str) == trie_by_force(rows)
+
+
+def test_trie_of_an_empty_table(spark):
+    assert prefix_trie.family_trie(spark.createDataFrame([], TURNS)).collect() == []
+
+
+def test_double_array_keeps_every_chain():
+    rng = random.Random(2)
+    paths = sorted({
+        b"".join(bytes([rng.randrange(4)]) * 20 for _ in range(rng.randrange(6)))
+        for _ in range(300)
+    })
+    chain, begin, _, _ = prefix_trie._numbered(paths)
+    trie = prefix_trie.DoubleArray(chain, begin)
+    nodes = {p[: 20 * k] for p in paths for k in range(len(p) // 20 + 1)}
+    assert (trie.check >= 0).sum() + 1 == len(nodes)
+    states = {int(s) for _, _, states in trie.walk() for s in states}
+    assert len(states) == len(nodes)
+
+
+def test_trie_query_equals_sql(spark, sf_dir):
+    df = queries.QUERIES["op12_trie"](spark, sf_dir)
+    assert oracle.differences(df, oracle.connect(sf_dir), queries.SQL["op12_trie"]) == []
+
+
+# ------------------------------------------------------------------------ line quality
+
+
+def marginals_by_force(own, move):
+    """Probability of good for each line of one chain, over all labellings."""
+    n, total, good = len(own), 0.0, np.zeros(len(own))
+    for code in range(2**n):
+        y = [code >> k & 1 for k in range(n)]
+        score = sum(o for o, s in zip(own, y) if s) + sum(move[a, b] for a, b in zip(y, y[1:]))
+        total += np.exp(score)
+        good += np.exp(score) * np.array(y)
+    return good / total
+
+
+def test_marginals_equal_all_labellings():
+    rng = np.random.default_rng(1)
+    move = rng.normal(size=(2, 2))
+    doc = np.repeat([0, 1, 2, 5], [4, 1, 7, 2])
+    own = rng.normal(size=len(doc)) * 2
+    chains = line_quality.Chains(doc)
+    odds = own + chains.messages(own, move, True) + chains.messages(own, move, False)
+    for d in set(doc):
+        here = doc == d
+        want = marginals_by_force(own[here], move)
+        assert np.allclose(1 / (1 + np.exp(-odds[here])), want)
+
+
+def test_neighbouring_lines_count():
+    texts = ["a b c\n" + "x | y |\n" * 3, "good words here\nand more of them", "| | |", "plain line"]
+    field = line_quality.fit_field(texts * 20, [0, 1, 0, 1] * 20)
+    assert np.abs(field.weights[:, 1:]).max() > 0.01 and np.abs(field.move).max() > 0.01
+
+
+def test_held_out_quality(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    got = {r.doc_id: r for r in line_quality.score_documents(docs, labels).collect()}
+    seen = [(got[r.doc_id], r.quality) for r in labels.collect() if r.doc_id in got]
+    out = [(r.predicted, y) for r, y in seen if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r, _ in seen)
+    assert np.mean([p == y for p, y in out]) > 0.95
+    assert np.mean([p == 0 for p, y in out if y == 0]) > 0.8
+
+
+def test_quality_of_odd_texts(spark):
+    rows = [(i, f"some plain words number {i}\nand a line") for i in range(60)]
+    rows += [(i, f"buy {i} !!! !!! !!!\n$$$ now $$$") for i in range(60, 120)]
+    rows += [(200, None), (201, ""), (202, " \n\n"), (203, "x" * 300_000), (204, "a\n" * 3000), (3, "twice"),
+             (None, "no id at all")]
+    docs = docs_of(spark, rows)
+    labels = spark.createDataFrame(
+        [(i, int(i < 60), 0) for i in range(120)] + [(3, 0, 0), (None, 1, 0), (5, None, 0), (6, 9, 0)],
+        "doc_id long, quality int, toxic int",
+    )
+    got = line_quality.score_documents(docs, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    score = {r.doc_id: r.score for r in got}
+    assert score[200] == score[201] == score[202]
+    assert score[10] > 0.9 and score[100] < 0.1
+    none = line_quality.score_documents(docs, labels.limit(0)).collect()
+    assert {r.score for r in none} == {1.0}
+    assert line_quality.score_documents(docs.limit(0), labels).collect() == []
+
+
+def test_a_line_is_counted_alike_in_pieces(monkeypatch):
+    texts = pa.array(["some words! and MORE 123 | x\n" * 40 + "long " * 900, "é à\nb"])
+    data, ends = line_quality.utf8(texts)
+    lines = line_quality.visible_lines(data, ends)
+    whole = [x for *_, x in line_quality.feature_blocks(data, ends, lines)]
+    monkeypatch.setattr(line_quality, "BLOCK_BYTES", 97)
+    monkeypatch.setattr(line_quality, "BLOCK_LINES", 7)
+    parts = [x for *_, x in line_quality.feature_blocks(data, ends, lines)]
+    assert np.allclose(np.concatenate(whole), np.concatenate(parts))
