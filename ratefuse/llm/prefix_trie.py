@@ -136,7 +136,6 @@ class DoubleArray:
             self.check[base + own] = parent[at]
         single = first[count == 1]
         if len(single):  # one child fits into any free place
-            self._grow(len(self.check) + len(single))
             place = self._free(len(single))
             child[single] = place
             self.base[parent[single]] = place - number[single]
@@ -144,12 +143,18 @@ class DoubleArray:
         return child
 
     def _free(self, n: int) -> np.ndarray:
-        found = np.flatnonzero(self.check[self.free_from :] == -1)[:n] + self.free_from
-        if len(found) == n:
-            self.free_from = int(found[0])
-            return found
-        self._grow(len(self.check) + n)
-        return self._free(n)
+        """The first n free places."""
+        found, have, at, step = [], 0, self.free_from, max(4 * n, 256)
+        while have < n:
+            if at >= len(self.check):
+                self._grow(len(self.check) + n)
+            part = np.flatnonzero(self.check[at : at + step] == -1) + at
+            found.append(part)
+            have += len(part)
+            at += step if at + step <= len(self.check) else len(self.check) - at
+        places = np.concatenate(found)[:n]
+        self.free_from = int(places[0])
+        return places
 
     def _fit(self, own: np.ndarray) -> int:
         """A base that puts all numbers of a parent on free places."""
