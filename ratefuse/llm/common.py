@@ -122,6 +122,9 @@ class Powers:
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
 
+    def __reduce__(self) -> tuple:
+        return Powers, ()  # workers count their own; what the driver needed stays there
+
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 2 * len(self.up), 1 << 16)
