@@ -15,11 +15,14 @@ def _unpivot(df: DataFrame, columns: list[str]) -> DataFrame:
     pairs = [
         F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns
     ]
-    return df.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    return df.select(F.inline(F.array(*pairs)))
 
 
 def rating_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Mean, standard deviation, min, max, median (two places) and count per column."""
+    """Mean, standard deviation, min, max, median (two places) and count per column.
+
+    A column without values has nulls and the count 0.
+    """
     stats = _unpivot(df, columns).groupBy("name").agg(
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"), F.count("value").alias("count"),

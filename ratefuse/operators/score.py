@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratefuse.functions.parse import count_present, half_even, row_mean, row_median
 from ratefuse.operators.merge import STATIC, Dialect, rating_columns
-from ratefuse.operators.quantiles import quantile_struct
+from ratefuse.operators.quantiles import quantile_values
 from ratefuse.sources.specs import RESCALE_FACTORS
 
 # Normalised columns in order, and the sources they come from.
@@ -58,8 +58,8 @@ def treat_outliers(
 ) -> DataFrame:
     """Cap outliers at the bounds (``cap``, ``percentile_cap``) or blank them (``nan``).
 
-    The bounds are one row of scalars that Spark computes once and every task reads.
-    A column without spread is left alone.
+    The bounds are found in rounds of counting first, and then stand in the plan as numbers.
+    A column without spread, or without values, is left alone.
     """
     if method not in METHODS:
         raise ValueError(f"unknown outlier method {method!r}, expected one of {METHODS}")
@@ -67,20 +67,20 @@ def treat_outliers(
     if method == "none" or (by_percentile and not 0 <= lower < upper <= 1):
         return df
     probs = [lower, upper] if by_percentile else [0.25, 0.75]
-    bounds = quantile_struct(df, columns, probs, **quantile_options).scalar()
+    bounds = quantile_values(df, columns, probs, **quantile_options)
     out = {}
     for c in columns:
-        low, high = F.col(f"_q.{c}_0"), F.col(f"_q.{c}_1")
+        low, high = (bounds[c, p][1] for p in probs)
+        if low is None or (low == high and not by_percentile):
+            continue
         if not by_percentile:
             spread = high - low
             low, high = low - spread * iqr_factor, high + spread * iqr_factor
-        outside = (F.col(c) < low) | (F.col(c) > high)
-        if not by_percentile:
-            outside = outside & (low != high)
-        bound = F.when(F.col(c) < low, low).otherwise(high)
+        bound = F.when(F.col(c) < low, F.lit(low)).otherwise(F.lit(high))
         new = F.lit(None).cast("double") if method == "nan" else bound
+        outside = (F.col(c) < low) | (F.col(c) > high)
         out[c] = F.when(outside, new).otherwise(F.col(c))
-    return df.withColumn("_q", bounds).withColumns(out).drop("_q")
+    return df.withColumns(out)
 
 
 def superscores(df: DataFrame, columns: list[str], min_ratings: int = 2, rounded: bool = False,

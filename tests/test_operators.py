@@ -133,26 +133,58 @@ def test_dense_row_id(spark):
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
 
-@pytest.mark.parametrize("n,small", [(7, 100_000), (20_000, 1000)])
-def test_quantiles(spark, n, small):
+@pytest.mark.parametrize("n,bins", [(7, 1024), (20_000, 1024), (500, 32)])
+def test_quantiles(spark, n, bins):
     import numpy as np
 
     rng = np.random.default_rng(2)
     skewed = np.where(rng.random(n) < 0.4, 5.0, np.exp(rng.normal(0, 6, n)))
+    wide = rng.choice([-1.0, 1.0], n) * 10.0 ** rng.uniform(-300, 300, n)
     uniform = rng.random(n)
     df = spark.createDataFrame(
-        [(float(a), float(b) if i % 5 else None) for i, (a, b) in enumerate(zip(skewed, uniform))],
-        "a double, b double",
+        [(float(a), float(b) if i % 5 else None, float(c), float("nan"))
+         for i, (a, b, c) in enumerate(zip(skewed, uniform, wide))],
+        "a double, b double, c double, d double",
     )
     probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
-    got = quantile_table(df, ["a", "b"], probs, accuracy=10_000, small=small).collect()
-    known = {"a": skewed, "b": np.array([b for i, b in enumerate(uniform) if i % 5])}
-    assert len(got) == 2 * len(probs)
+    got = quantile_table(df, ["a", "b", "c", "d"], probs, bins).collect()
+    known = {"a": skewed, "b": np.array([b for i, b in enumerate(uniform) if i % 5]), "c": wide}
+    assert len(got) == 4 * len(probs)
     for r in got:
+        if r.name == "d":
+            assert (r.n, r.value) == (0, None)
+            continue
         assert r.value == pytest.approx(np.quantile(known[r.name], r.prob), rel=1e-12)
         assert r.n == len(known[r.name])
 
 
+def test_quantiles_of_infinities_whole_numbers_and_nothing(spark):
+    inf = float("inf")
+    rows = [(-inf, 1), (-1.7e308, 2), (0.0, 3), (1.7e308, 3), (inf, None), (None, None)]
+    df = spark.createDataFrame(rows, "x double, k int")
+    got = {(r.name, r.prob): r.value for r in quantile_table(df, ["x", "k"], [0.0, 0.25, 0.5, 1.0]).collect()}
+    assert [got["x", p] for p in (0.0, 0.25, 0.5, 1.0)] == [-inf, -1.7e308, 0.0, inf]
+    assert [got["k", p] for p in (0.0, 0.25, 0.5, 1.0)] == [1.0, 1.75, 2.5, 3.0]
+    assert [r.value for r in quantile_table(df.limit(0), ["x"], [0.5]).collect()] == [None]
+
+
+def test_quantile_rounds_send_one_row_a_bin(spark, monkeypatch):
+    from ratefuse.operators import quantiles
+
+    sent = []
+    counted = quantiles._counted
+
+    def seen(values, brackets, scale, bins):
+        out = counted(values, brackets, scale, bins)
+        sent.append((len(brackets), max(map(len, out))))
+        return out
+
+    monkeypatch.setattr(quantiles, "_counted", seen)
+    df = spark.range(50_000).selectExpr("cast(id * id as double) x")
+    assert quantiles.quantile_values(df, ["x"], [0.5])["x", 0.5][1] == (24999**2 + 25000**2) / 2
+    assert len(sent) <= 5 and all(k <= 2 and rows <= quantiles.BINS for k, rows in sent)
+
+
 def test_outliers(spark):
     values = [1.0, 2.0, 2.0, 3.0, 3.0, 4.0, 100.0]
     df = spark.createDataFrame([(v, 7.0) for v in values], "x double, flat double")
