@@ -42,8 +42,13 @@ def reject_reason(rating_required: bool = True, year_first: bool = False) -> Col
     return F.coalesce(*rules)
 
 
-def parse_source(raw: DataFrame, spec: SourceSpec, row_id: str = "row_id") -> DataFrame:
-    """Canonical columns plus ``reason`` for every raw row; one projection, no shuffle."""
+def parse_source(
+    raw: DataFrame, spec: SourceSpec, row_id: str = "row_id", keep: list[Column] = ()
+) -> DataFrame:
+    """Canonical columns plus ``reason`` for every raw row; one projection, no shuffle.
+
+    ``keep``: further expressions over the raw columns, such as ``raw_record``.
+    """
     fields = spec.fields(raw)
     title = normalize_title(fields["title_raw"], **dict(spec.title_options))
     parsed = raw.select(
@@ -52,6 +57,7 @@ def parse_source(raw: DataFrame, spec: SourceSpec, row_id: str = "row_id") -> Da
         F.col(row_id).cast("long").alias("id"),
         title.alias("title"),
         *[fields[c].alias(c) for c in ("title_raw", "year", "release_date", "genres", "rating")],
+        *keep,
     )
     return parsed.withColumn("reason", reject_reason(spec.rating_required, spec.year_first))
 
@@ -111,9 +117,16 @@ def split_routed(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return clean, routed.filter(F.col("kind") != "clean")
 
 
-def reject_record(raw: DataFrame) -> Column:
-    """All original columns of a raw row as JSON text, to keep with a reject."""
-    return F.to_json(F.struct(*raw.columns))
+def raw_record(raw: DataFrame, row_id: str = "row_id") -> Column:
+    """All original columns of a raw row as JSON text (``record``), nulls included."""
+    columns = [c for c in raw.columns if c != row_id]
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("record")
+
+
+def with_records(rejects: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Rejects with the raw record they came from, matched on the unique row id."""
+    records = parsed.select("source", "row_id", "record")
+    return rejects.join(records, ["source", "row_id"])
 
 
 def mean_ratings(movies: DataFrame, ratings: DataFrame, key: str, rating: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ratefuse.operators.stored import stored
+
 # A key of fewer rows is never split.
 HOT_ROWS = 100_000
 
@@ -88,18 +90,26 @@ def prefix_sums(sizes: DataFrame, size: str, order: list[str], name: str) -> Dat
     return sizes.withColumn(name, F.coalesce(F.sum(size).over(before), F.lit(0)))
 
 
-def dense_row_id(df: DataFrame, key: str, name: str = "row_id", width: int = 1_000_000) -> DataFrame:
-    """Rows numbered from 1 along a unique whole-number key.
+def numbered(df: DataFrame, order: list[Column | str], name: str = "row_id") -> DataFrame:
+    """Rows numbered from 1 in the given order, whatever the values of its columns are.
 
-    Rows are numbered inside blocks of ``width`` key values (so a block has at most
-    ``width`` rows); only one row per block goes through the running sum of offsets.
+    Spark sorts into ranges, whose bounds it samples, and a row's number is its place in its
+    range behind the rows of the ranges before.  The sorted rows are stored first, so that
+    places stay as they are; only one row per range goes through the running sum.
     """
-    blocks = df.withColumn("_block", F.floor(F.col(key) / width))
-    sizes = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("_size"))
-    offsets = prefix_sums(sizes, "_size", ["_block"], "_offset").drop("_size")
-    inside = F.row_number().over(Window.partitionBy("_block").orderBy(key))
-    numbered = blocks.join(offsets, "_block").withColumn(name, F.col("_offset") + inside)
-    return numbered.drop("_block", "_offset")
+    placed = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = stored(placed, "ordered").withColumn("_range", F.shiftright("_at", 33))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = prefix_sums(sizes, "_size", ["_range"], "_offset").drop("_size")
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("_offset") + 1
+    # One row for each range: there are no more of them than shuffle partitions.
+    joined = placed.join(F.broadcast(offsets), "_range").withColumn(name, place)
+    return joined.drop("_at", "_range", "_offset")
+
+
+def dense_row_id(df: DataFrame, key: str, name: str = "row_id") -> DataFrame:
+    """Rows numbered from 1 along a unique key, which may be as sparse as a hash."""
+    return numbered(df, [key], name)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

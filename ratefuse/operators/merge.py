@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ratefuse.functions.parse import count_present
 from ratefuse.functions.text import film_signature, normalize_title
 from ratefuse.operators.cluster import unify_by_signature, year_clusters
-from ratefuse.operators.keyed import duplicate_keys, flag_duplicates, lookup_by_key
+from ratefuse.operators.keyed import duplicate_keys, flag_duplicates, lookup_by_key, numbered
 
 # Source name -> id column, in the order sources are read.
 ID_COLUMNS = {
@@ -150,12 +150,28 @@ def merge_sources(clean: DataFrame, sources: list[str], dialect: Dialect = STATI
     return keep_rated(wide, dialect, min_ratings)
 
 
-def ranked(films: DataFrame) -> DataFrame:
+def rank_order(films: DataFrame) -> list[Column]:
     """Most ratings first, then newest; title and ids settle the rest."""
-    return films.orderBy(
-        F.col("count_ratings").desc(), F.col("release_year").desc_nulls_last(), "title",
+    return [
+        F.col("count_ratings").desc(), F.col("release_year").desc_nulls_last(), F.col("title"),
         *[F.col(c).asc_nulls_last() for c in id_columns(films)],
-    )
+    ]
+
+
+def rank_key(films: DataFrame) -> Column:
+    """``rank_order`` as one value that only grows from film to film."""
+    ids = [f(c) for c in id_columns(films) for f in (F.isnull, F.col)]
+    year = F.col("release_year")
+    return F.struct(-F.col("count_ratings"), year.isNull(), -year, "title", *ids)
+
+
+def ranked(films: DataFrame) -> DataFrame:
+    return films.orderBy(*rank_order(films))
+
+
+def with_rank(films: DataFrame) -> DataFrame:
+    """Films with their place (from 1) in ``rank_order``."""
+    return numbered(films, rank_order(films), "rank")
 
 
 def long_union(frames: dict[str, DataFrame]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,7 +22,9 @@ class RunConfig:
     """What a run reads, how it treats it and where it writes.
 
     ``sources`` maps a source name to ``{"file_path": ...}``, or to ``{"movies_path": ...,
-    "ratings_path": ...}`` for a source that comes as films and single ratings.
+    "ratings_path": ...}`` for a source that comes as films and single ratings.  Sources with
+    a ``shared_id`` (a raw column that names the same film in each of them) get the same title
+    for the same id.
     """
 
     base_uri: str
@@ -59,11 +62,16 @@ def _read(spark: SparkSession, spec: SourceSpec, options: dict[str, str]) -> Dat
     return clean.mean_ratings(movies, stars, "movieId", "stars")
 
 
-def parse_configured(spark: SparkSession, config: RunConfig) -> tuple[DataFrame, list[str]]:
-    """Parsed rows of all sources that can be read, and the names of these sources.
+def _parse(spark: SparkSession, spec: SourceSpec, options: dict[str, str]) -> DataFrame:
+    """Parsed rows of one source, each with its raw record and shared id."""
+    raw = _read(spark, spec, options)
+    shared = F.col(options["shared_id"]) if "shared_id" in options else F.lit(None)
+    keep = [clean.raw_record(raw), shared.cast("string").alias("shared_id")]
+    return clean.parse_source(raw, spec, keep=keep)
 
-    An unknown source is skipped, one that cannot be read is logged and left out.
-    """
+
+def parse_configured(spark: SparkSession, config: RunConfig) -> tuple[DataFrame, list[str]]:
+    """Parsed rows of all sources whose plan can be built, and the names of these sources."""
     parts, names = [], []
     for name, options in config.sources.items():
         spec = _spec(name, config)
@@ -71,47 +79,89 @@ def parse_configured(spark: SparkSession, config: RunConfig) -> tuple[DataFrame,
             log.warning("no source definition for %s, skipped", name)
             continue
         try:
-            parts.append(clean.parse_source(_read(spark, spec, options), spec))
+            parts.append(_parse(spark, spec, options))
             names.append(spec.name)
         except Exception:
             log.exception("source %s failed, skipped", name)
     if not parts:
         raise ValueError("no source could be read")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows, names
+    return reduce(DataFrame.unionByName, parts), names
+
+
+def store_sources(
+    spark: SparkSession, config: RunConfig, path: str
+) -> tuple[DataFrame, list[str], list[tuple]]:
+    """Parse and write each source by itself; a source that fails stops no other one.
+
+    An unknown name, a missing file and a row that cannot be read are all recorded as findings
+    of their source.  Returns the rows of the sources that were written, their names, and the
+    findings.
+    """
+    written, names, failed, schema = [], [], [], None
+    for name, options in config.sources.items():
+        spec = _spec(name, config)
+        try:
+            if spec is None:
+                raise LookupError("no source definition")
+            part = _parse(spark, spec, options)
+            writers.write_table(part, f"{path}/{spec.name}")
+        except Exception as error:  # any failure of a source is its own
+            log.exception("source %s failed, skipped", name)
+            reason = (str(error).strip() or repr(error)).splitlines()[0]
+            failed.append((name, "source", "", None, f"{name}: not read: {reason}"))
+            continue
+        written.append(f"{path}/{spec.name}")
+        names.append(spec.name)
+        schema = part.schema
+    if not written:
+        raise ValueError("no source could be read")
+    return spark.read.schema(schema).parquet(*written), names, failed
+
+
+KINDS = ("clean", "invalid", "duplicate")
 
 
 def run(spark: SparkSession, config: RunConfig) -> dict[str, str]:
     """Run all stages.  Each one is written and read back, so that none is computed twice
-    and a lost executor costs at most the stage it was in.  Returns the paths.
+    and a lost executor costs at most the stage it was in.  Rows are counted while they are
+    written.  Returns the paths.
     """
     dialect = ADAPTIVE if config.dialect == "adaptive" else STATIC
     paths = {
         s: config.path(s)
         for s in ("parsed", "routed", "cleaned", "wide", "merged", "ambiguous", "invalid", "duplicates",
-                  "final")
-    } | {s: config.run_path(s) for s in ("rejects", "findings", "summary")}
-    parsed, names = parse_configured(spark, config)
-    writers.write_table(parsed, paths["parsed"])
-    parsed = spark.read.schema(parsed.schema).parquet(paths["parsed"])
+                  "scored", "final")
+    } | {s: config.run_path(s) for s in ("rejects", "findings", "failures", "summary")}
+    parsed, names, failed = store_sources(spark, config, paths["parsed"])
+    writers.write_findings(
+        spark.createDataFrame([(*f, config.run_id) for f in failed], f"{validate.FINDING}, run_id string"),
+        paths["failures"],
+    )
     routed = clean.route(parsed, dialect.claim)
-    writers.write_table(routed, paths["routed"], partition_by=["source", "kind"])
+    counts = writers.write_counted(
+        routed, paths["routed"],
+        {(s, k): F.count_if((F.col("source") == s) & (F.col("kind") == k)) for s in names for k in KINDS},
+        partition_by=["source", "kind"],
+    )
     routed = spark.read.schema(routed.schema).parquet(paths["routed"])
     cleaned, rejects = clean.split_routed(routed)
-    writers.write_rejects(rejects, paths["rejects"], config.run_id)
-    if cleaned.isEmpty() and not config.allow_empty:
+    writers.write_rejects(clean.with_records(rejects, parsed), paths["rejects"], config.run_id)
+    if not any(counts[s, "clean"] for s in names) and not config.allow_empty:
         raise ValueError("no row survived cleaning")
     if config.save_intermediate:
         writers.write_table(cleaned, paths["cleaned"], partition_by=["source"])
     _report_sources(cleaned, "cleaned", config, paths)
 
-    wide = merge.merge_long(merge.with_group_title(cleaned, dialect), names, dialect)
+    if any("shared_id" in config.sources[s] for s in config.sources):
+        ids = parsed.select("source", "row_id", "shared_id")
+        long = merge.with_group_title(cleaned.join(ids, ["source", "row_id"]), dialect, ["shared_id"])
+    else:
+        long = merge.with_group_title(cleaned, dialect)
+    wide = merge.merge_long(long, names, dialect)
     writers.write_table(wide, paths["wide"])
     wide = spark.read.schema(wide.schema).parquet(paths["wide"])
     films = merge.keep_rated(wide, dialect, config.min_ratings)
-    writers.write_table(merge.ranked(films), paths["merged"])
+    total = writers.write_counted(merge.ranked(films), paths["merged"], {"films": F.count(F.lit(1))})
     films = spark.read.schema(films.schema).parquet(paths["merged"])
     rated = merge.keep_rated(wide, replace(dialect, drop_ambiguous=False), config.min_ratings)
     writers.write_table(merge.ambiguous_films(rated), paths["ambiguous"])
@@ -120,10 +170,12 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, str]:
     scored = score.score(
         films, dialect, config.min_ratings, config.outliers, **config.outlier_options
     )
+    writers.write_table(scored, paths["scored"])
+    scored = spark.read.schema(scored.schema).parquet(paths["scored"])
     final = score.keep_scored(scored, config.min_ratings)
-    writers.write_table(final, paths["final"], config.final_format)
+    writers.write_table(merge.ranked(final), paths["final"], config.final_format)
     _report(scored, "final", config, paths)
-    _summary(routed, films, config, paths)
+    _summary(spark, counts, names, [f[0] for f in failed], total["films"], config, paths)
     return paths
 
 
@@ -150,13 +202,22 @@ def _report(df: DataFrame, stage: str, config: RunConfig, paths: dict[str, str])
     writers.write_table(bad, f"{paths['invalid']}/{stage}")
 
 
-def _summary(routed: DataFrame, films: DataFrame, config: RunConfig, paths: dict[str, str]) -> None:
-    """Run record: ids, parameters, rows per source and kind, number of films, paths."""
-    counts = clean.stage_counts(routed).agg(F.collect_list(F.struct("*")).alias("sources"))
-    total = films.agg(F.count(F.lit(1))).scalar()
-    record = counts.select(
-        F.lit(config.run_id).alias("run_id"), F.lit(config.dialect).alias("dialect"),
-        F.lit(config.min_ratings).alias("min_ratings"), F.lit(config.outliers).alias("outliers"),
-        "sources", total.alias("films"), F.lit(paths["final"]).alias("final_path"),
+def _summary(
+    spark: SparkSession, counts: dict[tuple[str, str], int], names: list[str], failed: list[str],
+    films: int, config: RunConfig, paths: dict[str, str],
+) -> None:
+    """Run record: ids, parameters, rows per source and kind, number of films, paths.
+
+    The counts were taken while the stages were written.
+    """
+    rows = [
+        (s, sum(counts[s, k] for k in KINDS), *[counts[s, k] for k in KINDS]) for s in sorted(names)
+    ]
+    record = spark.createDataFrame(
+        [(config.run_id, config.dialect, config.min_ratings, config.outliers, rows, failed, films,
+          paths["final"])],
+        "run_id string, dialect string, min_ratings int, outliers string, sources array<struct<"
+        "source string, rows_in long, rows_clean long, rows_invalid long, rows_duplicate long>>,"
+        " failed array<string>, films long, final_path string",
     )
     record.write.mode("overwrite").json(paths["summary"])

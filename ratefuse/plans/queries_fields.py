@@ -334,6 +334,18 @@ def stable_row_id(spark, d):
     return keyed.dense_row_id(orders, "o_orderkey")
 
 
+@query(
+    "stable_row_id_sparse",
+    "SELECT o_orderkey, row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR))) AS row_id FROM orders",
+)
+def stable_row_id_sparse(spark, d):
+    """Numbers along a key that is a hash: hardly any two of its values lie close."""
+    orders = tables.table(spark, d, "orders").select(
+        "o_orderkey", F.md5(F.col("o_orderkey").cast("string").cast("binary")).alias("key")
+    )
+    return keyed.dense_row_id(orders, "key").drop("key")
+
+
 @query(
     "seeded_sample",
     "SELECT o_orderkey, o_totalprice FROM orders"

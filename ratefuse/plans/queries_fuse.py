@@ -368,9 +368,14 @@ def count_available(spark, d):
     return derived.wide(spark, d).select("norm_title", "year_cluster", count.alias("count_ratings"))
 
 
-@query("final_ranking", f"WITH {sql.STATIC_MERGED} SELECT {_FILMS} FROM st_films")
+@query(
+    "final_ranking",
+    f"""WITH {sql.STATIC_MERGED} SELECT {_FILMS}, row_number() OVER (ORDER BY count_ratings DESC,
+      release_year DESC NULLS LAST, title, {", ".join(f"{c} NULLS LAST" for c in sql.SOURCES.values())})
+      AS rank FROM st_films""",
+)
 def final_ranking(spark, d):
-    return flat(merge.ranked(derived.films(spark, d)))
+    return flat(merge.with_rank(derived.stored_films(spark, d)))
 
 
 _NORMS = sql.r6("imdb_norm, movielens_norm, metacritic_norm, rt_norm")

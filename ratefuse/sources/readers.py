@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ratefuse.operators.keyed import prefix_sums
+from ratefuse.sources.quoted import read_quoted, value_count
 from ratefuse.sources.specs import SourceSpec
 
 _CORRUPT = "_corrupt_record"
@@ -31,13 +34,13 @@ def read_csv(
     """All-string CSV scan with a header line.
 
     Short rows are kept and padded with nulls.  A row with too many values is skipped,
-    or fails the job if ``strict``.
+    or fails the job if ``strict``.  ``multi_line``: quoted values may hold newlines.
     """
     columns = columns or csv_header(spark, path)
+    if multi_line:
+        return read_quoted(spark, path, columns, strict).drop("row_id")
     # Without all columns parsed, a row with too many values would go unnoticed.
-    reader = spark.read.options(
-        header=True, escape='"', multiLine=multi_line, columnPruning=False
-    )
+    reader = spark.read.options(header=True, escape='"', columnPruning=False)
     if strict:
         return reader.schema(_strings(columns)).option("mode", "FAILFAST").csv(path)
     schema = _strings(columns + [_CORRUPT])
@@ -54,16 +57,11 @@ def read_csv(
     return rows.filter(~too_long).drop(_CORRUPT)
 
 
-def value_count(line: Column) -> Column:
-    """Number of values in a CSV line; separators in quoted values do not count."""
-    quoted = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
-    return F.regexp_count(F.regexp_replace(line, quoted, "$1"), F.lit(",")) + 1
-
-
 def read_source(spark: SparkSession, spec: SourceSpec, path: str) -> DataFrame:
     """Scan one source file with the columns its header names, numbered in file order."""
-    rows = read_csv(spark, path, None, spec.strict, spec.multi_line)
-    return with_file_row_id(rows)
+    if spec.multi_line:
+        return read_quoted(spark, path, csv_header(spark, path), spec.strict)
+    return with_file_row_id(read_csv(spark, path, None, spec.strict))
 
 
 def with_file_row_id(rows: DataFrame, name: str = "row_id") -> DataFrame:
@@ -122,6 +120,31 @@ def is_stage_output(name: Column) -> Column:
     return found
 
 
+def order_breaks(
+    spark: SparkSession, path: str, key: Callable[[DataFrame], Column]
+) -> DataFrame:
+    """Places (file, row_index) of a Parquet table whose row comes before the row ahead of it.
+
+    ``key`` gives the value that must not fall from row to row, in file order.  Each file is
+    looked at by itself; of all files only the first and the last value meet.
+    """
+    rows = spark.read.parquet(path)
+    placed = rows.select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row_index"),
+        key(rows).alias("key"),
+    )
+    ahead = F.lag("key").over(Window.partitionBy("file").orderBy("row_index"))
+    inside = placed.withColumn("ahead", ahead).filter(F.col("key") < F.col("ahead"))
+    ends = placed.groupBy("file").agg(
+        F.min_by("key", "row_index").alias("key"), F.max_by("key", "row_index").alias("last")
+    )
+    ahead = F.lag("last").over(Window.orderBy("file"))
+    between = ends.withColumn("ahead", ahead).filter(F.col("key") < F.col("ahead"))
+    return inside.select("file", "row_index").unionByName(
+        between.select("file", F.lit(0).cast("long").alias("row_index"))
+    )
+
+
 def dataset_tag(name: Column) -> Column:
     """Tag of the source a file name points to, ``DATA`` if it points to none."""
     # Parts of a file name and the tag they stand for, first match wins.

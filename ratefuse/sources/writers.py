@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 
@@ -27,6 +27,14 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     writer.save(path)
 
 
+def write_counted(df: DataFrame, path: str, counts: dict[str, Column], **options) -> dict[str, int]:
+    """Write a result and count on the way: each count comes from the rows that are written."""
+    seen = Observation()
+    named = {f"n{i}": c for i, c in enumerate(counts.values())}
+    write_table(df.observe(seen, *[c.alias(n) for n, c in named.items()]), path, **options)
+    return {name: seen.get[f"n{i}"] for i, name in enumerate(counts)}
+
+
 def write_rejects(rejects: DataFrame, path: str, run_id: str) -> None:
     """Write the rejected rows of a run, laid out by source and kind, tagged with the run."""
     tagged = rejects.withColumn("run_id", F.lit(run_id))

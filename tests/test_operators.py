@@ -129,7 +129,7 @@ def test_flag_duplicates(spark):
 def test_dense_row_id(spark):
     keys = random.Random(5).sample(range(-5000, 5000), 700)
     df = spark.createDataFrame([(k,) for k in keys], "k long")
-    got = {r.k: r.row_id for r in keyed.dense_row_id(df, "k", width=100).collect()}
+    got = {r.k: r.row_id for r in keyed.dense_row_id(df, "k").collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
 

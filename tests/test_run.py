@@ -225,3 +225,79 @@ def test_rule_file(spark, tmp_path):
         "ID long, title string, release_year int, genres array<string>, rating double",
     )
     assert validate.check_schema(rows, spec=rules).first().errors == [validate.ERR_RATING]
+
+
+def test_a_source_that_fails_while_read_stops_no_other(spark, tmp_path):
+    files = {k: v for k, v in sources(tmp_path).items() if k in ("imdb", "movielens", "unknown", "later")}
+    with open(files["movielens"]["file_path"], "a", encoding="utf-8") as f:
+        f.write("9,Too long (2001),x,4.0,1,2,3\n")
+    config = fuse.RunConfig(str(tmp_path / "out"), files, "r1", 2026, min_ratings=1)
+    paths = fuse.run(spark, config)
+    final = {r.title: r for r in spark.read.parquet(paths["final"]).collect()}
+    assert set(final) == {"the matrix", "solo"} and final["solo"].rating_movielens is None
+    failed = {r.df_name: r for r in spark.read.json(paths["failures"]).collect()}
+    assert set(failed) == {"movielens", "unknown", "later"}
+    assert failed["movielens"].check == "source" and failed["movielens"].run_id == "r1"
+    summary = spark.read.json(paths["summary"]).first()
+    assert sorted(summary.failed) == ["later", "movielens", "unknown"]
+    assert [s.source for s in summary.sources] == ["imdb"]
+
+
+def test_rejects_keep_every_raw_column(spark, tmp_path):
+    paths = fuse.run(spark, fuse.RunConfig(str(tmp_path / "o"), sources(tmp_path), "r", 2026))
+    rejects = spark.read.parquet(paths["rejects"]).collect()
+    found = {(r.source, r.row_id): json.loads(r.record) for r in rejects}
+    columns = {"imdb": specs.IMDB_COLUMNS, "metacritic": specs.METACRITIC_COLUMNS,
+               "movielens": specs.MOVIELENS_COLUMNS}
+    assert {s for s, _ in found} == set(columns)
+    assert all(list(record) == columns[s] for (s, _), record in found.items())
+    assert found["metacritic", 2]["userscore"] == "tbd"
+    assert found["imdb", 3]["originalTitle"] == "Nowhere" and found["imdb", 3]["release_date"] is None
+
+
+def test_counts_of_the_run_agree_with_the_stage(spark, tmp_path):
+    from ratefuse.operators import clean
+
+    paths = fuse.run(spark, fuse.RunConfig(str(tmp_path / "o"), sources(tmp_path), "r", 2026))
+    counted = clean.stage_counts(spark.read.parquet(paths["routed"])).orderBy("source").collect()
+    summary = spark.read.json(paths["summary"]).first()
+    assert [r.asDict() for r in summary.sources] == [r.asDict() for r in counted]
+    assert summary.films == spark.read.parquet(paths["merged"]).count()
+
+
+def test_final_films_lie_in_order(spark, tmp_path):
+    from ratefuse.operators import merge
+
+    path = str(tmp_path / "ml.csv")
+    rows = [(i, f"Film {i * 7919 % 500} ({1950 + i * 31 % 60})", "x", 1 + i % 5, 1) for i in range(500)]
+    write_csv(path, specs.MOVIELENS_COLUMNS, rows)
+    config = fuse.RunConfig(str(tmp_path / "o"), {"movielens": {"file_path": path}}, "r", 2026, min_ratings=1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        paths = fuse.run(spark, config)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spark.read.parquet(paths["final"]).inputFiles()) > 1
+    assert readers.order_breaks(spark, paths["final"], merge.rank_key).isEmpty()
+    mixed = str(tmp_path / "mixed")
+    spark.read.parquet(paths["final"]).orderBy("title").write.parquet(mixed)
+    assert not readers.order_breaks(spark, mixed, merge.rank_key).isEmpty()
+
+
+def test_shared_ids_give_one_title(spark, tmp_path):
+    files = {k: v for k, v in sources(tmp_path).items() if k in ("imdb", "movielens")}
+    for key, column, value in (("imdb", "id", "tt1"), ("movielens", "movieId", "tt1")):
+        path = files[key]["file_path"]
+        with open(path, encoding="utf-8") as f:
+            header, first, *rest = list(csv.reader(f))
+        first[header.index(column)] = value
+        if key == "movielens":
+            first[header.index("title")] = "Die Matrix (1999)"
+        write_csv(path, header, [first, *rest])
+    plain = fuse.RunConfig(str(tmp_path / "a"), files, "r", 2026)
+    assert "matrix" not in {r.norm_title for r in spark.read.parquet(fuse.run(spark, plain)["wide"]).collect()
+                            if r.rating_imdb and r.rating_movielens}
+    shared = {"imdb": files["imdb"] | {"shared_id": "id"}, "movielens": files["movielens"] | {"shared_id": "movieId"}}
+    paths = fuse.run(spark, fuse.RunConfig(str(tmp_path / "b"), shared, "r", 2026))
+    film = {r.norm_title: r for r in spark.read.parquet(paths["wide"]).collect()}["the matrix"]
+    assert (film.ID_IMDB, film.ID_MOVIELENS, film.release_year) == (1, 1, 1999)
