@@ -5,11 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
-from ratefuse.functions.parse import FIRST_YEAR, LAST_YEAR
 from ratefuse.functions.text import strip_to_alnum
-from ratefuse.operators.keyed import first_ids, flag_duplicates
+from ratefuse.operators.keyed import flag_duplicates
+from ratefuse.operators.rules import (
+    DEFAULT_RULES, ERR_DIRTY, ERR_DUPLICATE, ERR_GENRES, ERR_ID, ERR_RATING, ERR_TITLE, ERR_YEAR,
+    FieldRule, compile_rules, field_error, unique_key,
+)
+from ratefuse.operators.stored import stored
+
+__all__ = ["ERR_DIRTY", "ERR_DUPLICATE", "ERR_GENRES", "ERR_ID", "ERR_RATING", "ERR_TITLE", "ERR_YEAR"]
 
 # Limits of years and ratings.
 EARLIEST_FILM = 1888
@@ -206,93 +212,87 @@ def validate_or_raise(df: DataFrame, name: str, max_year: int, **options) -> Non
 
 @dataclass(frozen=True)
 class RulePolicy:
-    """What a schema check does with the cases that can be handled in several ways."""
+    """What a schema check does with the cases that can be handled in several ways.
+
+    ``drop`` leaves repeated rows out if they are free of errors; ``drop_first`` leaves them
+    out before errors are looked at, so that only the first row of a key is judged.
+    """
 
-    on_duplicate: str = "error"     # error | drop | count
+    on_duplicate: str = "error"     # error | drop | drop_first | count
     on_null_year: str = "allow"     # allow | error
     on_dirty_title: str = "error"   # error | rewrite
     all_errors: bool = True
 
 
-# Errors of the row schema.
-ERR_ID = "ID missing or not int"
-ERR_TITLE = "title missing or empty"
-ERR_DIRTY = "title not cleaned"
-ERR_YEAR = "release_year out of range"
-ERR_GENRES = "genres not a list of strings"
-ERR_RATING = "rating missing or NaN"
-ERR_DUPLICATE = "duplicate title/release_year"
-
-
-def rule_errors(policy: RulePolicy, fields: set[str]) -> Column:
-    """All rules a row breaks, as an array (only the first if the policy says so)."""
-    title = F.coalesce(F.col("title"), F.lit(""))
-    year = F.col("release_year")
-    cleaned = strip_to_alnum(title)
-    wrong_title = F.when(F.trim(title) == "", ERR_TITLE)
-    if policy.on_dirty_title == "error":
-        wrong_title = wrong_title.when(title != cleaned, ERR_DIRTY)
-    else:
-        wrong_title = wrong_title.when(cleaned == "", ERR_TITLE)
-    wrong_year = ~year.between(FIRST_YEAR, LAST_YEAR)
-    if policy.on_null_year == "error":
-        wrong_year = wrong_year | year.isNull()
-    rules = {
-        "ID": F.when(F.col("ID").isNull(), ERR_ID),
-        "title": wrong_title,
-        "release_year": F.when(wrong_year, ERR_YEAR),
-        "genres": F.when(
-            F.col("genres").isNull() | F.exists("genres", lambda g: g.isNull()), ERR_GENRES
-        ),
-        "rating": F.when(F.col("rating").isNull() | F.isnan("rating"), ERR_RATING),
-    }
-    errors = F.array_compact(F.array(*[r for f, r in rules.items() if f in fields]))
+def rule_errors(rows: DataFrame, rules: list[FieldRule], policy: RulePolicy = RulePolicy()) -> Column:
+    """All rules a row breaks, as an array in the order of the rules (only the first if the
+    policy says so)."""
+    found = []
+    for rule in rules:
+        if rule.field not in rows.columns:
+            continue
+        rewrite = rule.clean and policy.on_dirty_title == "rewrite"
+        strict = rule.field == "release_year" and policy.on_null_year == "error"
+        found.append(field_error(rows, rule, rewrite, False if strict else None))
+    errors = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
     return errors if policy.all_errors else F.slice(errors, 1, 1)
 
 
 def check_schema(
     rows: DataFrame, policy: RulePolicy = RulePolicy(), spec: list[dict] | None = None
 ) -> DataFrame:
-    """Rows (ID, title, release_year, genres, rating) with their ``errors``.
+    """Rows with their ``errors`` by the rules of a rule file, and whether they repeat a key.
 
-    ``spec`` is the list of ``{field, type, rule}`` of a rule file; it says which fields
-    are checked.  Duplicates of (title, release_year) are found by the smallest ID of
-    each key, matched back on the ID; a row without an ID has no rank among them.
+    ``spec`` is the list of ``{field, type, rule}`` of a rule file; without one the default
+    rules hold.  Rows of one key are ranked by ID, those without an ID behind the others by
+    their other columns; all but the first are repeated, whether they have an ID or not.  Each
+    row is matched to the first one of its key by a number of its own, so rows of a key never
+    meet in one task.
     """
-    fields = {s["field"] for s in spec} if spec else set(rows.columns)
-    if policy.on_dirty_title == "rewrite":
-        rows = rows.withColumn("_title", strip_to_alnum(F.coalesce("title", F.lit(""))))
-    else:
-        rows = rows.withColumn("_title", F.coalesce("title", F.lit("")))
-    checked = rows.withColumn("errors", rule_errors(policy, fields))
-    eligible = None if policy.on_duplicate == "error" else F.size("errors") == 0
-    owners = first_ids(checked, ["_title", "release_year"], "ID", eligible).select(
-        F.col("ID").alias("_owner")
+    rules = compile_rules(spec if spec is not None else DEFAULT_RULES)
+    plain = rows.columns
+    # Numbers are written down, so that every step sees the same ones.
+    rows = stored(rows.withColumn("_row", F.monotonically_increasing_id()), "checked")
+    checked = rows.withColumn("errors", rule_errors(rows, rules, policy))
+    cleaned = {
+        r.field: strip_to_alnum(F.coalesce(F.col(r.field), F.lit("")))
+        for r in rules if r.clean and r.field in plain and policy.on_dirty_title == "rewrite"
+    }
+    key = unique_key(rules, plain)
+    if not key:
+        return checked.withColumns(cleaned).withColumn("is_duplicate", F.lit(False)).drop("_row")
+    keys = [f"_key_{c}" for c in key]
+    texts = [c for c in key if isinstance(rows.schema[c].dataType, StringType)]
+    keyed = checked.withColumns(
+        {f"_key_{c}": cleaned.get(c, F.coalesce(c, F.lit("")) if c in texts else F.col(c)) for c in key}
     )
-    # Rows without an ID match nothing; the hash keeps them from meeting in one task.
-    place = F.coalesce("ID", F.xxhash64("_title", "release_year", "rating"))
-    placed = checked.withColumn("_place", place)
-    same = (placed["_place"] == owners["_owner"]) & placed["ID"].isNotNull()
-    marked = placed.join(owners, same, "left").drop("_place")
-    repeated = F.col("_owner").isNull() & F.col("ID").isNotNull()
+    kinds = dict(rows.dtypes)
+    others = [F.to_json(c) if "map<" in kinds[c] else F.col(c) for c in plain if c != "ID"]
+    number = [F.col("ID").isNull(), F.col("ID")] if "ID" in plain else []
+    rank = F.struct(*number, *others, "_row")
+    claims = policy.on_duplicate in ("error", "drop_first")
+    rank = rank if claims else F.when(F.size("errors") == 0, rank)
+    owners = keyed.groupBy(*keys).agg(F.min(rank)["_row"].alias("_owner")).select("_owner")
+    marked = keyed.join(owners, F.col("_row") == F.col("_owner"), "left").drop("_row", *keys)
+    repeated = F.col("_owner").isNull()
     if policy.on_duplicate == "error":
         more = F.when(repeated, F.array(F.lit(ERR_DUPLICATE))).otherwise(
             F.array().cast("array<string>")
         )
         errors = F.concat("errors", more)
-        errors = errors if policy.all_errors else F.slice(errors, 1, 1)
-        marked = marked.withColumn("errors", errors)
+        marked = marked.withColumn("errors", errors if policy.all_errors else F.slice(errors, 1, 1))
+    elif policy.on_duplicate == "drop_first":
+        no_errors = F.array().cast("array<string>")
+        marked = marked.withColumn("errors", F.when(repeated, no_errors).otherwise(F.col("errors")))
     else:
         repeated = repeated & (F.size("errors") == 0)
-    if policy.on_dirty_title == "rewrite":
-        marked = marked.withColumn("title", F.col("_title"))
-    return marked.withColumn("is_duplicate", repeated).drop("_owner", "_title")
+    return marked.withColumns(cleaned).withColumn("is_duplicate", repeated).drop("_owner")
 
 
 def valid_rows(checked: DataFrame, policy: RulePolicy = RulePolicy()) -> DataFrame:
     """Rows without errors; repeated ones are left out unless they are only counted."""
     good = F.size("errors") == 0
-    if policy.on_duplicate == "drop":
+    if policy.on_duplicate in ("drop", "drop_first"):
         good = good & ~F.col("is_duplicate")
     return checked.filter(good).drop("errors", "is_duplicate")
 

@@ -199,6 +199,69 @@ def validate_schema_count(spark, d):
     )
 
 
+_FILE_RULES = [
+    {"field": "ID", "type": "int64", "rule": "must be preserved unchanged"},
+    {"field": "title", "type": "str", "rule": "must not be empty, must be unique (title, release_year)"},
+    {"field": "release_year", "type": "int64 | pd.NA", "rule": "value <=2005 & realistic (1870-2025)"},
+    {"field": "genres", "type": "list[str]", "rule": "optional"},
+    {"field": "rating", "type": "float", "rule": "must never be NaN, > 0.5, nice to have"},
+]
+
+
+@query(
+    "validate_rules",
+    f"""WITH {_SPEC_ROWS}, n AS (SELECT *, row_number() OVER (PARTITION BY title, release_year
+      ORDER BY ID) AS n FROM t)
+    SELECT ID, title, release_year, array_to_string(list_filter([
+      CASE WHEN title = '' THEN '{validate.ERR_TITLE}' END,
+      CASE WHEN release_year < 1870 OR release_year > 2005 THEN '{validate.ERR_YEAR}' END,
+      CASE WHEN rating IS NULL THEN '{validate.ERR_RATING}' WHEN NOT rating > 0.5
+        THEN 'rating out of range' END,
+      CASE WHEN n > 1 THEN '{validate.ERR_DUPLICATE}' END], lambda e: e IS NOT NULL), '|') AS errors
+    FROM n""",
+)
+def validate_rules(spark, d):
+    checked = validate.check_schema(_spec_rows(spark, d), spec=_FILE_RULES)
+    return flat(checked.select("ID", "title", "release_year", "errors"))
+
+
+_NO_ID_ROWS = f"""{_SPEC_ROWS}, w AS (SELECT CASE WHEN ID % 3 = 0 THEN ID END AS ID, title,
+  release_year, array_to_string(genres, '|') AS genres, rating FROM t)"""
+
+
+def _rows_without_ids(spark, d):
+    rows = _spec_rows(spark, d).withColumn("ID", F.when(F.col("ID") % 3 == 0, F.col("ID")))
+    genres = F.array_join("genres", "|").alias("genres")
+    return rows.select("ID", "title", "release_year", genres, "rating")
+
+
+def _no_id_query(name, policy, columns, condition):
+    first = "row_number() OVER (PARTITION BY title, release_year ORDER BY ID NULLS LAST, genres, rating NULLS FIRST)"
+
+    @query(
+        name,
+        f"WITH {_NO_ID_ROWS}, n AS (SELECT *, {first} AS n FROM w) SELECT ID, title, release_year,"
+        f" genres, round(rating, 6) AS rating{columns} FROM n WHERE {condition}",
+    )
+    def run(spark, d):
+        rules = [
+            {"field": "title", "type": "str", "rule": "must not be empty, unique (title, release_year)"},
+            {"field": "rating", "type": "float", "rule": "must never be NaN"},
+        ]
+        rows = _rows_without_ids(spark, d).withColumn("title", F.col("title"))
+        checked = validate.check_schema(rows, policy, rules)
+        if policy.on_duplicate == "drop_first":
+            return flat(validate.valid_rows(checked, policy))
+        return flat(checked.drop("errors"))
+
+
+_no_id_query("repeats_without_id", validate.RulePolicy(), ", n > 1 AS is_duplicate", "true")
+_no_id_query(
+    "validate_schema_drop_first", validate.RulePolicy("drop_first"), "",
+    "n = 1 AND title <> '' AND rating IS NOT NULL",
+)
+
+
 _STATS = ["rating_imdb", "rating_movielens", "rating_metacritic", "rating_rt_audience"]
 
 
