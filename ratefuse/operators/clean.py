@@ -54,7 +54,7 @@ def parse_source(
     parsed = raw.select(
         F.lit(spec.name).alias("source"),
         F.col(row_id).cast("long").alias("row_id"),
-        F.col(row_id).cast("long").alias("id"),
+        fields.get("id", F.col(row_id)).cast("long").alias("id"),
         title.alias("title"),
         *[fields[c].alias(c) for c in ("title_raw", "year", "release_date", "genres", "rating")],
         *keep,

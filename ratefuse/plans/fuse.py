@@ -12,6 +12,7 @@ from ratefuse.functions import parse
 from ratefuse.operators import clean, merge, score, validate
 from ratefuse.operators.merge import ADAPTIVE, STATIC
 from ratefuse.sources import readers, writers
+from ratefuse.sources.discover import discover
 from ratefuse.sources.specs import ADAPTIVE_SPECS, SourceSpec, lookup
 
 log = logging.getLogger(__name__)
@@ -28,7 +29,7 @@ class RunConfig:
     """
 
     base_uri: str
-    sources: dict[str, dict[str, str]]
+    sources: dict[str, dict]
     run_id: str
     max_year: int
     dialect: str = "static"
@@ -47,10 +48,13 @@ class RunConfig:
         return f"{self.path(stage)}/run_id={self.run_id}"
 
 
-def _spec(name: str, config: RunConfig) -> SourceSpec | None:
+def _spec(spark: SparkSession, name: str, config: RunConfig) -> SourceSpec | None:
     if config.dialect == "adaptive" and name in ADAPTIVE_SPECS:
         return ADAPTIVE_SPECS[name]
-    return lookup(name)
+    spec, options = lookup(name), config.sources[name]
+    if spec is None and options.get("discover"):
+        return discover(name, readers.csv_header(spark, options["file_path"]))
+    return spec
 
 
 def _read(spark: SparkSession, spec: SourceSpec, options: dict[str, str]) -> DataFrame:
@@ -74,7 +78,7 @@ def parse_configured(spark: SparkSession, config: RunConfig) -> tuple[DataFrame,
     """Parsed rows of all sources whose plan can be built, and the names of these sources."""
     parts, names = [], []
     for name, options in config.sources.items():
-        spec = _spec(name, config)
+        spec = _spec(spark, name, config)
         if spec is None:
             log.warning("no source definition for %s, skipped", name)
             continue
@@ -99,8 +103,8 @@ def store_sources(
     """
     written, names, failed, schema = [], [], [], None
     for name, options in config.sources.items():
-        spec = _spec(name, config)
         try:
+            spec = _spec(spark, name, config)
             if spec is None:
                 raise LookupError("no source definition")
             part = _parse(spark, spec, options)

@@ -12,6 +12,7 @@ from ratefuse.operators.stored import stored
 from ratefuse.plans import derived, sql, tables
 from ratefuse.plans.derived import SOURCES, flat
 from ratefuse.plans.registry import query
+from ratefuse.sources.discover import discover
 from ratefuse.sources.specs import STATIC_SPECS
 
 _ROUTED = """st_routed AS (SELECT *, CASE WHEN reason IS NOT DISTINCT FROM 'missing year' THEN 'invalid'
@@ -95,6 +96,29 @@ def reject_rows_all(spark, d):
     return every
 
 
+_UNDESCRIBED = f"""{sql.RECORDS}, x AS (SELECT row_id, row_id AS id,
+  {sql.title("base || ' (Remake)'")} AS title, base || ' (Remake)' AS title_raw,
+  CAST(y AS INTEGER) AS year, d AS release_date,
+  {sql.genres("CASE WHEN row_id % 13 = 0 THEN '' ELSE p_type || '|' || p_name END", "[|,]")} AS genres,
+  coalesce(CASE WHEN row_id % 5 <> 0 THEN CAST(r AS DOUBLE) END,
+    CASE WHEN r / 10 <= 10 THEN CAST(CAST(r / 10 AS VARCHAR) AS DOUBLE) * 10 END) AS rating
+  FROM dated)"""
+
+
+@query(
+    "discovered_source",
+    f"""WITH {_UNDESCRIBED} SELECT id, title, title_raw, year, strftime(release_date, '%Y-%m-%d')
+      AS release_date, array_to_string(genres, '|') AS genres, round(rating, 6) AS rating,
+      CASE WHEN trim(title) = '' THEN '{clean.EMPTY_TITLE}'
+        WHEN year IS NULL OR year NOT BETWEEN 1870 AND 2025 THEN '{clean.INVALID_YEAR}'
+        WHEN rating IS NULL THEN '{clean.MISSING_RATING}' END AS reason FROM x""",
+)
+def discovered_source(spark, d):
+    raw = tables.undescribed(tables.records(spark, d))
+    spec = discover("x", [c for c in raw.columns if c != "row_id"])
+    return flat(clean.parse_source(raw, spec).drop("source", "row_id"))
+
+
 def _clean_query(source):
     @query(
         f"clean_{'rt' if source == 'rt_audience' else source}",

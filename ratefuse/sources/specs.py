@@ -40,8 +40,9 @@ RESCALE_FACTORS = {"imdb": 1.0, "movielens": 2.0, "metacritic": 0.1, "rt_audienc
 class SourceSpec:
     """One source.  Each field is an expression over the raw columns.
 
-    ``fields`` maps a raw DataFrame to the columns title_raw, release_date, year,
-    genres and rating.  ``title_options`` go to ``normalize_title``.
+    ``fields`` maps a raw DataFrame to the columns title_raw, release_date, year, genres and
+    rating, and id where the source has one of its own; else rows are numbered.
+    ``title_options`` go to ``normalize_title``.
     """
 
     name: str

@@ -301,3 +301,29 @@ def test_shared_ids_give_one_title(spark, tmp_path):
     paths = fuse.run(spark, fuse.RunConfig(str(tmp_path / "b"), shared, "r", 2026))
     film = {r.norm_title: r for r in spark.read.parquet(paths["wide"]).collect()}["the matrix"]
     assert (film.ID_IMDB, film.ID_MOVIELENS, film.release_year) == (1, 1, 1999)
+
+
+def test_a_source_described_by_its_names(spark, tmp_path):
+    path = str(tmp_path / "critics.csv")
+    header = ["ID_X", "film_title", "released_year", "genres_x", "critic_score", "user_score", "score_count"]
+    write_csv(path, header, [
+        ("17.0", "The Matrix", "1999", "Action|Sci-Fi", "tbd", "8.5", "3"),
+        ("18", "Solo", "2018", "", "61", "4", "3"), ("19", "Unrated", "2001", "x", "", "tbd", "3"),
+    ])
+    files = sources(tmp_path) | {"critics": {"file_path": path, "discover": True}}
+    paths = fuse.run(spark, fuse.RunConfig(str(tmp_path / "o"), files, "r", 2026, "adaptive"))
+    film = {r.title: r for r in spark.read.parquet(paths["final"]).collect()}
+    assert film["the matrix"].rating_critics == 85 and film["the matrix"].ID_CRITICS == 17
+    assert film["solo"].rating_critics == 61 and film["solo"].count_ratings == 3
+    assert film["solo"].critics_norm == pytest.approx(6.1)
+    reasons = {r.reason for r in spark.read.parquet(paths["rejects"]).collect() if r.source == "critics"}
+    assert reasons == {"missing rating"}
+
+
+def test_names_that_cannot_be_a_source():
+    from ratefuse.sources import discover
+
+    with pytest.raises(ValueError, match="title, rating"):
+        discover.discover("x", ["a", "rating_count"])
+    assert discover.rating_candidates(["score", "rating_a", "rating_b"]) == ["rating_a"]
+    assert discover.rating_candidates(["audience_rating", "tomatometer_rating"]) == ["tomatometer_rating"]
