@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ratefuse.functions.parse import count_present, half_even, number
 from ratefuse.functions.text import canonical_id, joined_key
 from ratefuse.operators.keyed import first_per_key, lookup_by_key
-from ratefuse.operators.merge import ensure_columns
+from ratefuse.operators.merge import ID_COLUMNS, ensure_columns
 
 # Id columns in key order, compared fields, cause texts.
 ENTITY_IDS = ["ID_IMDB", "ID_RT", "ID_METACRITIC", "ID_MOVIELENS"]
@@ -290,35 +290,80 @@ def pair_triples(stages: dict[str, DataFrame]) -> DataFrame:
     return folded.filter((F.col("rows_ad_wide") > 0) & (F.col("rows_st_wide") > 0))
 
 
-def matches_ids(df: DataFrame, ids: dict[str, object]) -> Column:
-    """All given ids match (``x`` and ``x.0`` alike); ids the table lacks are ignored."""
-    condition = F.lit(True)
-    for c, wanted in ids.items():
-        if c in df.columns and wanted is not None:
-            value = wanted if isinstance(wanted, Column) else F.lit(wanted)
-            condition = condition & canonical_id(F.col(c)).eqNullSafe(canonical_id(value))
-    return condition
+TARGET_PAIR = "ID_METACRITIC|ID_MOVIELENS"
 
 
-def lineage(stages: dict[tuple[str, str], DataFrame], ids: dict[str, object]) -> DataFrame:
-    """Every row of every stage that carries the given ids."""
+def _keys(rows: DataFrame, columns: list[str], pair: bool) -> Column:
+    """(found_by, key) of the ids a row has, the pair of the second and third source as one."""
+    entries = [F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("found_by"), F.col(c).alias("key")))
+               for c in columns]
+    if pair:
+        both = F.concat_ws("|", "ID_METACRITIC", "ID_MOVIELENS")
+        known = F.col("ID_METACRITIC").isNotNull() & F.col("ID_MOVIELENS").isNotNull()
+        entries.append(F.when(known, F.struct(F.lit(TARGET_PAIR).alias("found_by"), both.alias("key"))))
+    return F.inline(F.array_compact(F.array(*entries)))
+
+
+def trace(
+    films: DataFrame, sources: dict[str, DataFrame], stages: dict[tuple[str, str], DataFrame]
+) -> DataFrame:
+    """Every row of every stage that belongs to one of the films, with the id it was found by.
+
+    ``films`` has ``entity_key`` and the id columns, ``sources`` the cleaned rows of each side,
+    ``stages`` the wide and final tables by (side, stage).  A cleaned row is found by the id of
+    its source; a merged one by the third id alone (in whatever triple it ended up) and by the
+    pair of the other two.  All stages go into one index by id, and the films meet it in one
+    join, however many they are.
+    """
+    wanted = with_keys(films).select("entity_key", _keys(films, ENTITY_IDS, True))
     parts = []
+    for side, clean in sources.items():
+        column = F.element_at(
+            F.create_map(*[F.lit(x) for pair in ID_COLUMNS.items() for x in pair]), F.col("source")
+        )
+        key = canonical_id(F.col("id"))
+        parts.append(
+            clean.withColumns({"found_by": column, "key": key}).select(
+                F.lit(side).alias("side"), F.lit("source").alias("stage"), "found_by", "key", "title",
+                F.col("year").alias("release_year"),
+                *[F.when(F.col("found_by") == c, F.col("key")).alias(c) for c in ENTITY_IDS],
+            ).filter(F.col("found_by").isNotNull() & F.col("key").isNotNull())
+        )
     for (side, stage), df in stages.items():
-        full = ensure_columns(df, {c: "string" for c in ENTITY_IDS} | {"release_year": "int"})
-        hits = full.filter(matches_ids(df, ids))
+        rows = with_keys(ensure_columns(df, {"release_year": "int"}))
         parts.append(
-            hits.select(
-                F.lit(side).alias("side"), F.lit(stage).alias("stage"), "title", "release_year",
-                *[canonical_id(F.col(c)).alias(c) for c in ENTITY_IDS],
-            )
+            rows.select(
+                F.lit(side).alias("side"), F.lit(stage).alias("stage"), _keys(rows, ["ID_RT"], True),
+                "title", "release_year", *ENTITY_IDS,
+            ).select(*parts[0].columns)
         )
-    return reduce(DataFrame.unionByName, parts)
+    index = reduce(DataFrame.unionByName, parts)
+    return wanted.join(index, ["found_by", "key"]).drop("key")
+
+
+def pair_preview(pairs: DataFrame, fields: list[str], numeric: list[str], n: int) -> DataFrame:
+    """The first pairs with both sides, equality flags and numeric differences."""
+    shown = [f"{c}_{s}" for c in fields for s in ("ad", "st")] + [f"{c}_eq" for c in fields]
+    deltas = [f"{c}_delta" for c in numeric]
+    return field_deltas(pairs, numeric).orderBy("entity_key").limit(n).select("entity_key", *shown, *deltas)
+
+
+def confusion_cells(metrics: DataFrame) -> DataFrame:
+    """The four cells of one row of metrics; nothing counts films that neither side has."""
+    cells = [("tp", True, True), ("fp", True, False), ("fn", False, True), (None, False, False)]
+    rows = [
+        F.struct(F.lit(a).alias("in_result"), F.lit(b).alias("in_truth"),
+                 (F.col(c) if c else F.lit(0).cast("long")).alias("films"))
+        for c, a, b in cells
+    ]
+    return metrics.select(F.inline(F.array(*rows)))
 
 
 def stage_loss(stages: dict[str, DataFrame]) -> DataFrame:
     """For every (Metacritic id, MovieLens id) pair: the stage in which it got lost.
 
-    ``stages`` has ad_wide, st_wide, ad_final and st_final.
+    ``stages`` has ad_wide, st_wide, ad_final and st_final.  A pair that the adaptive wide table
+    lacks is looked for by the third id the static side has for it.
     """
     parts = []
     for s, df in stages.items():
@@ -327,6 +372,7 @@ def stage_loss(stages: dict[str, DataFrame]) -> DataFrame:
                 canonical_id(F.col("ID_METACRITIC")).alias("mc"),
                 canonical_id(F.col("ID_MOVIELENS")).alias("ml"),
                 F.col("ID_RT").isNotNull().alias("has_rt"), F.lit(s).alias("stage"),
+                canonical_id(F.col("ID_RT")).alias("rt"),
             ).filter(F.col("mc").isNotNull() & F.col("ml").isNotNull())
         )
     tagged = reduce(DataFrame.unionByName, parts)
@@ -337,12 +383,20 @@ def stage_loss(stages: dict[str, DataFrame]) -> DataFrame:
             F.max(here).alias(s),
             F.coalesce(F.max(F.when(here, F.col("has_rt"))), F.lit(False)).alias(f"{s}_rt"),
         ]
-    seen = tagged.groupBy("mc", "ml").agg(*aggs)
+    static_rt = F.min(F.when(F.col("stage").startswith("st_"), F.col("rt"))).alias("rt")
+    seen = tagged.groupBy("mc", "ml").agg(*aggs, static_rt)
+    elsewhere = stages["ad_wide"].select(canonical_id(F.col("ID_RT")).alias("_rt")).filter(
+        F.col("_rt").isNotNull()
+    ).distinct().withColumn("elsewhere", F.lit(True))
+    # A pair without that id matches nothing; its own ids keep such pairs from meeting in one task.
+    place = F.coalesce("rt", F.concat_ws("|", F.lit("none"), "mc", "ml"))
+    seen = seen.withColumn("_rt", place).join(elsewhere, "_rt", "left")
     ad_wide, st_wide = F.col("ad_wide"), F.col("st_wide")
     ad_final, st_final = F.col("ad_final"), F.col("st_final")
     issues = [
         F.when(~ad_wide, "not_in_adaptive_wide"),
         F.when(ad_wide & ~F.col("ad_wide_rt"), "adaptive_wide_without_rt"),
+        F.when(~ad_wide & F.col("elsewhere"), "rt_in_other_triple_of_adaptive_wide"),
         F.when(ad_final & ~F.col("ad_final_rt") & st_final, "adaptive_final_without_rt"),
         F.when(~st_wide, "not_in_static_wide"),
         F.when(~st_final & st_wide, "filtered_in_static_final"),

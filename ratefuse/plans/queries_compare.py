@@ -12,7 +12,8 @@ from ratefuse.plans import derived, sql
 from ratefuse.plans.derived import flat
 from ratefuse.plans.registry import query
 
-_FIELDS = ["title", "release_year", "rating_imdb", "rating_metacritic", "rating_movielens",
+_TEXTS = ["title", "genres", "release_date"]
+_FIELDS = [*_TEXTS, "release_year", "rating_imdb", "rating_metacritic", "rating_movielens",
            "rating_rt_audience", "count_ratings"]
 _COUNTED = " + ".join(
     f"CAST(rating_{s} IS NOT NULL AS INTEGER)"
@@ -91,8 +92,19 @@ def match_summary(spark, d):
     return compare.match_summary(ad.final, st.final)
 
 
+def _value(side, c):
+    """A field as it is compared: lists as JSON text (the films have them joined)."""
+    if c != "genres":
+        return f"{side}.{c}"
+    return (
+        f"CASE WHEN {side}.genres = '' THEN '[]'"
+        f" ELSE CAST(to_json(string_split({side}.genres, '|')) AS VARCHAR) END"
+    )
+
+
 _PAIRS = f"""{sql.BOTH}, p AS (SELECT a.entity_key, """ + ", ".join(
-    f"a.{c} AS {c}_ad, s.{c} AS {c}_st, a.{c} IS NOT DISTINCT FROM s.{c} AS {c}_eq" for c in _FIELDS
+    f"{_value('a', c)} AS {c}_ad, {_value('s', c)} AS {c}_st,"
+    f" {_value('a', c)} IS NOT DISTINCT FROM {_value('s', c)} AS {c}_eq" for c in _FIELDS
 ) + " FROM ad_films_k a JOIN st_films_k s USING (entity_key))"
 
 
@@ -144,7 +156,7 @@ def mismatch_examples(spark, d):
     return flat(found.withColumns(sides))
 
 
-_NUMERIC = [c for c in _FIELDS if c != "title"]
+_NUMERIC = [c for c in _FIELDS if c not in _TEXTS]
 
 
 @query(
@@ -177,7 +189,7 @@ def delta_histogram(spark, d):
 _ALL_EXAMPLES = " UNION ALL ".join(
     f"(SELECT '{c}' AS field, entity_key, CAST({c}_ad AS VARCHAR) AS ad_text, CAST({c}_st AS VARCHAR)"
     " AS st_text, CAST(NULL AS DOUBLE) AS ad_number, CAST(NULL AS DOUBLE) AS st_number"
-    f" FROM p WHERE NOT {c}_eq ORDER BY entity_key LIMIT 8)" if c == "title" else
+    f" FROM p WHERE NOT {c}_eq ORDER BY entity_key LIMIT 8)" if c in _TEXTS else
     f"(SELECT '{c}' AS field, entity_key, NULL AS ad_text, NULL AS st_text,"
     f" round(CAST({c}_ad AS DOUBLE), 6) AS ad_number, round(CAST({c}_st AS DOUBLE), 6) AS st_number"
     f" FROM p WHERE NOT {c}_eq ORDER BY entity_key LIMIT 8)"
@@ -190,8 +202,8 @@ def mismatch_examples_all(spark, d):
     pairs = stored(_pairs(spark, d), "pairs")
     parts = []
     for c in _FIELDS:
-        text = (lambda x: F.col(x)) if c == "title" else (lambda x: F.lit(None).cast("string"))
-        number = (lambda x: F.lit(None)) if c == "title" else F.col
+        text = (lambda x: F.col(x)) if c in _TEXTS else (lambda x: F.lit(None).cast("string"))
+        number = (lambda x: F.lit(None)) if c in _TEXTS else F.col
         parts.append(compare.mismatch_examples(pairs, c).select(
             F.lit(c).alias("field"), "entity_key",
             *[text(f"{c}_{s}").alias(f"{s}_text") for s in ("ad", "st")],
@@ -335,14 +347,16 @@ def stage_title_loss(spark, d):
 @query(
     "stage_loss",
     f"WITH {sql.BOTH}, t AS (" + " UNION ALL ".join(
-        f"SELECT k2 AS mc, k3 AS ml, k1 IS NOT NULL AS rt, '{s}' AS stage FROM {t}"
+        f"SELECT k2 AS mc, k3 AS ml, k1 IS NOT NULL AS rt, k1 AS rt_id, '{s}' AS stage FROM {t}"
         " WHERE k2 IS NOT NULL AND k3 IS NOT NULL" for s, t in _STAGES.items()
     ) + "), f AS (SELECT mc, ml, " + ", ".join(
         f"count(*) FILTER (stage = '{s}') > 0 AS {s},"
         f" count(*) FILTER (stage = '{s}' AND rt) > 0 AS {s}_rt" for s in _STAGES
-    ) + """ FROM t GROUP BY mc, ml), i AS (SELECT mc, ml, array_to_string(list_filter([
+    ) + """, min(rt_id) FILTER (stage LIKE 'st_%') IN (SELECT k1 FROM ad_wide_k WHERE k1 IS NOT NULL)
+      AS elsewhere FROM t GROUP BY mc, ml), i AS (SELECT mc, ml, array_to_string(list_filter([
       CASE WHEN NOT ad_wide THEN 'not_in_adaptive_wide' END,
       CASE WHEN ad_wide AND NOT ad_wide_rt THEN 'adaptive_wide_without_rt' END,
+      CASE WHEN NOT ad_wide AND elsewhere THEN 'rt_in_other_triple_of_adaptive_wide' END,
       CASE WHEN ad_final AND NOT ad_final_rt AND st_final THEN 'adaptive_final_without_rt' END,
       CASE WHEN NOT st_wide THEN 'not_in_static_wide' END,
       CASE WHEN NOT st_final AND st_wide THEN 'filtered_in_static_final' END],
@@ -358,22 +372,72 @@ _TOP = """top AS (SELECT * FROM st_films_k ORDER BY count_ratings DESC, release_
   LIMIT 1)"""
 
 
+def _trace_sql(wanted):
+    """Stage rows that carry an id of the wanted films (entity_key and k0 to k3)."""
+    names = {"imdb": ("ID_IMDB", "k0"), "rt_audience": ("ID_RT", "k1"),
+             "metacritic": ("ID_METACRITIC", "k2"), "movielens": ("ID_MOVIELENS", "k3")}
+    out = [
+        f"SELECT entity_key, '{side}' AS side, 'source' AS stage, '{column}' AS found_by, c.title,"
+        " c.year AS release_year, " + ", ".join(
+            f"{'CAST(c.id AS VARCHAR)' if column == other else 'CAST(NULL AS VARCHAR)'} AS {other}"
+            for other, _ in names.values()
+        ) + f" FROM {wanted} w JOIN {side}_clean c ON c.source = '{source}' AND CAST(c.id AS VARCHAR) = w.{k}"
+        for side in ("ad", "st") for source, (column, k) in names.items()
+    ]
+    for s, table in _STAGES.items():
+        for found_by, on in (("ID_RT", "t.k1 = w.k1"), ("ID_METACRITIC|ID_MOVIELENS", "t.k2 = w.k2 AND t.k3 = w.k3")):
+            out.append(
+                f"SELECT w.entity_key, '{s[:2]}', '{s[3:]}', '{found_by}', t.title, t.release_year,"
+                f" t.k0, t.k1, t.k2, t.k3 FROM {wanted} w JOIN {table} t ON {on}"
+            )
+    return " UNION ALL ".join(out)
+
+
+def _trace(films, ad, st):
+    stages = {tuple(s.split("_")): df for s, df in derived.four_stages(ad, st).items()}
+    return compare.trace(films, {"ad": ad.clean, "st": st.clean}, stages)
+
+
+@query("lineage_lookup", f"WITH {sql.BOTH}, {_TOP} {_trace_sql('top')}")
+def lineage_lookup(spark, d):
+    ad, st = derived.both_sides(spark, d)
+    return _trace(merge.ranked(st.final).limit(1), ad, st)
+
+
 @query(
-    "lineage_lookup",
-    f"WITH {sql.BOTH}, {_TOP}, t AS (" + " UNION ALL ".join(
-        f"SELECT '{s[:2]}' AS side, '{s[3:]}' AS stage, title, release_year, k0 AS \"ID_IMDB\","
-        f" k1 AS \"ID_RT\", k2 AS \"ID_METACRITIC\", k3 AS \"ID_MOVIELENS\" FROM {t}"
-        for s, t in _STAGES.items()
-    ) + ") SELECT t.* FROM t, top WHERE t.\"ID_METACRITIC\" IS NOT DISTINCT FROM top.k2"
-    " AND t.\"ID_MOVIELENS\" IS NOT DISTINCT FROM top.k3",
+    "lineage_missed",
+    f"WITH {sql.BOTH}, missed AS (SELECT * FROM st_films_k WHERE entity_key NOT IN"
+    f" (SELECT entity_key FROM ad_films_k)) {_trace_sql('missed')}",
 )
-def lineage_lookup(spark, d):
+def lineage_missed(spark, d):
     ad, st = derived.both_sides(spark, d)
-    best = merge.ranked(merge.keep_rated(st.wide)).limit(1).select(
-        F.struct("ID_METACRITIC", "ID_MOVIELENS").alias("ids")
-    ).first()
-    ids = {"ID_METACRITIC": best.ids.ID_METACRITIC, "ID_MOVIELENS": best.ids.ID_MOVIELENS}
-    stages = {
-        tuple(s.split("_")): df for s, df in derived.four_stages(ad, st).items()
-    }
-    return compare.lineage(stages, ids)
+    return _trace(compare.only_in(st.final, ad.final), ad, st)
+
+
+_PREVIEW = ["title", "genres", "release_year", "rating_metacritic"]
+
+
+@query(
+    "pair_preview",
+    f"WITH {_PAIRS} SELECT entity_key, " + ", ".join(
+        [_number(f"{c}_{s}") for c in _PREVIEW for s in ("ad", "st")] + [f"{c}_eq" for c in _PREVIEW]
+        + [f"round(CAST({c}_ad AS DOUBLE) - CAST({c}_st AS DOUBLE), 6) AS {c}_delta" for c in _PREVIEW[2:]]
+    ) + " FROM p ORDER BY entity_key LIMIT 20",
+)
+def pair_preview(spark, d):
+    shown = compare.pair_preview(_pairs(spark, d), _PREVIEW, _PREVIEW[2:], 20)
+    sides = {c: F.col(c).cast("double") for c in ("rating_metacritic_ad", "rating_metacritic_st")}
+    return flat(shown.withColumns(sides))
+
+
+@query(
+    "confusion_cells",
+    f"WITH {sql.BOTH}, a AS (SELECT DISTINCT entity_key AS k FROM ad_films_k), s AS (SELECT DISTINCT"
+    " entity_key AS k FROM st_films_k), j AS (SELECT a.k AS x, s.k AS y FROM a FULL JOIN s ON a.k = s.k)"
+    " SELECT true AS in_result, true AS in_truth, count(*) FILTER (x IS NOT NULL AND y IS NOT NULL) AS films FROM j"
+    " UNION ALL SELECT true, false, count(*) FILTER (y IS NULL) FROM j"
+    " UNION ALL SELECT false, true, count(*) FILTER (x IS NULL) FROM j UNION ALL SELECT false, false, 0",
+)
+def confusion_cells(spark, d):
+    ad, st = derived.both_sides(spark, d)
+    return compare.confusion_cells(compare.match_metrics(ad.final, st.final))

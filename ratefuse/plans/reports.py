@@ -28,15 +28,21 @@ def compare_results(tested: Result, truth: Result) -> dict[str, DataFrame]:
     a_ids = compare.source_ids(tested.clean, merge.ID_COLUMNS)
     b_ids = compare.source_ids(truth.clean, merge.ID_COLUMNS)
     fields = [
-        c for c in ("title", "release_year", "genres", *merge.rating_columns(a), "count_ratings")
+        c for c in ("title", "release_year", "release_date", "genres", *merge.rating_columns(a),
+                    "count_ratings")
         if c in a.columns and c in b.columns
     ]
-    numeric = [c for c in fields if c not in ("title", "genres")]
+    numeric = [c for c in fields if c not in ("title", "genres", "release_date")]
     pairs = compare.paired(a, b, fields)
     missed, extra = compare.only_in(b, a), compare.only_in(a, b)
     stages = {"ad_wide": a_wide, "st_wide": b_wide, "ad_final": a, "st_final": b}
+    sides = {tuple(s.split("_")): df for s, df in stages.items()}
+    cleaned = {"ad": tested.clean, "st": truth.clean}
     return {
         "summary": compare.match_summary(a, b),
+        "confusion": compare.confusion_cells(compare.match_metrics(a, b)),
+        "preview": compare.pair_preview(pairs, fields, numeric, 20),
+        "lineage": compare.trace(missed, cleaned, sides),
         "false_negatives": compare.root_cause(
             missed, a_wide, a_ids, "adaptive", "imdb_conflict_static_vs_adaptive"
         ),

@@ -171,7 +171,7 @@ def test_reports_of_two_runs(spark, tmp_path):
     assert (overall.tp, overall.fp, overall.fn) == (1, 1, 0)
     assert {k: t.count() for k, t in tables.items()} == {
         "summary": 5, "false_negatives": 0, "false_positives": 1, "id_conflicts": 0, "pairs": 1,
-        "field_mismatch": 8, "triples": 2, "stage_loss": 1,
+        "field_mismatch": 9, "triples": 2, "stage_loss": 1, "confusion": 4, "preview": 1, "lineage": 0,
     }
     assert tables["false_positives"].first().root_cause == (
         "static_filtered_or_postmerge_change(count_ratings=1);imdb_conflict_adaptive_vs_static"
