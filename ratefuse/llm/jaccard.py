@@ -362,14 +362,17 @@ def _list_cell(ratio: Ratio):
 def _long_lists(rest: DataFrame, summed: DataFrame, ratio: Ratio) -> DataFrame:
     """Pairs that long lists leave possible; a list is cut into blocks that meet each other."""
     other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    counts = summed.select(F.col("doc_id").alias("id"), "counts").dropDuplicates(["id"])
+    # An id may have several sets; each entry of a list meets the counts of its own.
+    counts = summed.select(F.col("doc_id").alias("id"), "n", "h1", "counts").dropDuplicates(
+        ["id", "n", "h1"]
+    )
     cells = (
         rest.withColumn("chunks", F.ceil(F.col("entries") / BLOCK_ENTRIES).cast("int"))
         .withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
         .withColumn("other", other)
         .withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other"))
         .withColumn("host", F.coalesce("host", F.lit(-1)))
-        .join(counts, "id")
+        .join(counts, ["id", "n", "h1"])
     )
     return cells.groupBy("s", "i", "j").applyInArrow(_list_cell(ratio), "a long, b long")
 
@@ -410,12 +413,12 @@ def links(
     )
     prefixes = stored(
         prefixes.join(reps, ["doc_id", "n", "h1"], "left_semi").select(
-            F.col("doc_id").alias("id"), "n", "prefix"
+            F.col("doc_id").alias("id"), "n", "h1", "prefix"
         ),
         "prefixes",
     )
     index = prefixes.select(
-        "id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("k", "s")
+        "id", F.col("n").cast("int").alias("n"), "h1", F.posexplode("prefix").alias("k", "s")
     )
     first = index.groupBy("s").agg(F.min("id").alias("lead"))
     lists = stored(index.join(first, "s").filter("id <> lead"), "lists")
@@ -428,8 +431,8 @@ def links_of_lists(
 ) -> DataFrame:
     """Links (a, b) that connect the components of all sets that share an index list.
 
-    The lists are rows (s, id, n, k, lead) without the lead's own entry: the set ``id`` of size
-    n has the list's key at its position k; lead is the list's smallest id.
+    The lists are rows (s, id, n, h1, k, lead) without the lead's own entry: the set ``id`` of
+    size n and hash h1 has the list's key at its position k; lead is the list's smallest id.
     """
     near = (ratio[0] * 8, ratio[1] * 10)  # similar enough to share a group
     star = lists.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
@@ -450,9 +453,9 @@ def links_of_lists(
     found.append(stored(_group_links(docs, members, width, ratio), "group-links"))
 
     rest = (
-        lists.select("s", "id", "n", "k")
+        lists.select("s", "id", "n", "h1", "k")
         .join(members.select("id", "host"), "id", "left").join(known, "id", "left")
-        .select("s", "id", "n", "k", "host", own)
+        .select("s", "id", "n", "h1", "k", "host", own)
     )
     mixed_lists = rest.groupBy("s").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"),
@@ -494,7 +497,11 @@ def join(docs: DataFrame, width: int = 3, ratio: Ratio = (9, 10)) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, width: int = 5, ratio: Ratio = (4, 5)) -> DataFrame:
-    """One document of each component, the one with the smallest id; repeated rows go, too."""
+    """One document of each component, the one with the smallest id; repeated rows go, too.
+
+    Different texts of one id are one document and stay together.  Of rows that only differ in
+    other columns the first one in the order of their JSON text stays.
+    """
     joined = stored(join(docs, width, ratio).select("doc_id", "component_id"), "joined")
     removed = joined.filter("doc_id <> component_id").select("doc_id")
     repeated = stored(
@@ -503,5 +510,9 @@ def keep_first(docs: DataFrame, width: int = 5, ratio: Ratio = (4, 5)) -> DataFr
         "repeated",
     )
     kept = docs.join(_few(removed.unionByName(repeated)), "doc_id", "left_anti")
-    once = docs.join(_few(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = (
+        docs.join(_few(repeated), "doc_id", "left_semi").groupBy("doc_id", "text")
+        .agg(F.min_by(whole, F.to_json(whole)).alias("_first")).select("_first.*")
+    )
     return kept.select(*docs.columns).unionByName(once.select(*docs.columns))

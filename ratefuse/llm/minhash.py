@@ -190,13 +190,13 @@ def near_copies(
         docs.join(sets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
         .select("doc_id", F.posexplode(cut(F.coalesce("text", F.lit("")))).alias("band", "key"))
     )
-    reps = sets.filter("n > 0 AND doc_id = rep").select(F.col("doc_id").alias("id"), "n").distinct()
+    reps = sets.filter("n > 0 AND doc_id = rep").select(F.col("doc_id").alias("id"), "n", "h1").distinct()
     buckets = banded.select(  # a bucket is an index list whose key has no position
         F.xxhash64("band", "key").alias("s"), F.col("doc_id").cast("long").alias("id")
     ).distinct()
     lead = buckets.groupBy("s").agg(F.min("id").alias("lead"))
     lists = buckets.join(lead, "s").filter("id <> lead").join(reps, "id").select(
-        "s", "id", F.col("n").cast("int").alias("n"), F.lit(0).alias("k"), "lead"
+        "s", "id", F.col("n").cast("int").alias("n"), "h1", F.lit(0).alias("k"), "lead"
     )
     links = jaccard.links_of_lists(docs, stored(lists, "lists"), summed, WORDS, similarity)
     return jaccard.with_components(sets, links)

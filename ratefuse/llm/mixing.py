@@ -4,10 +4,11 @@ A document's size is its number of words. Each source gets a target; whole passe
 source are taken first. For the rest, documents are counted by exact size: each size gives its
 share, sizes from the largest down fill most of what is missing, and a bounded-knapsack
 dynamic program over the remaining counts hits the budget as exactly as the sizes allow. Which
-documents of a size are taken once more is drawn by a seeded hash of the id.
+documents of a size are taken once more is drawn by a seeded hash of id and text.
 
 Defined results: a null text has size 0 and is never taken. The null source is the last one.
-Rows with the same id, source and size are taken alike.
+Rows of the same id and text share a draw; where only some of them fit the budget, as many of
+them as fit are taken once more. A null id is drawn like any other.
 """
 
 from __future__ import annotations
@@ -108,7 +109,12 @@ def _key(source: Column) -> Column:
 
 
 def _drawn(seed: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)
+    own = F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.coalesce("text", F.lit("")), F.lit(seed))
+    return F.pmod(own, F.lit(1 << 52)) / float(1 << 52)
+
+
+def _own_id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
 
 
 def plan(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
@@ -117,6 +123,7 @@ def plan(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
         docs.select(
             "doc_id", "source", _key(F.col("source")).alias("key"),
             word_count(F.col("text")).alias("size"), _drawn(seed).alias("draw"),
+            _own_id().alias("own"),
         ),
         "mix-sizes",
     )
@@ -131,39 +138,67 @@ def plan(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
         _plan, "key string, size long, n long, passes int, extra long"
     )
     planned = stored(planned, "mix-plan")
-    parts = sized.select("doc_id", "key", "size", "draw").join(
+    # Rows of one draw are counted first, so that a window holds a draw once.
+    parts = sized.groupBy("key", "size", "draw", "own").agg(F.count("*").alias("ties")).join(
         planned.filter("extra > 0 AND extra < n"), ["key", "size"]
     ).withColumn("part", F.floor(F.col("draw") * F.ceil(F.col("n") / RANKED_ROWS)))
-    parts = stored(parts.select("doc_id", "key", "size", "draw", "part", "extra"), "mix-parts")
+    parts = stored(
+        parts.select("own", "key", "size", "draw", "ties", "part", "extra"), "mix-parts"
+    )
     group = ["key", "size", "part"]
-    before = parts.groupBy(*group).agg(F.count("*").alias("rows")).withColumn(
+    before = parts.groupBy(*group).agg(F.sum("ties").alias("rows")).withColumn(
         "upto", F.sum("rows").over(Window.partitionBy("key", "size").orderBy("part"))
     ).select(*group, (F.col("upto") - F.col("rows")).alias("before"))
-    ranked = parts.withColumn(
-        "rank", F.row_number().over(Window.partitionBy(*group).orderBy("draw", "doc_id"))
-    )
-    last = ranked.join(before, group).filter("before + rank = extra").select(
-        "key", "size", F.col("draw").alias("last_draw"), F.col("doc_id").alias("last_id")
+    in_order = Window.partitionBy(*group).orderBy("draw", "own")
+    ranked = parts.withColumn("rank", F.sum("ties").over(
+        in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ))
+    fits = F.col("extra") - F.col("before") - (F.col("rank") - F.col("ties"))
+    last = ranked.join(before, group).withColumn("fits", fits).filter(
+        "fits > 0 AND fits <= ties"
+    ).select(
+        "key", "size", F.col("draw").alias("last_draw"), F.col("own").alias("last_own"), "fits", "ties"
     )
     rules = planned.join(last, ["key", "size"], "left").join(F.broadcast(sources), "key")
     return sized, stored(rules, "mix-rules")
 
 
-def _times() -> Column:
-    """How often a document is taken: whole passes, and once more up to the last one drawn."""
-    ahead = (F.col("draw") < F.col("last_draw")) | (
-        (F.col("draw") == F.col("last_draw")) & (F.col("doc_id") <= F.col("last_id"))
+def _with_times(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows (key, size, draw, own, …) with the rules of their size and how often they are taken:
+    whole passes, and once more up to the last draw that fits."""
+    joined = rows.join(rules, ["key", "size"])
+    last = (F.col("draw") == F.col("last_draw")) & (F.col("own") == F.col("last_own"))
+    split = F.coalesce(last & (F.col("fits") < F.col("ties")), F.lit(False))
+    ahead = F.struct("draw", "own") < F.struct("last_draw", "last_own")
+    once = F.when(F.col("extra") >= F.col("n"), True).otherwise(
+        F.coalesce(F.col("last_draw").isNotNull() & (ahead | last), F.lit(False))
     )
-    once = F.when(F.col("extra") >= F.col("n"), True).otherwise(F.coalesce(ahead, F.lit(False)))
-    return F.when(F.col("size") == 0, 0).otherwise(F.col("passes") + once.cast("int"))
+
+    def taken(more: Column) -> Column:
+        times = F.col("passes") + more.cast("int")
+        return F.when(F.col("size") == 0, 0).otherwise(times).cast("int").alias("times")
+
+    if rules.filter("fits < ties").isEmpty():
+        return joined.select("*", taken(once))
+    # Equal rows of which only some fit: numbered, part by part of the stored table.
+    some = stored(joined.filter(split).withColumn("_row", F.monotonically_increasing_id()), "mix-ties")
+    some = some.withColumn("_part", F.shiftright("_row", 33))
+    group = ["key", "size", "_part"]
+    before = some.groupBy(*group).agg(F.count("*").alias("_rows")).withColumn(
+        "_upto", F.sum("_rows").over(Window.partitionBy("key", "size").orderBy("_part"))
+    ).select(*group, (F.col("_upto") - F.col("_rows")).alias("_before"))
+    number = F.row_number().over(Window.partitionBy(*group).orderBy("_row")) + F.col("_before")
+    numbered = some.join(before, group).withColumn("_number", number)
+    chosen = numbered.select(*joined.columns, taken(F.col("_number") <= F.col("fits")))
+    return joined.filter(~split).select("*", taken(once)).unionByName(chosen)
 
 
 def mix(docs: DataFrame, seed: int = 17) -> DataFrame:
     """One row a document: doc_id, source, size, source_size, target, taken."""
     sized, rules = plan(docs, seed)
-    return sized.join(rules, ["key", "size"]).select(
+    return _with_times(sized, rules).select(
         "doc_id", "source", "size", "source_size", "target",
-        (_times() * F.col("size")).cast("long").alias("taken"),
+        (F.col("times") * F.col("size")).cast("long").alias("taken"),
     )
 
 
@@ -172,10 +207,10 @@ def take(docs: DataFrame, seed: int = 17) -> DataFrame:
     _, rules = plan(docs, seed)
     kept = [F.col(f"d.`{c}`").alias(c) for c in docs.columns]
     own = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.col("doc_id"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"),
         _key(F.col("source")).alias("key"), word_count(F.col("text")).alias("size"),
-        _drawn(seed).alias("draw"),
+        _drawn(seed).alias("draw"), _own_id().alias("own"),
     )
-    times = own.join(rules, ["key", "size"]).withColumn("times", _times().cast("int"))
     repeat = F.explode(F.sequence(F.lit(1), F.col("times")))
-    return times.filter("times > 0").select("d", repeat.alias("again")).select(*kept)
+    times = _with_times(own, rules).filter("times > 0")
+    return times.select("d", repeat.alias("again")).select(*kept)

@@ -274,3 +274,73 @@ def test_a_line_is_counted_alike_in_pieces(monkeypatch):
     monkeypatch.setattr(line_quality, "BLOCK_LINES", 7)
     parts = [x for *_, x in line_quality.feature_blocks(data, ends, lines)]
     assert np.allclose(np.concatenate(whole), np.concatenate(parts))
+
+
+# ------------------------------------------------------------------------ repeated ids
+
+
+@pytest.mark.parametrize("long_list", [4, 64])
+@pytest.mark.parametrize("turned", [False, True])
+def test_join_with_repeated_ids(spark, monkeypatch, long_list, turned):
+    """Each text of an id keeps the links it has, in whatever order the rows come."""
+    from ratefuse.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "LONG_LIST", long_list)
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(120)]
+
+    def near(changes):
+        words = list(base)
+        for _ in range(changes):
+            words[rng.randrange(30, 120)] = f"x{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    start = " ".join(base[:40])
+    rows = [(100, near(0))] + [(k, start + " " + " ".join(f"y{k}_{j}" for j in range(80))) for k in range(200, 230)]
+    twice = [(500, start + " " + " ".join(f"z{j}" for j in range(80))), (500, near(1))]
+    rows += twice[::-1] if turned else twice
+    got = jaccard.join(docs_of(spark, rows), 3, (9, 10)).collect()
+    assert {r.component_id for r in got if r.doc_id == 500} == {100}
+    assert {r.component_id for r in got if r.doc_id in range(200, 230)} == set(range(200, 230))
+
+
+def test_different_texts_of_an_id_stay(spark):
+    from ratefuse.llm import jaccard
+
+    rows = [(1, "one two three four five six"), (1, "entirely other words stand in here"), (2, "x"),
+            (1, "one two three four five six")]
+    kept = jaccard.keep_first(docs_of(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(set(rows))
+
+
+def test_mix_of_repeated_ids_meets_its_target(spark):
+    from ratefuse.llm import mixing
+
+    rows = [(7, "twenty words " * 10) for _ in range(400)] + [(None, "a b")] * 3 + [(9, None)]
+    docs = docs_of(spark, rows).repartition(6)
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    target = got[0].target
+    assert abs(sum(r.taken for r in got) - target) <= 2
+    assert {r.taken // r.size for r in got if r.size} <= {1, 2}
+    again = sorted((r.doc_id or 0, r.taken) for r in mixing.mix(docs.repartition(3)).collect())
+    assert again == sorted((r.doc_id or 0, r.taken) for r in got)
+    out = mixing.take(docs)
+    assert out.columns == docs.columns
+    assert sum(len(r.text.split()) for r in out.collect()) == sum(r.taken for r in got)
+
+
+def test_mix_words_by_brute_force(spark):
+    from ratefuse.llm import mixing
+
+    rng = random.Random(3)
+    rows = [(k, " ".join(["w"] * rng.choice([1, 3, 50, 400])), "en", rng.choice("abc"), 1, 1) for k in range(600)]
+    got = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r[3]] += len(r[1].split())
+    goal = mixing.targets(dict(sizes))
+    for s in "abc":
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - goal[s]) <= 1
+        assert all(r.target == goal[s] and r.source_size == sizes[s] and r.taken <= 2 * r.size for r in own)
