@@ -22,7 +22,20 @@ WORDS = r"[^\x20\x09-\x0D]+"
 STEP_BYTES = 1 << 20
 
 
+#: Bytes of a batch that Spark hands to a Python worker, at most (about).
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let no batch of this session be larger than ``BATCH_BYTES``: what a task holds besides
+    its texts then does not grow with their length."""
+    if int(spark.conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, BATCH_BYTES)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
