@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from ratefuse.llm import jaccard, mixing, packing, secret_scan, toxicity  # noqa: E402
-from ratefuse.llm.common import read  # noqa: E402
+from ratefuse.llm.common import bounded_batches, read  # noqa: E402
 from ratefuse.operators.stored import stored  # noqa: E402
 
 
@@ -25,21 +25,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first of each group of near copies (five words, similarity 0.8 or more)."""
+    bounded_batches(spark)
     return jaccard.keep_first(docs, width=5, ratio=(4, 5))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with their secrets replaced by a mark."""
+    bounded_batches(spark)
     return secret_scan.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    bounded_batches(spark)
     return mixing.take(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 1024 tokens."""
+    bounded_batches(spark)
     return packing.pack(docs)
 
 
