@@ -2,9 +2,11 @@
 
 The page becomes a tree. A node's density is its characters per tag, adjusted by what share
 of characters and tags belongs to links. The densities of the children are summed, and the
-subtree with the largest sum is the article, or the article or main element around it. Without
-such an element, other subtrees at least as dense as the thinnest node between that one and
-the body belong to it, too. Menus, headers, footers, sidebars, notices, adverts, forms,
+subtree with the largest sum is the article; other subtrees at least as dense as the thinnest
+node between that one and the body belong to it, too. Short blocks have low densities, so what
+stands beside the chosen ones is undecided: if all of them lie in one article or main element,
+its other children are taken unless they are mostly links. An article without a heading of its
+own takes the headings right before it. Menus, headers, footers, sidebars, notices, adverts, forms,
 comments, scripts and styles are taken out before and count nowhere; an element that is one
 of these only by a word of its class, id or role stays if it holds the article.
 
@@ -212,11 +214,9 @@ def _article(root: Node) -> list[Node | str]:
     best = max(nodes, key=lambda n: (n.sum, n.chars))
     path = _up(best)
     least = min((n.density for n in path if n.chars), default=0.0)
-    whole = [n for n in path if n.tag in ("article", "main")]
-    if whole:
-        return whole[:1]
     if best.sum == 0.0 and best.parent is not None:
-        return [best.parent]
+        best = best.parent
+        path = path[1:]
     chosen, on_path = set(), set(path)
     below = {best}
     for node in nodes:  # parents first
@@ -224,9 +224,28 @@ def _article(root: Node) -> list[Node | str]:
             below.add(node)
         elif node.chars and node.density >= least and node not in on_path:
             chosen.add(node)
-    if not chosen:
+    around = next((n for n in path if n.tag in ("article", "main")), None)
+    if around is not None and around is not best and all(around in _up(n) for n in chosen):
+        held = {path[path.index(around) - 1]}.union(*(_up(n) for n in chosen))
+        return [
+            p for p in around.parts
+            if isinstance(p, str) or p in held or 2 * p.link_chars <= p.chars
+        ]
+    return _joined(path, chosen) if chosen else _titled(best)
+
+
+def _titled(best: Node) -> list[Node | str]:
+    """The node, behind the headings right before it if it has none of its own."""
+    if best.parent is None or any(_HEADING.fullmatch(n.tag) for n in _walk(best)):
         return [best]
-    return _joined(path, chosen)
+    parts = [p for p in best.parent.parts if isinstance(p, str) or not p.dropped]
+    first = last = next(k for k, p in enumerate(parts) if p is best)
+    while first and (
+        not parts[first - 1].strip() if isinstance(parts[first - 1], str)
+        else _HEADING.fullmatch(parts[first - 1].tag)
+    ):
+        first -= 1
+    return parts[first : last + 1]
 
 
 def _joined(path: list[Node], chosen: set[Node]) -> list[Node | str]:
