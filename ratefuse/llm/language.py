@@ -23,6 +23,8 @@ from pyspark.sql.functions import arrow_udf
 from ratefuse.llm.common import Shared, held_out, letters_in, steps, utf8
 from ratefuse.operators.stored import stored
 
+# Texts that each language gives at least, and languages up to which the shares are broadcast.
+FLOOR, FEW_LANGS = 20.0, 100_000
 RESULT = "struct<lang_pred: string, score: double>"
 
 
@@ -155,24 +157,27 @@ def _counts(order: int):
 
 
 def learn(
-    docs: DataFrame, order: int = 4, per_lang: int = 500, least: int = 2, max_langs: int = 200
+    docs: DataFrame, order: int = 4, per_lang: int = 500, least: int = 2, sample: int = 100_000
 ) -> Model:
-    """Trees from about ``per_lang`` whole texts of each of the ``max_langs`` commonest languages.
+    """Trees from about ``per_lang`` whole texts of every language, ``sample`` texts in all.
 
-    The texts are chosen by a hash of the id among the rows that may be learnt from. Contexts
-    with symbol seen fewer than ``least`` times are left out of the trees.
+    With so many languages that both bounds cannot hold, each gives fewer texts, but about
+    ``FLOOR`` if it has as many; none is left out. The texts are chosen by a hash of the id among the rows that may be learnt from.
+    Contexts with symbol seen fewer than ``least`` times are left out of the trees.
     """
     usable = docs.filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
     ).select("doc_id", "lang", "text")
-    ids = usable.select("lang").groupBy("lang").count()
-    share = ids.orderBy(F.desc("count"), "lang").limit(max_langs).select(
-        "lang", F.least(F.lit(1.0), per_lang / F.col("count")).alias("share")
-    )
+    ids = stored(usable.select("lang").groupBy("lang").count(), "languages")
+    langs = ids.count()
+    each = max(FLOOR, min(per_lang, sample / max(1, langs)))
+    share = ids.select("lang", F.least(F.lit(1.0), each / F.col("count")).alias("share"))
+    if langs <= FEW_LANGS:
+        share = F.broadcast(share)
     spread = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / float(1 << 30)
-    sample = usable.join(F.broadcast(share), "lang").filter(spread < F.col("share"))
+    chosen = usable.join(share, "lang").filter(spread < F.col("share"))
     counts = (
-        sample.mapInArrow(_counts(order), "lang string, gram long, n long")
+        chosen.mapInArrow(_counts(order), "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     )
     table = stored(counts, "language-counts").toArrow()

@@ -95,6 +95,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_edits(read(spark, sf_dir, "documents"))
 
 
+@query("minhash_near_copies")
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(read(spark, sf_dir, "documents"))
+
+
 @query("op11_runs")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(read(spark, sf_dir, "documents"), edit=True)

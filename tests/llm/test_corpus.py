@@ -162,6 +162,18 @@ def test_language_on_held_out_rows(spark):
     assert right.first()[0] > 0.95
 
 
+def test_every_language_is_learnt(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [
+        (40 * k + i, f"{letters[k % 26]}{letters[k // 26]} " * 9, f"l{k}") for k in range(230) for i in range(40)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs, order=2, sample=100)  # fewer than there are languages
+    assert sorted(model.langs) == sorted({lang for _, _, lang in rows})
+    found = language.detect(docs, model).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.filter("lang_pred = lang").count() > 0.9 * len(rows)
+
+
 def test_language_undetermined(spark):
     docs = docs_of(spark, [None, "", "12 34", "words here"])
     got = language.detect(docs, language.learn(docs)).orderBy("doc_id").collect()
@@ -233,6 +245,20 @@ def test_hint_word_of_a_wrapper_keeps_the_article(wrapper):
     assert html_text.main_text(page) == text
 
 
+def test_density_decides_within_an_element():
+    body = "".join(f"<p>{_LINE}</p>" for _ in range(3))
+    text = " ".join([_LINE] * 3)
+    links = "<ul>" + "<li><a href=x>more of this kind</a></li>" * 6 + "</ul>"
+    # The element is not taken as a whole: what in it is mostly links goes, short blocks stay.
+    page = f"<body><main><p>Lead.</p><div>{body}</div>{links}<p>End.</p></main></body>"
+    assert html_text.main_text(page) == f"Lead. {text} End."
+    # An element of a few words does not win over a denser subtree outside it.
+    page = f"<body><article><p>Tease.</p></article><div>{body}</div></body>"
+    assert text in html_text.main_text(page)
+    # The heading of a main in front of its article.
+    assert html_text.main_text(f"<body><main><h1>Head</h1><article>{body}</article></main></body>") == "Head " + text
+
+
 def test_article_in_sibling_sections():
     section = lambda k: f"<div>{''.join(f'<p>{k}{i} {_LINE}</p>' for i in range(3))}</div>"
     text = lambda k: " ".join(f"{k}{i} {_LINE}" for i in range(3))
@@ -363,6 +389,19 @@ def test_fingerprints(spark, odd):
     assert minhash.fingerprint_edits(odd.limit(0)).count() == 0
 
 
+def test_bands_find_the_planted_pairs(spark):
+    """Recall of the bands alone: pairs at or above the similarity that land in one component."""
+    texts = near_texts(11)
+    got = [r.component_id for r in minhash.near_copies(docs_of(spark, texts)).orderBy("doc_id").collect()]
+    shingled = [set(s) for s in sets(texts, 5)]
+    linked = [
+        (i, j) for i, a in enumerate(shingled) for j, b in enumerate(shingled[:i]) if a and b
+        and 5 * len(a & b) >= 4 * len(a | b)
+    ]
+    assert len(linked) > 20
+    assert np.mean([got[i] == got[j] for i, j in linked]) > 0.95
+
+
 def test_fingerprints_follow_jaccard():
     a = " ".join(f"w{k}" for k in range(400))
     b = " ".join(f"w{k}" for k in range(200)) + " " + " ".join(f"v{k}" for k in range(200))
