@@ -36,22 +36,24 @@ def with_keys(df: DataFrame, canonical: bool = True) -> DataFrame:
     )
 
 
-def _with_match(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left rows with a flag: does the right table have the key?  Copies of a key on the
-    left are spread by their whole row."""
-    have = right.select(key).distinct().withColumn("_matched", F.lit(True))
-    plain = [c for c, t in left.dtypes if not t.startswith("map")]
-    return lookup_by_key(left, have, [key], plain)
+def _by_key(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Left rows by whether the right table has their key.
+
+    Keys are nearly unique.  Both sides are plain exchanges below the join, so adaptive
+    execution splits a key that many left rows share.
+    """
+    keys = right.select(F.col(key).alias("_key"))
+    return left.join(keys, F.col(key) == F.col("_key"), how)
 
 
 def only_in(left: DataFrame, right: DataFrame, key: str = "entity_key") -> DataFrame:
     """Rows of the left table whose key the right one does not have."""
-    return _with_match(left, right, key).filter(F.col("_matched").isNull()).drop("_matched")
+    return _by_key(left, right, key, "left_anti")
 
 
 def in_both(left: DataFrame, right: DataFrame, key: str = "entity_key") -> DataFrame:
     """Rows of the left table whose key the right one has, too."""
-    return _with_match(left, right, key).filter(F.col("_matched")).drop("_matched")
+    return _by_key(left, right, key, "left_semi")
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -146,6 +148,7 @@ def root_cause(missed: DataFrame, other_wide: DataFrame, other_ids: DataFrame,
                other: str, conflict: str) -> DataFrame:
     """Why each missed film is missing on the other side.
 
+    ``missed`` is read several times; pass a stored table.
     Its triple is in the other unfiltered table: filtered there (with the number of
     ratings it had, and a remark if the first id differs).  Else the sources that lack
     its ids; else the merge failed.

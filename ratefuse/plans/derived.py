@@ -50,28 +50,39 @@ def scored(spark: SparkSession, sf_dir: str, dialect: Dialect = STATIC, **option
     return score.keep_scored(score.score(source(spark, sf_dir, dialect), dialect, **options))
 
 
+def final(spark: SparkSession, sf_dir: str, dialect: Dialect) -> DataFrame:
+    """Films with keys, for a step that goes over them once."""
+    return compare.with_keys(films(spark, sf_dir, dialect))
+
+
+def finals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Films of the adaptive and the static side; both are worked out in one job."""
+    return final(spark, sf_dir, ADAPTIVE), final(spark, sf_dir, STATIC)
+
+
 @dataclass(frozen=True)
 class Side:
-    """The stages of one dialect, written once, with keys."""
+    """The stages of one dialect with keys, the wide table stored."""
 
     clean: DataFrame
     wide: DataFrame
     final: DataFrame
 
 
-def side(spark: SparkSession, sf_dir: str, dialect: Dialect) -> Side:
-    clean_rows = stored(
-        cleaned(spark, sf_dir, dialect, clean.MERGED), f"clean_{dialect.name}"
-    )
+def side(spark: SparkSession, sf_dir: str, dialect: Dialect, keep_clean: bool = True) -> Side:
+    """``keep_clean``: the cleaned rows are read again, too, and stored before the wide table."""
+    clean_rows = cleaned(spark, sf_dir, dialect, clean.MERGED)
+    if keep_clean:
+        clean_rows = stored(clean_rows, f"clean_{dialect.name}")
     whole = merge.merge_long(merge.with_group_title(clean_rows, dialect), SOURCES, dialect)
     whole = stored(whole, f"wide_{dialect.name}")
-    final = merge.keep_rated(whole, dialect)
-    return Side(clean_rows, compare.with_keys(whole), compare.with_keys(final))
+    rated = merge.keep_rated(whole, dialect)
+    return Side(clean_rows, compare.with_keys(whole), compare.with_keys(rated))
 
 
-def both_sides(spark: SparkSession, sf_dir: str) -> tuple[Side, Side]:
+def both_sides(spark: SparkSession, sf_dir: str, keep_clean: bool = True) -> tuple[Side, Side]:
     """Adaptive and static."""
-    return side(spark, sf_dir, ADAPTIVE), side(spark, sf_dir, STATIC)
+    return side(spark, sf_dir, ADAPTIVE, keep_clean), side(spark, sf_dir, STATIC, keep_clean)
 
 
 def four_stages(ad: Side, st: Side) -> dict[str, DataFrame]:

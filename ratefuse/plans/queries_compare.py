@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ratefuse.operators import analyze, compare, merge
+from ratefuse.operators.merge import ADAPTIVE, STATIC
 from ratefuse.operators.stored import stored
 from ratefuse.plans import derived, sql
 from ratefuse.plans.derived import flat
@@ -33,20 +34,20 @@ _SHOWN = ["title", "release_year", "entity_key", "triple_key"]
 
 @query("true_positives", _hits("ad", "IN (SELECT entity_key FROM st_films_k)"))
 def true_positives(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return compare.in_both(ad.final.select(_SHOWN), st.final)
+    ad, st = derived.finals(spark, d)
+    return compare.in_both(ad.select(_SHOWN), st)
 
 
 @query("false_positives", _hits("ad", "NOT IN (SELECT entity_key FROM st_films_k)"))
 def false_positives(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return compare.only_in(ad.final.select(_SHOWN), st.final)
+    ad, st = derived.finals(spark, d)
+    return compare.only_in(ad.select(_SHOWN), st)
 
 
 @query("false_negatives", _hits("st", "NOT IN (SELECT entity_key FROM ad_films_k)"))
 def false_negatives(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return compare.only_in(st.final.select(_SHOWN), ad.final)
+    ad, st = derived.finals(spark, d)
+    return compare.only_in(st.select(_SHOWN), ad)
 
 
 _METRICS = """SELECT scope, tp, fp, fn,
@@ -74,22 +75,20 @@ _BY_SOURCE = " UNION ALL ".join(_sets(c, f"k{i}") for i, c in enumerate(compare.
 
 @query("match_metrics", f"WITH {sql.BOTH}, s AS ({_OVERALL}) {_METRICS} FROM s")
 def match_metrics(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return compare.match_metrics(ad.final, st.final)
+    return compare.match_metrics(*derived.finals(spark, d))
 
 
 @query("match_metrics_by_source", f"WITH {sql.BOTH}, s AS ({_BY_SOURCE}) {_METRICS} FROM s")
 def match_metrics_by_source(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return compare.match_metrics_by_source(ad.final, st.final)
+    return compare.match_metrics_by_source(*derived.finals(spark, d))
 
 
 @query(
     "match_summary", f"WITH {sql.BOTH}, s AS ({_OVERALL} UNION ALL {_BY_SOURCE}) {_METRICS} FROM s"
 )
 def match_summary(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return compare.match_summary(ad.final, st.final)
+    keyed = [df.select("entity_key", *compare.ENTITY_IDS) for df in derived.finals(spark, d)]
+    return compare.match_summary(*[stored(df, "keys") for df in keyed])
 
 
 def _value(side, c):
@@ -109,8 +108,7 @@ _PAIRS = f"""{sql.BOTH}, p AS (SELECT a.entity_key, """ + ", ".join(
 
 
 def _pairs(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return compare.paired(ad.final, st.final, _FIELDS)
+    return compare.paired(*derived.finals(spark, d), _FIELDS)
 
 
 def _number(c):
@@ -253,21 +251,20 @@ _FN = _causes("st", "ad", "adaptive", "imdb_conflict_static_vs_adaptive")
 _FP = _causes("ad", "st", "static", "imdb_conflict_adaptive_vs_static")
 
 
-def _missed(left, right, other, conflict):
+def _missed(spark, d, mine, theirs, other, conflict):
+    """Causes of the films of one side that the other one lacks; only the other needs all stages."""
+    right = derived.side(spark, d, theirs)
+    missed = stored(compare.only_in(derived.final(spark, d, mine), right.final), "missed")
     ids = compare.source_ids(right.clean, merge.ID_COLUMNS)
-    return compare.root_cause(
-        compare.only_in(left.final, right.final), right.wide, ids, other, conflict
-    )
+    return compare.root_cause(missed, right.wide, ids, other, conflict)
 
 
 def _fn_causes(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return _missed(st, ad, "adaptive", "imdb_conflict_static_vs_adaptive")
+    return _missed(spark, d, STATIC, ADAPTIVE, "adaptive", "imdb_conflict_static_vs_adaptive")
 
 
 def _fp_causes(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return _missed(ad, st, "static", "imdb_conflict_adaptive_vs_static")
+    return _missed(spark, d, ADAPTIVE, STATIC, "static", "imdb_conflict_adaptive_vs_static")
 
 
 _CAUSE = ["title", "entity_key", "triple_key", "root_cause"]
@@ -308,8 +305,9 @@ def cause_examples(spark, d):
     " WHERE k0 <> other_imdb",
 )
 def id_conflicts(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return compare.id_conflicts(compare.only_in(st.final, ad.final), ad.wide)
+    ad = derived.side(spark, d, ADAPTIVE, keep_clean=False)
+    missed = compare.only_in(derived.final(spark, d, STATIC), ad.final)
+    return compare.id_conflicts(stored(missed, "missed"), ad.wide)
 
 
 _STAGES = {"ad_wide": "ad_wide_k", "st_wide": "st_wide_k", "ad_final": "ad_films_k",
@@ -327,7 +325,7 @@ _TAGGED = " UNION ALL ".join(
     ) + " FROM t GROUP BY triple_key HAVING rows_ad_wide > 0 AND rows_st_wide > 0",
 )
 def triple_pairing(spark, d):
-    return compare.pair_triples(derived.four_stages(*derived.both_sides(spark, d)))
+    return compare.pair_triples(derived.four_stages(*derived.both_sides(spark, d, keep_clean=False)))
 
 
 @query(
@@ -341,7 +339,7 @@ def triple_pairing(spark, d):
       ELSE 'without_token' END AS diagnosis FROM f WHERE in_ad_wide AND in_st_wide""",
 )
 def stage_title_loss(spark, d):
-    return compare.stage_titles_lost(derived.four_stages(*derived.both_sides(spark, d)), "gear")
+    return compare.stage_titles_lost(derived.four_stages(*derived.both_sides(spark, d, keep_clean=False)), "gear")
 
 
 @query(
@@ -364,7 +362,7 @@ def stage_title_loss(spark, d):
     SELECT mc, ml, CASE WHEN issues = '' THEN 'none' ELSE issues END AS issues FROM i""",
 )
 def stage_loss(spark, d):
-    return compare.stage_loss(derived.four_stages(*derived.both_sides(spark, d)))
+    return compare.stage_loss(derived.four_stages(*derived.both_sides(spark, d, keep_clean=False)))
 
 
 _TOP = """top AS (SELECT * FROM st_films_k ORDER BY count_ratings DESC, release_year DESC NULLS LAST,
@@ -439,5 +437,4 @@ def pair_preview(spark, d):
     " UNION ALL SELECT false, true, count(*) FILTER (x IS NULL) FROM j UNION ALL SELECT false, false, 0",
 )
 def confusion_cells(spark, d):
-    ad, st = derived.both_sides(spark, d)
-    return compare.confusion_cells(compare.match_metrics(ad.final, st.final))
+    return compare.confusion_cells(compare.match_metrics(*derived.finals(spark, d)))

@@ -11,6 +11,7 @@ from ratefuse.plans import derived, sql, tables
 from ratefuse.plans.derived import flat
 from ratefuse.plans.registry import query
 from ratefuse.sources import readers
+from ratefuse.sources.specs import ADAPTIVE_SPECS, STATIC_SPECS
 
 
 @query(
@@ -113,6 +114,56 @@ def entity_key(spark, d):
     )
 
 
+_PRINTED = {"ID_IMDB": "{}.0", "ID_RT": "  {} ", "ID_METACRITIC": "{}", "ID_MOVIELENS": "{}.0 "}
+_PRINTED_SQL = ", ".join(
+    f"coalesce('{a}' || {c} || '{b}', '{'' if c == 'ID_METACRITIC' else 'NA'}')"
+    for c, (a, b) in ((c, p.split("{}")) for c, p in _PRINTED.items())
+)
+
+
+@query(
+    "entity_key_printed",
+    f"WITH {sql.STATIC_MERGED}, {sql._KEYED.format(p='st', t='wide')} SELECT norm_title, year_cluster,"
+    f" entity_key, concat_ws('|', {_PRINTED_SQL}) AS raw_key FROM st_wide_k",
+)
+def entity_key_printed(spark, d):
+    """Ids as files print them, padded or as decimals; an empty text stands for a missing one."""
+    printed = {c: F.format_string(p.replace("{}", "%s"), c) for c, p in _PRINTED.items()}
+    texts = {
+        c: F.when(F.col(c).isNotNull(), t).otherwise(F.lit("") if c == "ID_METACRITIC" else F.lit(None))
+        for c, t in printed.items()
+    }
+    wide = derived.wide(spark, d).withColumns(texts)
+    return wide.select(
+        "norm_title", "year_cluster", text.joined_key([F.col(c) for c in _KEYS]).alias("entity_key"),
+        text.joined_key([F.col(c) for c in _KEYS], canonical=False).alias("raw_key"),
+    )
+
+
+@query(
+    "year_fallback",
+    f"""WITH {sql.RECORDS} SELECT row_id, CAST(CASE row_id % 3 WHEN 0 THEN coalesce(y, 1999) WHEN 1 THEN y
+      ELSE CASE WHEN y % 100 <= 25 THEN 2000 ELSE 1900 END + y % 100 END AS INTEGER) AS static_year,
+      CAST(CASE row_id % 3 WHEN 0 THEN 1999 WHEN 1 THEN y ELSE y % 100 END AS INTEGER) AS adaptive_year
+    FROM rec""",
+)
+def year_fallback(spark, d):
+    """Titles with and without a year beside a release_year of four digits, decimals or two digits."""
+    n, y = F.col("row_id"), F.col("y").cast("string")
+    in_title = F.when(n % 3 == 0, F.concat(F.lit(" ("), y, F.lit(")")))
+    raw = tables.records(spark, d).select(
+        "row_id", F.concat("base", F.coalesce(in_title, F.lit(""))).alias("title"),
+        F.lit("").alias("genres"), F.lit("3").alias("average_rating"),
+        F.when(n % 3 == 0, "1999").when(n % 3 == 1, F.concat(y, F.lit(".0")))
+        .otherwise((F.col("y") % 100).cast("string")).alias("release_year"),
+    )
+    return raw.select(
+        "row_id",
+        STATIC_SPECS["movielens"].fields(raw)["year"].alias("static_year"),
+        ADAPTIVE_SPECS["movielens"].fields(raw)["year"].alias("adaptive_year"),
+    )
+
+
 @query(
     "film_signature",
     f"""WITH {sql.STATIC_MERGED} SELECT norm_title, year_cluster, array_to_string(list_filter([

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ratefuse.functions.parse import count_present, half_even, row_mean, row_median
@@ -363,14 +365,44 @@ def merge_sources_adaptive(spark, d):
     " count(*) OVER (PARTITION BY title, release_year) > 1",
 )
 def ambiguous_films(spark, d):
-    from dataclasses import replace
-
     rated = merge.keep_rated(
         derived.wide(spark, d, ADAPTIVE), replace(ADAPTIVE, drop_ambiguous=False)
     )
     return flat(merge.ambiguous_films(stored(rated, "rated")))
 
 
+@query(
+    "ambiguous_films_both",
+    f"WITH {sql.RECORDS}, {sql.PARSED_STATIC}, {sql.CLEAN_STATIC}, {sql.MERGED_STATIC},"
+    f" {sql.PARSED_ADAPTIVE}, {sql.CLEAN_ADAPTIVE}, {sql.MERGED_ADAPTIVE}, u AS (SELECT * FROM st_rated"
+    f" UNION ALL BY NAME SELECT * FROM ad_rated) SELECT {_FILMS} FROM u QUALIFY"
+    " count(*) OVER (PARTITION BY title, release_year) > 1",
+)
+def ambiguous_films_both(spark, d):
+    """Films of both results in one table: what both have is there twice."""
+    rated = merge.keep_rated(derived.wide(spark, d)).unionByName(
+        merge.keep_rated(derived.wide(spark, d, ADAPTIVE), replace(ADAPTIVE, drop_ambiguous=False))
+    )
+    return flat(merge.ambiguous_films(stored(rated, "rated")))
+
+
+_COUNT_THREE = " + ".join(
+    f"CAST(rating_{s} IS NOT NULL AS INTEGER)" for s in sql.SOURCES if s != "movielens"
+)
+
+
+@query(
+    "films_without_column",
+    f"WITH {sql.STATIC_MERGED}, u AS (SELECT {sql.IDS}, title, release_year, coalesce(genres_found, '')"
+    " AS genres, release_date, rating_imdb, rating_metacritic, CAST(NULL AS DOUBLE) AS rating_movielens,"
+    f" rating_rt_audience, {_COUNT_THREE} AS count_ratings FROM st_wide) SELECT {_FILMS} FROM u"
+    " WHERE count_ratings >= 2",
+)
+def films_without_column(spark, d):
+    """A wide table that lacks a rating column: it is added as nulls and counts for nothing."""
+    return flat(merge.keep_rated(derived.wide(spark, d).drop("rating_movielens")))
+
+
 @query(
     "min_sources_filter",
     f"WITH {sql.STATIC_MERGED} SELECT norm_title, year_cluster, {sql.COUNT} AS count_ratings"

@@ -1,4 +1,4 @@
-"""All tables of a comparison and of an analysis, by name.  Each one is lazy."""
+"""All tables of a comparison and of an analysis, by name."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ratefuse.operators import analyze, compare, merge
+from ratefuse.operators.stored import stored
 
 
 @dataclass(frozen=True)
@@ -21,7 +22,8 @@ class Result:
 def compare_results(tested: Result, truth: Result) -> dict[str, DataFrame]:
     """Metrics, misses with causes, id conflicts, field differences and stage losses.
 
-    Pass tables that are stored (a run writes them): every report reads them anew.
+    Pass tables that are stored (a run writes them): every report reads them anew.  What several
+    reports read (misses and pairs) is stored before.
     """
     a_wide, a = compare.with_keys(tested.wide), compare.with_keys(tested.final)
     b_wide, b = compare.with_keys(truth.wide), compare.with_keys(truth.final)
@@ -33,8 +35,8 @@ def compare_results(tested: Result, truth: Result) -> dict[str, DataFrame]:
         if c in a.columns and c in b.columns
     ]
     numeric = [c for c in fields if c not in ("title", "genres", "release_date")]
-    pairs = compare.paired(a, b, fields)
-    missed, extra = compare.only_in(b, a), compare.only_in(a, b)
+    pairs = stored(compare.paired(a, b, fields), "pairs")
+    missed, extra = stored(compare.only_in(b, a), "missed"), stored(compare.only_in(a, b), "extra")
     stages = {"ad_wide": a_wide, "st_wide": b_wide, "ad_final": a, "st_final": b}
     sides = {tuple(s.split("_")): df for s, df in stages.items()}
     cleaned = {"ad": tested.clean, "st": truth.clean}
