@@ -5,9 +5,9 @@ shingle of their prefixes, under one order of all shingles in which those found
 prefixes come last. The index lists of the prefix shingles are then used with two kinds of
 skipping:
 
-* by position and size: a list is cut into blocks of similar set size, entries of blocks that
-  are too small or large are never met, and an entry is passed over if the shingles behind its
-  position cannot give the overlap that is needed;
+* by position and size: a short list is cut into blocks of similar set size, entries of blocks
+  that are too small or large are never met (a long list is cut by id), and an entry is passed
+  over if the shingles behind its position cannot give the overlap that is needed;
 * by relations between sets: each list's first set meets all others. Sets that are in one
   component already need no further comparison, and sets that are similar to a first set, or to
   one that is, form a group whose answers come from one another: block by block as bit matrices over
@@ -44,6 +44,8 @@ MOST_FREQUENT = 1_000_000
 SMALL_SIDE = 1_000_000
 #: Shingles of one side of a block of a group.
 BLOCK_SHINGLES = 250_000
+#: Cells of a matrix within a block, about.
+STRIP_CELLS = 4_000_000
 #: Index lists of more entries are worked through block by block, shorter ones by a join.
 LONG_LIST = 64
 #: Entries of one side of a block of a long list.
@@ -255,6 +257,59 @@ def verified(
     return _compared(docs, pairs, width).filter(_alike(ratio)).select("a", "b")
 
 
+class Postings:
+    """Which sets of one side hold a shingle; ``met`` counts the shingles looked up."""
+
+    def __init__(self, column: np.ndarray, row: np.ndarray, sets: int, columns: int) -> None:
+        order = np.argsort(column, kind="stable")
+        self.row = row[order]
+        self.start = np.searchsorted(column[order], np.arange(columns + 1))
+        self.sets, self.met = sets, 0
+
+    def shares(self, change: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """What each row of changes (1, -1 or 0 by column) adds to its overlap with every set."""
+        out = np.zeros((len(change), self.sets), np.float32)
+        used = change.any(axis=0)
+        change, columns = change[:, used], columns[used]
+        wide = max(1, STRIP_CELLS // max(self.sets, 1))
+        for lo in range(0, len(columns), wide):
+            part = columns[lo : lo + wide]
+            count = self.start[part + 1] - self.start[part]
+            own = np.repeat(np.arange(len(part)), count)
+            at = np.arange(count.sum()) + (self.start[part] - np.cumsum(count) + count)[own]
+            held = np.zeros((len(part), self.sets), np.float32)
+            held[own, self.row[at]] = 1
+            out += change[:, lo : lo + wide] @ held
+        self.met += len(columns)
+        return out
+
+
+def derived_overlaps(
+    sets: list[np.ndarray], postings: Postings
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of some sets (sorted columns), and their overlaps with every set of the other side.
+
+    Sets with equal smallest and largest columns, which similar ones mostly have, are neighbours.
+    The first set of a strip takes its overlaps from the first one of the strip before, and all
+    others of the strip take theirs from it: only shingles in which two sets differ are looked
+    up. That is exact however much they differ.
+    """
+    order = sorted(range(len(sets)), key=lambda i: (*sets[i][:1].tolist(), *sets[i][-1:].tolist()))
+    largest = max((len(s) for s in sets), default=0)
+    strip = int(max(1, min(64, (STRIP_CELLS / max(largest, 1)) ** 0.5)))
+    known, base = np.zeros(0, np.int64), np.zeros(postings.sets, np.float32)
+    for lo in range(0, len(order), strip):
+        places = order[lo : lo + strip]
+        rows = [known, *[sets[i] for i in places]]
+        columns = np.unique(np.concatenate(rows))
+        held = np.zeros((len(rows), len(columns)), np.float32)
+        for k, own in enumerate(rows):
+            held[k, np.searchsorted(columns, own)] = 1
+        base = base + postings.shares(held[1:2] - held[0], columns)[0]
+        known = rows[1]
+        yield np.array(places), base + postings.shares(held[1:] - held[1], columns)
+
+
 def _cell(ratio: Ratio):
     def links(key: tuple, rows: pa.Table) -> pa.Table:
         """Links between sets of a block of a group, or of two blocks, that join components."""
@@ -264,25 +319,15 @@ def _cell(ratio: Ratio):
         size = np.diff(flat.offsets.to_numpy())
         vocabulary, column = np.unique(flat.flatten().to_numpy(), return_inverse=True)
         row = np.repeat(np.arange(len(ids)), size)
-        often = np.bincount(column, minlength=len(vocabulary)) > 1
-        place = np.cumsum(often) - 1
-        keep = often[column]
+        column = column[np.lexsort((column, row))]  # sorted within each set
         left = np.flatnonzero(chunk == chunk.min())
         right = np.flatnonzero(chunk == chunk.max())
-        common = np.zeros((len(left), len(right)), np.float32)
         at = np.full(len(ids), -1)
-        at[left] = np.arange(len(left))
-        bt = np.full(len(ids), -1)
-        bt[right] = np.arange(len(right))
-        r, c = row[keep], place[column[keep]]
-        for lo in range(0, int(often.sum()), 2048):  # a strip of shingles at a time
-            part = (c >= lo) & (c < lo + 2048)
-            a = np.zeros((len(left), 2048), np.float32)
-            b = np.zeros((len(right), 2048), np.float32)
-            in_a, in_b = part & (at[r] >= 0), part & (bt[r] >= 0)
-            a[at[r[in_a]], c[in_a] - lo] = 1
-            b[bt[r[in_b]], c[in_b] - lo] = 1
-            common += a @ b.T
+        at[right] = np.arange(len(right))
+        there = at[row] >= 0
+        postings = Postings(column[there], at[row[there]], len(right), len(vocabulary))
+        start = np.cumsum(size) - size
+        sets = [column[start[i] : start[i] + size[i]] for i in left]
         parent = {int(k): int(k) for k in comp}
 
         def top(k: int) -> int:
@@ -292,10 +337,10 @@ def _cell(ratio: Ratio):
             return k
 
         out = ([], [])
-        for lo in range(0, len(left), 128):  # a strip of sets at a time
-            strip = left[lo : lo + 128]
+        for places, common in derived_overlaps(sets, postings):
+            strip = left[places]
             total = size[strip][:, None] + size[right][None, :]
-            good = (common[lo : lo + 128] * sum(ratio) >= total * ratio[0]) & (
+            good = (common * sum(ratio) >= total * ratio[0]) & (
                 comp[strip][:, None] != comp[right][None, :]
             )
             x, y = np.nonzero(good)
@@ -305,7 +350,7 @@ def _cell(ratio: Ratio):
                     parent[max(p, q)] = min(p, q)
                     out[0].append(int(ids[i]))
                     out[1].append(int(ids[j]))
-        del common, row, column, r, c, keep
+        del row, column, sets, postings
         give_back()
         return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
 

@@ -3,8 +3,8 @@
 A document of more tokens than a sequence gives whole sequences first. What remains goes to
 the fill level that makes the sum of squared counts of partially filled sequences smallest;
 the counts by level are kept in an array. At the end of a partition, sequences that are full
-or filled to a power of two stay as they are, and the pieces of the others are laid out anew,
-cut where a sequence is full and, in the last one, at powers of two, so nothing is padded.
+or filled to a power of two stay as they are. Of the others, the emptiest are cut up to fill the
+fullest, and what is left is cut at powers of two, so nothing is padded.
 
 Each partition packs by itself, and its number is part of the sequence ids.
 
@@ -81,6 +81,7 @@ class Packer:
         self.length = length
         self.count = np.zeros(length + 1, np.int64)  # of open sequences, by level
         self.open: list[list[list]] = [[] for _ in range(length + 1)]
+        self.moved = 0
 
     def level_for(self, size: int) -> int:
         """Level 0 is a new sequence. The smallest growth wins; of ties the fullest level."""
@@ -108,27 +109,35 @@ class Packer:
         return None
 
     def rest(self) -> Iterator[list]:
-        """Sequences filled to a power of two, then the pieces of the others laid out anew."""
+        """Sequences filled to a power of two, then the others, full but for the last ones.
+
+        As many of the fullest as their tokens fill stay as they are; the emptiest are cut up to
+        fill them, and what is left then is laid out at powers of two. ``moved`` counts tokens
+        that lie elsewhere than the rule had placed them.
+        """
         loose = []
-        for level, windows in enumerate(self.open):
-            for window in windows:
-                if level & (level - 1) == 0:
-                    yield window
-                else:
-                    loose += window
-        total = sum(len(ids) // 4 for _, _, ids, _ in loose)
-        room = [self.length] * (total // self.length)
-        room += [1 << k for k in range(self.length.bit_length(), -1, -1) if total % self.length >> k & 1]
-        window, left = [], room.pop(0) if room else 0
-        for doc_id, start, ids, tokens in loose:
-            while ids:
-                part = ids[: 4 * left]
+        for level in range(self.length - 1, 0, -1):
+            if level & (level - 1) == 0:
+                yield from self.open[level]
+            else:
+                loose += [(level, window) for window in self.open[level]]
+        total = sum(level for level, _ in loose)
+        kept = loose[: total // self.length]
+        rooms = [(self.length - level, window) for level, window in kept]
+        bits = range(self.length.bit_length(), -1, -1)
+        rooms += [(1 << k, []) for k in bits if total % self.length >> k & 1]
+        pieces = [piece for _, window in loose[len(kept) :] for piece in window]
+        self.moved = sum(len(ids) // 4 for _, _, ids, _ in pieces)
+        pieces.reverse()
+        for room, window in rooms:
+            while room:
+                doc_id, start, ids, tokens = pieces.pop()
+                part = ids[: 4 * room]
                 window.append((doc_id, start, part, tokens))
-                ids, start = ids[len(part) :], start + len(part) // 4
-                left -= len(part) // 4
-                if not left:
-                    yield window
-                    window, left = [], room.pop(0) if room else 0
+                room -= len(part) // 4
+                if len(part) < len(ids):
+                    pieces.append((doc_id, start + len(part) // 4, ids[len(part) :], tokens))
+            yield window
 
 
 OUT = (
