@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from ratefuse.operators.stored import stored
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(id, component) for each node of the edges (a, b); the component is its smallest id.
 
     Each round gives every node the smallest label among itself and its neighbours and then
-    the label of that label, so paths shorten by half. Labels are written out every round.
+    the label of that label, so paths shorten by half. Labels are written out every round; they
+    only get smaller, so the rounds end. Without edges there are no rows; edges with a null and
+    edges of a node to itself give none either.
     """
     both = edges.select(F.col("a").alias("id"), F.col("b").alias("near")).unionByName(
         edges.select(F.col("b").alias("id"), F.col("a").alias("near"))
@@ -19,7 +21,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     both = stored(both.filter("id <> near").distinct(), "graph")
     labels = both.groupBy("id").agg(F.min("near").alias("near"))
     labels = stored(labels.select("id", F.least("id", "near").alias("component")), "labels")
-    for _ in range(rounds):
+    while True:
         of = labels.select(F.col("id").alias("near"), F.col("component").alias("theirs"))
         low = both.join(of, "near").groupBy("id").agg(F.min("theirs").alias("low"))
         step = labels.join(low, "id").select(
@@ -34,4 +36,3 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         labels = step.select("id", "component")
         if step.filter("moved").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from ratefuse.llm import jaccard, packing
+from ratefuse.llm.components import components
 
 
 def family(rng, members, size, changed, shift=0):
@@ -119,3 +120,12 @@ def test_few_tokens_leave_their_place():
     # Only the end of a sequence that was filled up, or laid out last, cuts a document.
     cut = len([p for w in sequences for p in w]) - len(sizes)
     assert cut <= len(sequences) - kept
+
+
+def test_components_of_a_path_and_odd_edges(spark):
+    path = [(k * 37 % 101, (k + 1) * 37 % 101) for k in range(90)]
+    edges = [*path, (500, 500), (None, 3), (700, 600), (600, 700), (600, 700)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    nodes = {n for e in path for n in e}
+    assert got == dict.fromkeys(nodes, min(nodes)) | {600: 600, 700: 600}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
