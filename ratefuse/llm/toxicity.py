@@ -253,5 +253,4 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
-    scored = docs.withColumn("__toxicity", toxicity_score(learn(docs, labels)))
-    return scored.filter(F.col("__toxicity") < threshold).drop("__toxicity")
+    return docs.filter(toxicity_score(learn(docs, labels)) < threshold)
