@@ -398,8 +398,13 @@ def quality_score(field: Field) -> Column:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """One row a document: doc_id, held_out, score, predicted."""
+    """One row a document: doc_id, held_out, score (six places), predicted.
+
+    Sums over a batch differ in their last digits with the texts beside a text; the rounded
+    score is the same for equal texts and for every run.
+    """
+    score = F.round(quality_score(learn(docs, labels)), 6)
     scored = docs.select("doc_id", "text", held_out().alias("held_out")).select(
-        "doc_id", "held_out", quality_score(learn(docs, labels)).alias("score")
+        "doc_id", "held_out", score.alias("score")
     )
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
