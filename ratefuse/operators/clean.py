@@ -25,12 +25,14 @@ KEY = ["source", "title", "year"]
 MERGED = [c for c in CANONICAL if c != "title_raw"]
 
 
-def reject_reason(rating_required: bool = True, year_first: bool = False) -> Column:
+def reject_reason(
+    rating_required: bool = True, year_first: bool = False, last_year: int = LAST_YEAR
+) -> Column:
     """The first rule a row breaks, null if it breaks none.
 
     ``year_first``: a row without a year is reported as such before all other rules.
     """
-    bad_year = F.col("year").isNull() | ~F.col("year").between(FIRST_YEAR, LAST_YEAR)
+    bad_year = F.col("year").isNull() | ~F.col("year").between(FIRST_YEAR, last_year)
     rules = [
         F.when(F.trim("title") == "", EMPTY_TITLE),
         F.when(bad_year, INVALID_YEAR),
@@ -43,11 +45,13 @@ def reject_reason(rating_required: bool = True, year_first: bool = False) -> Col
 
 
 def parse_source(
-    raw: DataFrame, spec: SourceSpec, row_id: str = "row_id", keep: list[Column] = ()
+    raw: DataFrame, spec: SourceSpec, row_id: str = "row_id", keep: list[Column] = (),
+    last_year: int = LAST_YEAR,
 ) -> DataFrame:
     """Canonical columns plus ``reason`` for every raw row; one projection, no shuffle.
 
     ``keep``: further expressions over the raw columns, such as ``raw_record``.
+    ``last_year``: the latest year of a valid row.
     """
     fields = spec.fields(raw)
     title = normalize_title(fields["title_raw"], **dict(spec.title_options))
@@ -59,12 +63,15 @@ def parse_source(
         *[fields[c].alias(c) for c in ("title_raw", "year", "release_date", "genres", "rating")],
         *keep,
     )
-    return parsed.withColumn("reason", reject_reason(spec.rating_required, spec.year_first))
+    reason = reject_reason(spec.rating_required, spec.year_first, last_year)
+    return parsed.withColumn("reason", reason)
 
 
-def parse_sources(raws: dict[str, DataFrame], specs: dict[str, SourceSpec]) -> DataFrame:
+def parse_sources(
+    raws: dict[str, DataFrame], specs: dict[str, SourceSpec], last_year: int = LAST_YEAR
+) -> DataFrame:
     """All sources in one table, so that the later steps shuffle once for all of them."""
-    parts = [parse_source(raw, specs[name]) for name, raw in raws.items()]
+    parts = [parse_source(raw, specs[name], last_year=last_year) for name, raw in raws.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -25,7 +25,8 @@ class RunConfig:
     ``sources`` maps a source name to ``{"file_path": ...}``, or to ``{"movies_path": ...,
     "ratings_path": ...}`` for a source that comes as films and single ratings.  Sources with
     a ``shared_id`` (a raw column that names the same film in each of them) get the same title
-    for the same id.
+    for the same id.  ``last_year`` is the latest year that cleaning keeps, ``max_year`` the
+    latest one that validation accepts.
     """
 
     base_uri: str
@@ -39,6 +40,7 @@ class RunConfig:
     save_intermediate: bool = True
     allow_empty: bool = False
     final_format: str = "parquet"
+    last_year: int = parse.LAST_YEAR
 
     def path(self, stage: str) -> str:
         return f"{self.base_uri.rstrip('/')}/{stage}"
@@ -66,12 +68,14 @@ def _read(spark: SparkSession, spec: SourceSpec, options: dict[str, str]) -> Dat
     return clean.mean_ratings(movies, stars, "movieId", "stars")
 
 
-def _parse(spark: SparkSession, spec: SourceSpec, options: dict[str, str]) -> DataFrame:
+def _parse(
+    spark: SparkSession, spec: SourceSpec, options: dict[str, str], last_year: int
+) -> DataFrame:
     """Parsed rows of one source, each with its raw record and shared id."""
     raw = _read(spark, spec, options)
     shared = F.col(options["shared_id"]) if "shared_id" in options else F.lit(None)
     keep = [clean.raw_record(raw), shared.cast("string").alias("shared_id")]
-    return clean.parse_source(raw, spec, keep=keep)
+    return clean.parse_source(raw, spec, keep=keep, last_year=last_year)
 
 
 def parse_configured(spark: SparkSession, config: RunConfig) -> tuple[DataFrame, list[str]]:
@@ -83,7 +87,7 @@ def parse_configured(spark: SparkSession, config: RunConfig) -> tuple[DataFrame,
             log.warning("no source definition for %s, skipped", name)
             continue
         try:
-            parts.append(_parse(spark, spec, options))
+            parts.append(_parse(spark, spec, options, config.last_year))
             names.append(spec.name)
         except Exception:
             log.exception("source %s failed, skipped", name)
@@ -107,7 +111,7 @@ def store_sources(
             spec = _spec(spark, name, config)
             if spec is None:
                 raise LookupError("no source definition")
-            part = _parse(spark, spec, options)
+            part = _parse(spark, spec, options, config.last_year)
             writers.write_table(part, f"{path}/{spec.name}")
         except Exception as error:  # any failure of a source is its own
             log.exception("source %s failed, skipped", name)

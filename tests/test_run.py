@@ -143,6 +143,18 @@ def test_films_and_single_ratings(spark, tmp_path):
     }
 
 
+def test_latest_year_is_an_option(spark, tmp_path):
+    path = str(tmp_path / "ml.csv")
+    rows = [(k, f"Film {k} ({y})", "x", 3, 1) for k, y in enumerate((2025, 2026, 2027), 1)]
+    write_csv(path, specs.MOVIELENS_COLUMNS, rows)
+    kept = {}
+    for options in ({}, {"last_year": 2026}):
+        config = fuse.RunConfig(str(tmp_path), {"movielens": {"file_path": path}}, "r", 2026, **options)
+        parsed, _ = fuse.parse_configured(spark, config)
+        kept[len(options)] = {r.year for r in parsed.filter("reason IS NULL").collect()}
+    assert kept == {0: {2025}, 1: {2025, 2026}}
+
+
 def test_nothing_left_fails(spark, tmp_path):
     path = str(tmp_path / "ml.csv")
     write_csv(path, specs.MOVIELENS_COLUMNS, [(1, "No year", "x", 3, 1)])
