@@ -123,10 +123,12 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 def mixed(x: np.ndarray) -> np.ndarray:
     """Well spread 64-bit values of 64-bit values, one to one."""
     x = x.astype(np.uint64, copy=True)
+    rest = np.empty_like(x)
     for shift, mult in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x ^= x >> np.uint64(shift)
+        x ^= np.right_shift(x, np.uint64(shift), out=rest)
         x *= np.uint64(mult)
-    return x ^ (x >> np.uint64(31))
+    x ^= np.right_shift(x, np.uint64(31), out=rest)
+    return x
 
 
 class Powers:
@@ -157,7 +159,10 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Sums by which ``span_hash`` gives the hash of any substring at once."""
     up, _ = POWERS.upto(len(data) + 1)
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=out[1:])
+    part = out[1:]
+    np.add(data, np.uint64(1), out=part)
+    part *= up[: len(data)]
+    np.cumsum(part, out=part)
     return out
 
 
@@ -166,6 +171,15 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def every_hash(sums: np.ndarray, size: int) -> np.ndarray:
+    """``span_hash`` of all substrings of one size, without looking each up."""
+    _, down = POWERS.upto(len(sums))
+    x = sums[size:] - sums[:-size]
+    x *= down[: len(x)]
+    x += np.uint64(size)
+    return mixed(x)
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACES)] = True
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ratefuse.llm.common import discard, prefix_hash, settle, span_hash, steps, utf8
+from ratefuse.llm.common import discard, every_hash, prefix_hash, settle, span_hash, steps, utf8
 
 LENGTH = 50
 GRAM = 20
@@ -39,7 +39,7 @@ STEP = 256 << 10
 #: Contexts of one key that one task may sort; more go through their windows.
 CONTEXTS = 4000
 #: Shares of the keys that go through the first step one after another, which keeps its
-#: shuffles small; every share reads all texts.
+#: shuffles small; every share reads all texts. A power of two.
 SHARES = 2
 #: Windows sorted at once.
 SORTED = 100_000
@@ -55,31 +55,43 @@ def smallest_in(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def contexts(
+def runs_of_keys(
     data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM
 ) -> tuple[np.ndarray, ...]:
-    """Runs of windows that share a key: text, start in it, windows, key, hash of the bytes."""
-    count = np.maximum(np.diff(ends) - length + 1, 0)
-    begin = np.concatenate(([0], np.cumsum(count)))
-    total, width = int(begin[-1]), length - gram + 1
-    if not total:
+    """Runs of windows that share a key: text, first byte, windows, key; sums of the bytes."""
+    width = length - gram + 1
+    if len(data) < length:
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    text = np.repeat(np.arange(len(count)), count)
-    at = np.arange(total) + np.repeat(ends[:-1] - begin[:-1], count)
     sums = prefix_hash(data)
-    every = np.arange(len(data) - gram + 1)
-    key = smallest_in(span_hash(sums, every, every + gram), width)[at]
-    new = np.ones(total, bool)
-    new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    run = np.diff(np.append(first, total))
-    new |= (np.arange(total) - np.repeat(first, run)) % width == 0  # repetitive text
+    key = smallest_in(every_hash(sums, gram), width)  # of the window that starts at each byte
+    new = np.empty(len(key), bool)
+    new[0] = True
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    last = np.maximum(ends[1:] - length + 1, ends[:-1])  # behind the last window of each text
+    edges = np.concatenate((ends[:-1], last))
+    new[edges[edges < len(key)]] = True
     start = np.flatnonzero(new)
-    n = np.diff(np.append(start, total))
-    lo = at[start]
+    n = np.diff(np.append(start, len(key)))
+    text = np.searchsorted(ends, start, "right") - 1
+    whole = start < last[text]  # else over the end of a text
+    start, n, text = start[whole], n[whole], text[whole]
+    if len(n) and n.max() > width:  # repetitive text
+        parts = -(-n // width)
+        inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        start = np.repeat(start, parts) + inner * width
+        n = np.minimum(np.repeat(n, parts) - inner * width, width)
+        text = np.repeat(text, parts)
+    return text, start, n, key[start], sums
+
+
+def contexts(
+    data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM
+) -> tuple[np.ndarray, ...]:
+    """Runs of windows that share a key: text, start in it, windows, key, hash of the bytes."""
+    text, lo, n, key, sums = runs_of_keys(data, ends, length, gram)
     whole = span_hash(sums, lo, lo + n + length - 1)
-    return text[start], lo - ends[text[start]], n, key[start], whole
+    return text, lo - ends[text], n, key, whole
 
 
 def _pieces(texts: pa.Array, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -106,11 +118,13 @@ def _contexts(length: int, gram: int, share: int):
         for batch in batches:
             doc, part = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for row, offset, data, ends in _pieces(batch.column(2), length):
-                text, lo, n, key, whole = contexts(data, ends, length, gram)
-                own = np.flatnonzero(key % np.uint64(SHARES) == share)
-                text, key, whole = text[own] + row, key[own], whole[own]
-                columns = (part[text], key.view(np.int64), whole.view(np.int64), doc[text])
-                columns += (lo[own] + offset << 6 | n[own],)
+                text, lo, n, key, sums = runs_of_keys(data, ends, length, gram)
+                own = np.flatnonzero(key & np.uint64(SHARES - 1) == share)
+                text, lo, n, key = text[own], lo[own], n[own], key[own]
+                whole = span_hash(sums, lo, lo + n + length - 1)
+                place = lo - ends[text] + offset << 6 | n
+                text = text + row
+                columns = (part[text], key.view(np.int64), whole.view(np.int64), doc[text], place)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], names
                 )
@@ -118,6 +132,34 @@ def _contexts(length: int, gram: int, share: int):
     return work
 
 
+_KEYS = "key long, first long, last long"
+
+
+def _keys(length: int, gram: int, share: int):
+    """The keys of a share with the smallest and largest document that has them here."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc = batch.column(0).to_numpy(zero_copy_only=False)
+            for row, _, data, ends in _pieces(batch.column(1), length):
+                text, _, _, key, _ = runs_of_keys(data, ends, length, gram)
+                own = np.flatnonzero(key & np.uint64(SHARES - 1) == share)
+                key, at = key[own], doc[text[own] + row]
+                order = np.argsort(key)
+                key, at = key[order], at[order]
+                new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+                if len(new):
+                    found = (
+                        key[new].view(np.int64), np.minimum.reduceat(at, new),
+                        np.maximum.reduceat(at, new),
+                    )
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, pa.int64()) for c in found], ["key", "first", "last"]
+                    )
+
+    return work
+
+
 def previous_factors(shared: np.ndarray, rank: np.ndarray, least: int) -> np.ndarray:
     """Longest previous factors of suffixes in suffix order; 0 for those below ``least``.
 
@@ -331,7 +373,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         texts = own.select("doc", "part", "text")
         runs = texts.mapInArrow(_contexts(length, gram, share), _CONTEXT)
         keys = (
-            runs.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+            texts.select("doc", "text").mapInArrow(_keys(length, gram, share), _KEYS)
+            .groupBy("key").agg(F.min("first").alias("first"), F.max("last").alias("last"))
             .filter("first < last").select("key")
         )
         keys = settle(keys, "repeats-keys")

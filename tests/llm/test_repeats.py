@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,3 +84,17 @@ def test_factors_look_both_ways():
 
 def test_empty_table(spark):
     assert repeats.report(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_keys_come_once_a_step_with_their_documents():
+    texts = pa.array(["a passage that repeats itself word for word, over and over. " * 4] * 3 + [None, "b" * 90])
+    doc = pa.array([5, 2, 9, 1, 7], pa.int64())
+    part = pa.array([0] * 5, pa.int64())
+    for share in range(repeats.SHARES):
+        batch = pa.RecordBatch.from_arrays([doc, part, texts], ["doc", "part", "text"])
+        runs = pa.Table.from_batches(list(repeats._contexts(50, 20, share)([batch])))
+        least = runs.group_by("key").aggregate([("doc", "min"), ("doc", "max")]).select(["key", "doc_min", "doc_max"])
+        short = pa.RecordBatch.from_arrays([doc, texts], ["doc", "text"])
+        keys = pa.Table.from_batches(list(repeats._keys(50, 20, share)([short])))
+        rows = lambda t: sorted(zip(*(t.column(k).to_pylist() for k in range(3))))
+        assert rows(keys) == rows(least) and len(keys) < len(runs)
