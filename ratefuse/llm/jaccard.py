@@ -53,6 +53,8 @@ BLOCK_ENTRIES = 1024
 
 #: Shingles of a set for each bucket of the counts that bound an overlap, about.
 PER_BUCKET = 4
+#: Bytes of text that one step hashes; it takes dozens of times as much memory.
+SET_BYTES = 128 << 10
 
 Ratio = tuple[int, int]
 
@@ -62,7 +64,7 @@ def prefix_length(n: int, ratio: Ratio) -> int:
 
 
 def _each_set(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
-    for lo, hi in steps(texts):
+    for lo, hi in steps(texts, SET_BYTES):
         hashes, begin = shingles(texts.slice(lo, hi - lo), width)
         for k in range(hi - lo):
             yield np.unique(hashes[begin[k] : begin[k + 1]])

@@ -187,6 +187,8 @@ def _packing(path: str, length: int):
         for window in packer.rest():
             close(window)
         yield flush()
+        del encoder, packer
+        give_back()
 
     return work
 
