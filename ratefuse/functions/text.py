@@ -11,6 +11,7 @@ from pyspark.sql import Column, functions as F
 
 # Results depend on exactly these patterns, words and letters.
 WHITESPACE = r"[\s\x1c-\x1f]"
+SPACES = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f"  # what WHITESPACE matches
 NON_ASCII = r"[^\x00-\x7F]"
 TRAILING_YEAR = WHITESPACE + r"*\(\d{4}\)" + WHITESPACE + r"*$"
 TRAILING_PARENS = WHITESPACE + r"*\([^)]*\)" + WHITESPACE + r"*$"
@@ -101,23 +102,35 @@ def normalize_title(
     ``the_before_collapse`` looks for it before the spaces are collapsed.
     """
     t = F.lower(fold_ascii(F.coalesce(title, F.lit("")), fold))
-    t = F.regexp_replace(t, TRAILING_YEAR, "")
-    t = F.regexp_replace(t, TRAILING_PARENS, "")
+    t = _at_end(t, ")", TRAILING_YEAR, TRAILING_PARENS)
     if punct == "list":
         t = F.translate(t, string.punctuation, " " * len(string.punctuation))
     else:
-        t = F.regexp_replace(t, NOT_WORD_OR_SPACE, " ")
+        t = F.regexp_replace(t, NOT_WORD_OR_SPACE + "+", " ")
     trailing = TRAILING_SPACE_THE if bare_the == "keep" else TRAILING_THE
-    if the_before_collapse:
-        t = collapse_spaces(F.regexp_replace(t, trailing, ""))
-    else:
-        t = F.trim(F.regexp_replace(collapse_spaces(t), trailing, ""))
-    return dedupe_tokens(t)
+    if trailing == TRAILING_SPACE_THE and not the_before_collapse:
+        t = collapse_spaces(t)
+    return dedupe_tokens(_at_end(t, "the", trailing))  # which collapses and trims
+
+
+def _at_end(c: Column, last: str, *patterns: str) -> Column:
+    """Drop matches of the patterns, which are looked for only in text that ends like them.
+
+    The lambda holds the text, so that Spark does not work it out again for every use.
+    """
+
+    def dropped(t: Column) -> Column:
+        out = t
+        for pattern in patterns:
+            out = F.regexp_replace(out, pattern, "")
+        return F.when(F.rtrim(t, F.lit(SPACES)).endswith(last), out).otherwise(t)
+
+    return F.transform(F.array(c), dropped)[0]
 
 
 def strip_to_alnum(title: Column) -> Column:
     """Lower-case and delete everything but letters, digits and single spaces."""
-    return collapse_spaces(F.regexp_replace(F.lower(title), NOT_ALNUM_OR_SPACE, ""))
+    return collapse_spaces(F.regexp_replace(F.lower(title), NOT_ALNUM_OR_SPACE + "+", ""))
 
 
 def first_non_blank(*columns: Column) -> Column:

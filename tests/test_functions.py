@@ -146,3 +146,11 @@ def test_scores(spark, critic, user, want, want10):
     c, u = F.col("c"), F.col("u")
     got = df.select(parse.first_score(c, u), parse.first_score_0_10(c, u)).first()
     assert tuple(got) == (want, want10)
+
+
+def test_trailing_parts_are_looked_for_only_at_the_end(spark, capsys):
+    titles = ["Up (2009) \x1c", "Up (2009) (x)", "a the \t", "a (b", "the", "a_the"]
+    assert many(spark, titles, text.normalize_title) == ["up", "up 2009", "a", "a b", "", "a_the"]
+    df = spark.createDataFrame([("a",)], "t string").select(text.normalize_title(F.col("t")))
+    df.explain()
+    assert capsys.readouterr().out.lower().count("endswith") >= 2
