@@ -63,18 +63,48 @@ def prefix_length(n: int, ratio: Ratio) -> int:
     return n - -(-ratio[0] * n // ratio[1]) + 1
 
 
-def _each_set(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+def _steps_of_sets(texts: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sets of a few texts at a time, each sorted: all shingles, and where each set begins."""
     for lo, hi in steps(texts, SET_BYTES):
         hashes, begin = shingles(texts.slice(lo, hi - lo), width)
         for k in range(hi - lo):
-            yield np.unique(hashes[begin[k] : begin[k + 1]])
+            hashes[begin[k] : begin[k + 1]].sort()
+        new = np.ones(len(hashes), bool)
+        np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+        new[begin[:-1][np.diff(begin) > 0]] = True
+        yield hashes[new], np.concatenate(([0], np.cumsum(new)))[begin]
+
+
+def _each_set(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+    for every, begin in _steps_of_sets(texts, width):
+        for k in range(len(begin) - 1):
+            yield every[begin[k] : begin[k + 1]]
+
+
+def _sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(begin) - 1, np.uint64)
+    full = np.diff(begin) > 0
+    if len(values):
+        out[full] = np.add.reduceat(values, begin[:-1][full])
+    return out.astype(np.int64)
+
+
+def _counts(every: np.ndarray, begin: np.ndarray) -> list[bytes]:
+    """Counts of each set's shingles by their last bits, a byte each; empty if a byte is too small."""
+    size = np.diff(begin)
+    buckets = np.where(size, 1 << np.maximum(5, np.frexp(size // PER_BUCKET)[1].astype(np.int64)), 0)
+    base = np.concatenate(([0], np.cumsum(buckets)))
+    low = every & np.repeat((buckets - 1).astype(np.uint64), size)
+    count = np.bincount(low.astype(np.int64) + np.repeat(base[:-1], size), minlength=base[-1])
+    kept = np.zeros(len(size), bool)
+    if len(every):
+        kept[size > 0] = np.maximum.reduceat(count, base[:-1][size > 0]) < 256
+    flat = count.astype(np.uint8).tobytes()
+    return [flat[base[k] : base[k + 1]] if kept[k] else b"" for k in range(len(size))]
 
 
 def _bucket_counts(s: np.ndarray) -> bytes:
-    """Counts of the shingles by their last bits, a byte each; empty if a byte is too small."""
-    buckets = 1 << max(5, (len(s) // PER_BUCKET).bit_length())
-    count = np.bincount((s & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
-    return count.astype(np.uint8).tobytes() if len(s) and count.max() < 256 else b""
+    return _counts(s, np.array([0, len(s)]))[0]
 
 
 def _most_common(a: bytes, b: bytes, size: int) -> int:
@@ -87,25 +117,33 @@ def _most_common(a: bytes, b: bytes, size: int) -> int:
     return (size - int(np.abs(apart).sum())) // 2
 
 
-def _summaries(width: int, ratio: Ratio):
+def _heads(ratio: Ratio):
+    def prefixes(every: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+        sets = (every[lo:hi] for lo, hi in zip(begin[:-1], begin[1:]))
+        return [s[: prefix_length(len(s), ratio) if len(s) else 0].astype(np.int64) for s in sets]
+
+    return prefixes
+
+
+def _summaries(width: int, name: str, made):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two, prefix, counts = [], [], [], [], []
-            for s in _each_set(batch.column("text"), width):
-                n.append(len(s))
-                one.append(int(mixed(s).sum(dtype=np.uint64).astype(np.int64)))
-                two.append(int(mixed(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).astype(np.int64)))
-                prefix.append(s[: prefix_length(len(s), ratio)].astype(np.int64) if len(s) else [])
-                counts.append(_bucket_counts(s))
+            n, one, two, counts, column = [], [], [], [], []
+            for every, begin in _steps_of_sets(batch.column("text"), width):
+                n.extend(np.diff(begin).tolist())
+                one.extend(_sums(mixed(every), begin).tolist())
+                two.extend(_sums(mixed(every ^ np.uint64(0x5DEECE66D)), begin).tolist())
+                counts.extend(_counts(every, begin))
+                column.extend(made(every, begin))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"), "n": pa.array(n, pa.int64()),
                     "counts": pa.array(counts, pa.binary()),
                     "h1": pa.array(one, pa.int64()), "h2": pa.array(two, pa.int64()),
-                    "prefix": pa.array(prefix, pa.list_(pa.int64())),
+                    name: pa.array(column, pa.list_(pa.int64())),
                 }
             )
-            del n, one, prefix
+            del n, one, two, counts, column
             give_back()
 
     return work
@@ -140,10 +178,19 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text")
 
 
+def described(docs: DataFrame, width: int, name: str, made) -> DataFrame:
+    """One row a document: size and hashes of its set, counts by bucket, and a column of longs.
+
+    That column is made from the sets of some texts, (all shingles, where each set begins), in
+    the same pass over the texts.
+    """
+    schema = f"doc_id long, n long, counts binary, h1 long, h2 long, {name} array<long>"
+    return stored(_texts(docs).mapInArrow(_summaries(width, name, made), schema), "sets")
+
+
 def summaries(docs: DataFrame, width: int, ratio: Ratio) -> DataFrame:
     """One row a document: size and hashes of its set, prefix, counts by bucket."""
-    schema = "doc_id long, n long, counts binary, h1 long, h2 long, prefix array<long>"
-    return stored(_texts(docs).mapInArrow(_summaries(width, ratio), schema), "sets")
+    return described(docs, width, "prefix", _heads(ratio))
 
 
 def distinct_sets(sets: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ratefuse.llm import jaccard
@@ -34,21 +34,26 @@ def _permutations(n: int, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
     return draw() | np.uint32(1), draw()
 
 
-def signatures(texts: pa.Array, n: int = PERMUTATIONS, width: int = WORDS) -> np.ndarray:
-    """One row of ``n`` smallest values a text; all ones for a text without words."""
-    out = np.full((len(texts), n), 0xFFFFFFFF, np.uint32)
-    mult, add = _permutations(n)
-    for lo, hi in steps(texts, 256 << 10):
-        hashes, begin = shingles(texts.slice(lo, hi - lo), width)
-        full = np.flatnonzero(np.diff(begin))
-        if not len(full):
-            continue
+def _smallest(hashes: np.ndarray, begin: np.ndarray, n: int = PERMUTATIONS) -> np.ndarray:
+    """The ``n`` smallest values of each text's shingles; repeated shingles change nothing."""
+    out = np.full((len(begin) - 1, n), 0xFFFFFFFF, np.uint32)
+    full = np.flatnonzero(np.diff(begin))
+    if len(full):
+        mult, add = _permutations(n)
         x = (hashes >> np.uint64(32)).astype(np.uint32)
         value, starts = np.empty_like(x), begin[:-1][full]
         for k in range(n):
             np.multiply(x, mult[k], out=value)
             value += add[k]
-            out[lo + full, k] = np.minimum.reduceat(value, starts)
+            out[full, k] = np.minimum.reduceat(value, starts)
+    return out
+
+
+def signatures(texts: pa.Array, n: int = PERMUTATIONS, width: int = WORDS) -> np.ndarray:
+    """One row of ``n`` smallest values a text; all ones for a text without words."""
+    out = np.empty((len(texts), n), np.uint32)
+    for lo, hi in steps(texts, 256 << 10):
+        out[lo:hi] = _smallest(*shingles(texts.slice(lo, hi - lo), width), n)
     return out
 
 
@@ -164,39 +169,42 @@ def fingerprint_edits(docs: DataFrame, rows_a_bucket: int = 2000) -> DataFrame:
     )
 
 
+def _band_keys(bands: int):
+    rows = PERMUTATIONS // bands
+
+    def keys(every: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+        sig = _smallest(every, begin).reshape(-1, bands, rows)
+        out = np.zeros(sig.shape[:2], np.uint64)
+        for k in range(rows):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k] + np.uint64(1)
+        return list(out.astype(np.int64))
+
+    return keys
+
+
 def near_copies(
     docs: DataFrame, bands: int = 32, similarity: tuple[int, int] = (4, 5)
 ) -> DataFrame:
     """Verified near copies: doc_id, n_shingles, component_id.
 
-    Signatures are cut into bands. Documents that share a band with the band's smallest id are
+    Signatures are cut into bands, whose keys are made in the pass that describes the sets; from
+    there on only keys move, once. Documents that share a band with the band's smallest id are
     joined with it in Spark; what is left of a band's bucket meets in groups and salted blocks,
     but for documents that are in one component already. Pairs count after their exact Jaccard
     similarity is checked, and linked documents form a component.
     """
-    rows = PERMUTATIONS // bands
-
-    @arrow_udf("array<long>")
-    def cut(texts: pa.Array) -> pa.Array:
-        sig = np.ascontiguousarray(signatures(texts)).reshape(-1, bands, rows)
-        keys = np.zeros(sig.shape[:2], np.uint64)
-        for k in range(rows):
-            keys = keys * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, k] + np.uint64(1)
-        return pa.array(list(keys.astype(np.int64)), pa.list_(pa.int64()))
-
-    summed = jaccard.summaries(docs, WORDS, similarity)
+    summed = jaccard.described(docs, WORDS, "keys", _band_keys(bands))
     sets = jaccard.distinct_sets(summed)
-    banded = (
-        docs.join(sets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .select("doc_id", F.posexplode(cut(F.coalesce("text", F.lit("")))).alias("band", "key"))
+    reps = sets.filter("n > 0").select(F.col("rep").alias("doc_id")).distinct()
+    banded = summed.filter("n > 0").join(reps, "doc_id", "left_semi").select(
+        F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"), "h1",
+        F.posexplode("keys").alias("band", "key"),
     )
-    reps = sets.filter("n > 0 AND doc_id = rep").select(F.col("doc_id").alias("id"), "n", "h1").distinct()
-    buckets = banded.select(  # a bucket is an index list whose key has no position
-        F.xxhash64("band", "key").alias("s"), F.col("doc_id").cast("long").alias("id")
-    ).distinct()
-    lead = buckets.groupBy("s").agg(F.min("id").alias("lead"))
-    lists = buckets.join(lead, "s").filter("id <> lead").join(reps, "id").select(
-        "s", "id", F.col("n").cast("int").alias("n"), "h1", F.lit(0).alias("k"), "lead"
+    # A bucket is an index list whose key has no position.
+    buckets = banded.select(F.xxhash64("band", "key").alias("s"), "id", "n", "h1")
+    lead = F.min("id").over(Window.partitionBy("s"))
+    lists = buckets.withColumn("lead", lead).filter("id <> lead").distinct().select(
+        "s", "id", "n", "h1", F.lit(0).alias("k"), "lead"
     )
     links = jaccard.links_of_lists(docs, stored(lists, "lists"), summed, WORDS, similarity)
     return jaccard.with_components(sets, links)
