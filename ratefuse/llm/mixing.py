@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratefuse.llm.common import word_count
@@ -130,9 +131,16 @@ def plan(docs: DataFrame, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     totals = {r["source"]: r["words"] or 0 for r in  # one row a source
               sized.groupBy("source").agg(F.sum("size").alias("words")).collect()}
     goal = targets(totals)
-    rows = [("n" if s is None else f"s{s}", totals[s], goal.get(s, 0.0)) for s in totals]
-    spark = docs.sparkSession
-    sources = spark.createDataFrame(rows, "key string, source_size long, target double")
+    # An Arrow table: rows of Python would start a second set of workers, which stay.
+    sources = docs.sparkSession.createDataFrame(
+        pa.table(
+            {
+                "key": pa.array(["n" if s is None else f"s{s}" for s in totals], pa.string()),
+                "source_size": pa.array([totals[s] for s in totals], pa.int64()),
+                "target": pa.array([goal.get(s, 0.0) for s in totals], pa.float64()),
+            }
+        )
+    )
     counts = sized.groupBy("key", "size").agg(F.count("*").alias("n"))
     planned = counts.join(F.broadcast(sources), "key").groupBy("key").applyInPandas(
         _plan, "key string, size long, n long, passes int, extra long"

@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import StringType
 
 from ratefuse.llm.common import give_back, held_out, steps, strings
 from ratefuse.operators.stored import stored
@@ -126,13 +125,17 @@ def labelled(labels: DataFrame) -> DataFrame:
     return usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
 
 
-@arrow_udf(StringType())
-def _words_mark(texts: pa.Array) -> pa.Array:
-    """Digest of the set of folded words of a text; null without words."""
-    sets = [sorted(set(_WORD.findall(fold(t)))) for t in strings(texts)]
-    return pa.array(
-        [hashlib.sha256(" ".join(s).encode()).hexdigest() if s else None for s in sets], pa.string()
-    )
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows whose text has words, with a digest of the set of its folded words.
+
+    As a column the digest would be made twice, in the filter and behind it, by two workers a task.
+    """
+    for batch in batches:
+        sets = [sorted(set(_WORD.findall(fold(t)))) for t in strings(batch.column("text"))]
+        marks = [hashlib.sha256(" ".join(s).encode()).hexdigest() if s else None for s in sets]
+        marked = batch.append_column("mark", pa.array(marks, pa.string()))
+        yield marked.filter(marked.column("mark").is_valid())
+    give_back()
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +180,7 @@ def learn(
     if not pos or not neg:
         return Lexicon(whole, stems)
     folded = stored(
-        sample.select("y", "text", _words_mark("text").alias("mark")).filter("mark IS NOT NULL")
+        sample.select("y", "text").mapInArrow(_marked, "y int, text string, mark string")
         .dropDuplicates(["y", "mark"]).select("text", "y"),
         "toxicity-folded",
     )
