@@ -67,9 +67,11 @@ def discard(table: DataFrame) -> None:
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Store a table and let go of the shuffle files behind it.
 
-    Spark deletes them once the driver's JVM has collected the plans that made them.
+    Spark deletes them once the driver's JVM has collected the plans that made them. Its
+    listeners hold the plan of the last event until another comes, so there has to be another.
     """
     out = stored(df, name)
+    df.sparkSession.sql("SELECT 1").collect()
     df.sparkSession._jvm.System.gc()
     return out
 

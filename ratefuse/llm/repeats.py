@@ -7,7 +7,8 @@ in this order:
 1. Keys that occur in one document only are dropped, with all their windows.
 2. Equal contexts are folded, pre-aggregated, to one in the smallest document. In every
    other document the whole context is a repeat; the marks of step 3 hold for all its places
-   in the smallest one.
+   in the smallest one. Steps 1 and 2 go through the contexts a share of the keys after
+   another, and keep of each only the places of repeats and of contexts for step 3.
 3. The folded contexts of a key are put in suffix order. The nearest smaller documents before
    and after a suffix, with the common prefixes up to them, give its longest previous factor;
    a window is a repeat if that is 50 bytes or more.
@@ -15,7 +16,8 @@ in this order:
    folded like contexts and compared by a join that splits heavy windows.
 
 Spans go back to their documents and are checked there against the hash of their context.
-Texts move twice, the compared contexts once.
+Texts move twice, a part of the documents after another the first time, the compared
+contexts once.
 
 Defined results: a null text is empty. A null id is later than all others; neither null ids
 nor rows of one id repeat each other. Texts under 50 bytes keep everything.
@@ -38,9 +40,13 @@ GRAM = 20
 STEP = 256 << 10
 #: Contexts of one key that one task may sort; more go through their windows.
 CONTEXTS = 4000
-#: Shares of the keys that go through the first step one after another, which keeps its
-#: shuffles small; every share reads all texts. A power of two.
+#: Shares of the keys that go through the first two steps one after another, which keeps what
+#: lies on disk small; every share reads all texts. A power of two.
 SHARES = 2
+#: Parts of a share that are folded one after another. A power of two.
+FOLDS = 2
+#: Parts of the documents whose texts move to their listed contexts one after another.
+PARTS = 2
 #: Windows sorted at once.
 SORTED = 100_000
 
@@ -135,16 +141,18 @@ def _contexts(length: int, gram: int, share: int):
 _KEYS = "key long, first long, last long"
 
 
-def _keys(length: int, gram: int, share: int):
-    """The keys of a share with the smallest and largest document that has them here."""
+def _keys(length: int, gram: int, share: int | None = None):
+    """The keys, of a share or all, with the smallest and largest document that has them here."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             for row, _, data, ends in _pieces(batch.column(1), length):
                 text, _, _, key, _ = runs_of_keys(data, ends, length, gram)
-                own = np.flatnonzero(key & np.uint64(SHARES - 1) == share)
-                key, at = key[own], doc[text[own] + row]
+                if share is not None:
+                    own = np.flatnonzero(key & np.uint64(SHARES - 1) == share)
+                    text, key = text[own], key[own]
+                at = doc[text + row]
                 order = np.argsort(key)
                 key, at = key[order], at[order]
                 new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
@@ -319,6 +327,7 @@ def _removed(length: int):
                 flat.field(k).to_numpy(zero_copy_only=False) for k in ("place", "whole", "bits")
             )
             lo, n = place >> 6, place & 63
+            bits = np.where(bits == 0, (np.int64(1) << n) - 1, bits)
             owner = np.repeat(np.arange(len(batch)), size)
             good = ends[owner] + lo + n + length - 1 <= ends[owner + 1]
             start = ends[owner] + lo
@@ -359,6 +368,50 @@ def _windows(hot: DataFrame, length: int) -> DataFrame:
     )
 
 
+def _met(own: DataFrame, length: int, gram: int) -> DataFrame:
+    """Contexts that are repeats or are to be compared with others of their key.
+
+    Repeats have no key; of those to compare, one place of each is the leading one.
+    """
+    texts = own.select("doc", "part", "text")
+    keys = (
+        texts.select("doc", "text").mapInArrow(_keys(length, gram), _KEYS)
+        .groupBy("key").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .filter("first < last").select("key")
+    )
+    keys = settle(keys, "repeats-keys")
+    at = F.struct("doc", "part", "place")
+    shares = []
+    for share in range(SHARES):
+        of_share = keys.filter(F.col("key").bitwiseAND(F.lit(SHARES - 1)) == share)
+        runs = texts.mapInArrow(_contexts(length, gram, share), _CONTEXT)
+        meet = settle(runs.join(of_share, "key", "left_semi"), "repeats-contexts")
+        for fold in range(FOLDS):
+            some = meet.filter(F.shiftright("key", 8).bitwiseAND(F.lit(FOLDS - 1)) == fold)
+            folded = some.groupBy("key", "whole").agg(F.min(at).alias("at"))
+            folded = settle(folded, "repeats-folded")
+            sizes = folded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+            met = (
+                some.join(folded.join(sizes, "key", "left"), ["key", "whole"])
+                .filter("at.doc < doc or size is not null")
+                .select(
+                    "doc", "part", "place", "whole",
+                    F.when(F.col("at.doc") == F.col("doc"), F.col("key")).alias("key"),
+                    (at == F.col("at")).alias("lead"),
+                    (F.col("size") > F.lit(CONTEXTS)).alias("hot"),
+                )
+            )
+            shares.append(settle(met, "repeats-met"))
+            discard(folded)
+        discard(meet)
+    discard(keys)
+    return reduce(DataFrame.unionByName, shares)
+
+
+#: Bits of 0 stand for all windows of a context.
+_PLACED = ["doc", "part", "place", "whole", "bits"]
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """What each document keeps: doc_id, n_bytes, removed spans, and the kept bytes."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -368,55 +421,34 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.lit(0)).alias("part"),
         text.alias("text"),
     )
-    shares = []
-    for share in range(SHARES):
-        texts = own.select("doc", "part", "text")
-        runs = texts.mapInArrow(_contexts(length, gram, share), _CONTEXT)
-        keys = (
-            texts.select("doc", "text").mapInArrow(_keys(length, gram, share), _KEYS)
-            .groupBy("key").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-            .filter("first < last").select("key")
+    met = _met(own, length, gram)
+    bytes_ = []
+    for k in range(PARTS):
+        mine = F.pmod(F.xxhash64("doc", "part"), F.lit(PARTS)) == k
+        listed = (
+            met.filter(F.col("lead") & mine).groupBy("doc", "part")
+            .agg(F.collect_set(F.struct("key", "hot", "place", "whole")).alias("contexts"))
         )
-        keys = settle(keys, "repeats-keys")
-        shares.append(settle(runs.join(keys, "key", "left_semi"), "repeats-contexts"))
-        discard(keys)
-    meet = reduce(DataFrame.unionByName, shares)
-
-    at = F.struct("doc", "part", "place")
-    folded = meet.groupBy("key", "whole").agg(F.min(at).alias("at"))
-    folded = settle(folded.select("key", "whole", "at.*"), "repeats-folded")
-    sizes = folded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    listed = (
-        folded.join(sizes, "key").withColumn("hot", F.col("size") > F.lit(CONTEXTS))
-        .groupBy("doc", "part")
-        .agg(F.collect_list(F.struct("key", "hot", "place", "whole")).alias("contexts"))
-    )
-    bytes_ = own.select("doc", "part", "text").join(listed, ["doc", "part"]).mapInArrow(
-        _cut(length),
-        "key long, hot boolean, doc long, n long, whole long, bytes binary",
-    )
-    bytes_ = settle(bytes_, "repeats-bytes")
+        cut = own.select("doc", "part", "text").filter(mine).join(listed, ["doc", "part"])
+        cut = cut.mapInArrow(
+            _cut(length), "key long, hot boolean, doc long, n long, whole long, bytes binary"
+        )
+        bytes_.append(settle(cut, "repeats-bytes"))
+    bytes_ = reduce(DataFrame.unionByName, bytes_)
     in_order = (
         bytes_.filter(~F.col("hot")).drop("hot").repartition("key").sortWithinPartitions("key")
         .mapInArrow(_sorted(length), _FOUND)
     )
     marked = in_order.unionByName(_windows(bytes_.filter("hot"), length))
     marked = settle(marked, "repeats-marked")
-    discard(bytes_)
-    known = folded.select("key", "whole", F.col("doc").alias("first")).join(
-        marked.groupBy("key", "whole").agg(F.bit_or("bits").alias("bits")), ["key", "whole"], "left"
-    )
-    every = F.expr("shiftleft(1L, cast(place & 63 as int)) - 1")
-    found = (
-        meet.join(known, ["key", "whole"]).filter("first < doc or bits is not null")
-        .withColumn("bits", F.when(F.col("first") < F.col("doc"), every).otherwise(F.col("bits")))
-    )
-    found = settle(found.select("doc", "part", "place", "whole", "bits"), "repeats-found")
-    discard(meet)  # all shares
-    discard(folded)
+    discard(bytes_)  # all parts
+    bits = marked.groupBy("key", "whole").agg(F.bit_or("bits").alias("bits"))
+    some = settle(met.join(bits, ["key", "whole"]).select(_PLACED), "repeats-found")
     discard(marked)
-    by_doc = found.groupBy("doc", "part").agg(
-        F.collect_list(F.struct("place", "whole", "bits")).alias("found")
+    found = met.filter("key is null").withColumn("bits", F.lit(0).cast("long")).select(_PLACED)
+    by_doc = (  # moved row by row: few rows of a document stand together before
+        found.unionByName(some).repartition("doc", "part").groupBy("doc", "part")
+        .agg(F.collect_list(F.struct("place", "whole", "bits")).alias("found"))
     )
     return own.join(by_doc, ["doc", "part"], "left").select("doc_id", "text", "found").mapInArrow(
         _removed(length),

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratefuse.llm import repeats
+from ratefuse.llm.common import settle
 
 SCHEMA = "doc_id long, text string, doc string, found string"
 
@@ -98,3 +100,46 @@ def test_keys_come_once_a_step_with_their_documents():
         keys = pa.Table.from_batches(list(repeats._keys(50, 20, share)([short])))
         rows = lambda t: sorted(zip(*(t.column(k).to_pylist() for k in range(3))))
         assert rows(keys) == rows(least) and len(keys) < len(runs)
+
+
+def test_stored_contexts_go_share_by_share(spark, monkeypatch):
+    """Contexts of one share lie on disk at a time, and nothing but the marks at the end."""
+    live, most = {}, {}
+
+    def settle(df, name, of=repeats.settle):
+        out = of(df, name)
+        live.update({f.rsplit("/", 1)[0]: name for f in out.inputFiles()})
+        for n in set(live.values()):
+            most[n] = max(most.get(n, 0), sum(x == n for x in live.values()))
+        return out
+
+    def discard(table, of=repeats.discard):
+        for f in table.inputFiles():
+            live.pop(f.rsplit("/", 1)[0], None)
+        of(table)
+
+    monkeypatch.setattr(repeats, "settle", settle)
+    monkeypatch.setattr(repeats, "discard", discard)
+    rows = corpus(5)
+    rows += [(None if i is None else i + 1000, t) for i, t in rows]
+    docs = spark.createDataFrame([(*r, "a", "b") for r in rows], SCHEMA)
+    got = repeats.report(docs.repartition(5)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 50)
+    assert most["repeats-contexts"] == most["repeats-folded"] == 1
+    assert not {"repeats-keys", "repeats-contexts", "repeats-folded", "repeats-bytes"} & set(live.values())
+
+
+def test_shuffle_files_go_when_a_table_is_settled(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {
+        name for name in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name
+    }
+    settle(spark.range(10), "before")
+    time.sleep(1)
+    there = files()
+    table = spark.range(1000).withColumn("k", F.col("id") % 7).repartition(3, "k")
+    settle(table, "after")
+    until = time.time() + 20
+    while files() - there and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - there
